@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lapsewise import fixed_values as fv
 from lapsewise.functions.amounts import percent, ratio
-from lapsewise.functions.dates import year_before
 from lapsewise.functions.text import compact_thousands, stock_label
 from lapsewise.operators.measures import CONTRACTS
 from lapsewise.operators.reshape import pivot_mean
@@ -28,26 +27,17 @@ def monthly_rates(stock: DataFrame, terminated: DataFrame) -> DataFrame:
     )
 
 
-def last_month(df: DataFrame) -> Column:
-    """Latest month of the frame as a scalar subquery."""
-    return df.agg(F.max("month")).scalar()
+def _dated(df: DataFrame, last: str | None) -> DataFrame:
+    """Add the last month, the same month a year ago, and the years of both.
 
-
-class Calendar:
-    """Months a KPI compares: the last one, and its year and the year before.
-
-    Without a given month the latest of the frame is looked up inside the query.
+    Unless given, the last month is looked up in the frame as a scalar subquery.
     """
+    end = F.lit(last) if last else df.agg(F.max("month")).scalar()
+    dated = df.withColumn("__last", end).withColumn("__ago", (F.col("__last").cast("int") - 100).cast("string"))
+    return dated.withColumns({"__year": F.substring("__last", 1, 4), "__before": F.substring("__ago", 1, 4)})
 
-    def __init__(self, df: DataFrame, last: str | None = None):
-        if last:
-            self.last, self.last_year_ago = F.lit(last), F.lit(year_before(last))
-            self.year, self.previous = F.lit(last[:4]), F.lit(year_before(last)[:4])
-        else:
-            self.last = last_month(df)
-            self.last_year_ago = (self.last.cast("int") - 100).cast("string")
-            self.year = F.substring(self.last, 1, 4)
-            self.previous = F.substring(self.last_year_ago, 1, 4)
+
+HELPERS = ("__last", "__ago", "__year", "__before")
 
 
 def annual_rates(df: DataFrame, kind: str = CONTRACTS) -> DataFrame:
@@ -62,17 +52,16 @@ def annual_rates(df: DataFrame, kind: str = CONTRACTS) -> DataFrame:
 
 def year_to_date_share(df: DataFrame, last: str | None = None, kind: str = CONTRACTS) -> DataFrame:
     """Share of last year's terminations that had fallen by this time of the year."""
-    at = Calendar(df, last)
-    in_year = F.col("year") == at.previous
-    early = F.sum(F.when(in_year & (F.col("month") <= at.last_year_ago), F.col("terminated")))
+    in_year = F.col("year") == F.col("__before")
+    early = F.sum(F.when(in_year & (F.col("month") <= F.col("__ago")), F.col("terminated")))
     whole = F.sum(F.when(in_year, F.col("terminated")))
-    return df.where(F.col("kind") == kind).groupBy(*GROUP).agg(ratio(early, whole).alias("share"))
+    return _dated(df, last).where(F.col("kind") == kind).groupBy(*GROUP).agg(ratio(early, whole).alias("share"))
 
 
 def annualised_rates(df: DataFrame, last: str | None = None, kind: str = CONTRACTS) -> DataFrame:
     """This year's churn so far scaled to a whole year by last year's share."""
-    at = Calendar(df, last)
-    current = annual_rates(df, kind).where(F.col("year") == at.year)
+    end = F.lit(last) if last else df.agg(F.max("month")).scalar()
+    current = annual_rates(df, kind).where(F.col("year") == F.substring(end, 1, 4))
     share = year_to_date_share(df, last, kind)
     return current.join(share, list(GROUP), "inner").withColumn(
         "annualised_rate", F.bround(ratio(F.col("annual_rate"), F.col("share")), 1)
@@ -88,7 +77,6 @@ def selection_kpis(
     df: DataFrame, base_year: str, last: str | None = None, keys: Sequence[str] = ("network", "product", "kind")
 ) -> DataFrame:
     """Rates of the base year, last year and this year scaled up, per series, in one pass."""
-    at = Calendar(df, last)
     year, month, terminated = F.col("year"), F.col("month"), F.col("terminated")
 
     def total(condition: Column) -> Column:
@@ -97,14 +85,14 @@ def selection_kpis(
     def january(of: Column) -> Column:
         return F.max(F.when(month == F.concat(of, F.lit("01")), F.col("stock")))
 
-    sums = df.groupBy(*keys).agg(
-        total((year == at.year) & (month <= at.last)).alias("this_year"),
-        total(year == at.previous).alias("last_year"),
-        total((year == at.previous) & (month <= at.last_year_ago)).alias("last_year_to_date"),
+    sums = _dated(df, last).groupBy(*keys).agg(
+        total((year == F.col("__year")) & (month <= F.col("__last"))).alias("this_year"),
+        total(year == F.col("__before")).alias("last_year"),
+        total((year == F.col("__before")) & (month <= F.col("__ago"))).alias("last_year_to_date"),
         total(year == base_year).alias("base_year"),
         january(F.lit(base_year)).alias("stock_base"),
-        january(at.previous).alias("stock_last"),
-        january(at.year).alias("stock_this"),
+        january(F.col("__before")).alias("stock_last"),
+        january(F.col("__year")).alias("stock_this"),
     )
     scaled = ratio(F.col("this_year").cast("double") * F.col("last_year"), F.col("last_year_to_date"))
     return sums.withColumns(
@@ -153,10 +141,8 @@ def terminations_table(df: DataFrame, keys: Sequence[str] = ("network", "product
 
 def two_year_series(df: DataFrame, last: str | None = None) -> DataFrame:
     """Monthly rates of this year and last year in order."""
-    at = Calendar(df, last)
-    return df.where((F.col("year") == at.year) | (F.col("year") == at.previous)).orderBy(
-        "network", "product", "kind", "month"
-    )
+    recent = _dated(df, last).where((F.col("year") == F.col("__year")) | (F.col("year") == F.col("__before")))
+    return recent.drop(*HELPERS).orderBy("network", "product", "kind", "month")
 
 
 def product_list(df: DataFrame, kind: str = CONTRACTS) -> DataFrame:

@@ -158,7 +158,7 @@ def stock_of_spans(
     return monthly.groupBy(*keys).agg(*counts).orderBy(*keys)
 
 
-def terminations_of_spans(
+def exits_of_spans(
     df: DataFrame,
     first: str,
     last: str,
@@ -167,35 +167,54 @@ def terminations_of_spans(
     names: Names = DEFAULT,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """:func:`terminations` between two months, straight from the spans.
+    """Distinct clients and contracts leaving per period; only periods with an exit appear.
 
     A version is active in the exit period of its contract just when its own end lies
-    in that period, so each span counts in one period at most.
+    in that period. So only versions ending by the last period are looked at, each
+    counts in one period at most, and no month is spelled out.
     """
-    spans = drop_empty(within_months(df, first, last, names), names)
+    marks, by = _marks(flags), [names.network] if flags else []
     key = month_key if period == "month" else (lambda c: F.year(c).cast("string"))
-    own = spans.withColumn("__own", key(F.col(names.end)))
-    merged = merge_ends(own, names, hot_rows=hot_rows)
-    limit = last if period == "month" else last[:4]
-    leavers = merged.withColumn(period, key(F.col(names.end))).where(
-        (F.col("__own") == F.col(period)) & (F.col(period) <= limit)
+    spans = drop_empty(within_months(df, first, last, names), names)
+    columns = {f"m{i}": m.cast("int") for i, m in enumerate(marks.values())}
+    leaving = (
+        spans.withColumn("__own", key(F.col(names.end)))
+        .where(F.col("__own") <= F.lit(last if period == "month" else last[:4]))
+        .withColumns(columns)
+        .groupBy(*by, names.contract, names.client, names.end, "__own")
+        .agg(*[F.max(m).alias(m) for m in columns])
     )
-    marks = _marks(flags)
-    by = [period, names.network] if flags else [period]
-    columns = [m.cast("int").alias(f"m{i}") for i, m in enumerate(marks.values())]
+    versions = spans.select(names.contract, names.end)
+    leavers = merge_ends(leaving, names, versions, hot_rows).where(F.col("__own") == key(F.col(names.end)))
+    by = [period, *by]
     per_id = (
-        leavers.select(*by, *columns, F.inline(_ids(names)))
+        leavers.withColumnRenamed("__own", period)
+        .select(*by, *columns, F.inline(_ids(names)))
         .groupBy(*by, "kind", "id")
-        .agg(*[F.max(f"m{i}").alias(f"m{i}") for i in range(len(marks))])
+        .agg(*[F.max(m).alias(m) for m in columns])
     )
-    exits = per_id.groupBy(*by).agg(
+    return per_id.groupBy(*by).agg(
         *[
-            _kind_sum(kind, F.col(f"m{i}")).alias(f"__{_measure(kind, flag)}")
+            _kind_sum(kind, F.col(f"m{i}")).alias(_measure(kind, flag))
             for i, flag in enumerate(marks)
             for kind in (CLIENTS, CONTRACTS)
         ]
     )
-    measures = [_measure(kind, flag) for flag in marks for kind in (CLIENTS, CONTRACTS)]
+
+
+def terminations_of_spans(
+    df: DataFrame,
+    first: str,
+    last: str,
+    period: str = "month",
+    flags: Sequence[str] | None = None,
+    names: Names = DEFAULT,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """:func:`terminations` between two months, straight from the spans."""
+    by = [period, names.network] if flags else [period]
+    measures = [_measure(kind, flag) for flag in _marks(flags) for kind in (CLIENTS, CONTRACTS)]
+    exits = exits_of_spans(df, first, last, period, flags, names, hot_rows)
     present = stock_of_spans(df, first, last, flags, names)
     if period == "year":
         present = (
@@ -203,11 +222,8 @@ def terminations_of_spans(
             .groupBy(*by)
             .agg(*[F.max(m).alias(m) for m in measures])
         )
-    return (
-        present.join(exits, by, "left")
-        .select(
-            *by,
-            *[F.when(F.col(m).isNotNull(), F.coalesce(f"__{m}", F.lit(0).cast("bigint"))).alias(m) for m in measures],
-        )
-        .orderBy(*by)
-    )
+    joined = present.join(exits.withColumnsRenamed({m: f"__{m}" for m in measures}), by, "left")
+    none = F.lit(0).cast("bigint")
+    return joined.select(
+        *by, *[F.when(F.col(m).isNotNull(), F.coalesce(f"__{m}", none)).alias(m) for m in measures]
+    ).orderBy(*by)

@@ -10,12 +10,8 @@ from lapsewise.functions.dates import month_name
 from lapsewise.functions.text import measure_kind, measure_product
 
 
-def to_long(
-    wide: DataFrame, value: str = "value", keys: Sequence[str] = ("month", "network"), period: str = "month"
-) -> DataFrame:
-    """One row per measure that has a value, its name split into ``kind`` and ``product``."""
-    measures = [c for c in wide.columns if c not in keys]
-    long = wide.unpivot(list(keys), measures, "name", value).where(F.col(value).isNotNull())
+def with_name_parts(long: DataFrame, period: str = "month") -> DataFrame:
+    """Split ``name`` into ``kind`` and ``product``; add year and month name of monthly rows."""
     name = F.col("name")
     long = long.withColumns({"kind": measure_kind(name), "product": measure_product(name)})
     if period == "month":
@@ -23,6 +19,15 @@ def to_long(
     return long
 
 
+def to_long(
+    wide: DataFrame, value: str = "value", keys: Sequence[str] = ("month", "network"), period: str = "month"
+) -> DataFrame:
+    """One row per measure that has a value, its name split into parts."""
+    measures = [c for c in wide.columns if c not in keys]
+    long = wide.unpivot(list(keys), measures, "name", value).where(F.col(value).isNotNull())
+    return with_name_parts(long, period)
+
+
 def to_wide(long: DataFrame, keys: Sequence[str], names: Sequence[str], value: str = "value") -> DataFrame:
     """Back to one column per measure name; the names are given, so no extra job lists them."""
     return long.groupBy(*keys).pivot("name", list(names)).agg(F.first(value, ignorenulls=True))

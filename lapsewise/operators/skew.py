@@ -26,18 +26,19 @@ def attach_group(
     df: DataFrame,
     keys: Sequence[str],
     aggregates: Sequence[Column],
+    source: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     slices: int = SLICES,
 ) -> DataFrame:
     """``df`` with the (aliased) aggregates of each row's group; NULL keys form a group.
 
-    The ``HOT_GROUPS`` largest groups of ``hot_rows`` rows or more are broadcast, a
+    The aggregates are taken over ``source`` if given, of which ``df`` is a part. The ``HOT_GROUPS`` largest groups of ``hot_rows`` rows or more are broadcast, a
     table of at most that many rows; every other group is smaller than all of them and
     is joined by key. The slice that spreads hot rows depends on the input partition
     and the row only, so a task that runs again makes the same choice.
     """
     keys = list(keys)
-    per_group = df.groupBy(*keys).agg(*aggregates, F.count(F.lit(1)).alias("__rows"))
+    per_group = (df if source is None else source).groupBy(*keys).agg(*aggregates, F.count(F.lit(1)).alias("__rows"))
     names = [c for c in per_group.columns if c not in (*keys, "__rows")]
     hot = (
         per_group.where(F.col("__rows") >= hot_rows)

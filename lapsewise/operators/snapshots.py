@@ -27,7 +27,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     return df.withColumn("__place", F.row_number().over(window)).where("__place = 1").drop("__place")
 
 
-def union_all(spark: SparkSession, frames: Sequence[DataFrame], schema: StructType) -> DataFrame:
+def union_all(spark: SparkSession, frames: Sequence[DataFrame], schema: StructType | str) -> DataFrame:
     """All rows of all frames by column name, missing columns NULL; no frames, no rows."""
     result = spark.createDataFrame([], schema)
     for frame in frames:

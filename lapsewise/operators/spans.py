@@ -54,13 +54,16 @@ def open_end() -> Column:
     return F.lit(fv.OPEN_END).cast("date")
 
 
-def merge_ends(df: DataFrame, names: Names = DEFAULT, hot_rows: int = HOT_ROWS) -> DataFrame:
+def merge_ends(
+    df: DataFrame, names: Names = DEFAULT, source: DataFrame | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Give every version of a contract the latest end of all of them.
 
     Replaced contracts thus count as one; an open version makes the contract open.
+    ``source`` holds all versions when ``df`` has only some.
     """
     end = F.coalesce(F.col(names.end).cast("date"), open_end())
-    merged = attach_group(df, [names.contract], [F.max(end).alias("__end")], hot_rows=hot_rows)
+    merged = attach_group(df, [names.contract], [F.max(end).alias("__end")], source, hot_rows)
     return merged.withColumn(names.end, F.col("__end")).drop("__end")
 
 

@@ -106,8 +106,9 @@ def campaign(
 
 
 def _eligible_first() -> list[Column]:
-    """A person's contracts with a target proposal come first, so that one of them is kept."""
-    return [F.col("proposition").isin(*fv.TARGET_PROPOSALS).desc_nulls_last(), F.col("Presence_CC").desc()]
+    """Of a person's contracts those a wave may draw come first, so that one of them is kept."""
+    target = F.col("proposition").isin(*fv.TARGET_PROPOSALS) & (F.col("Presence_CC") == "O")
+    return [F.coalesce(target, F.lit(False)).desc()]
 
 
 def contact_list(work: DataFrame, control: bool) -> DataFrame:

@@ -6,11 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from lapsewise.functions.amounts import ratio
 from lapsewise.functions.dates import check_month
 from lapsewise.operators.columns import DEFAULT, Names
-from lapsewise.operators.kpis import monthly_rates
-from lapsewise.operators.measures import stock_of_spans, terminations_of_spans
-from lapsewise.operators.reshape import to_long
+from lapsewise.operators.measures import exits_of_spans, stock_of_spans, terminations_of_spans
+from lapsewise.operators.reshape import with_name_parts
 from lapsewise.sources.sinks import write_reports
 from lapsewise.sources.workspace import stored
 
@@ -59,9 +59,25 @@ def report_table(reports: dict[str, DataFrame]) -> DataFrame:
 def churn_measures(
     portfolio: DataFrame, first: str, last: str, flags: Sequence[str], names: Names = DEFAULT
 ) -> DataFrame:
-    """Long monthly stock and terminations with the churn rate, the input of the KPIs."""
-    reports = churn_report(portfolio, first, last, flags, names)
-    keys = ("month", "network")
-    stock = to_long(reports[STOCK].withColumnRenamed(names.network, "network"), "stock", keys)
-    terminated = to_long(reports[BY_MONTH].withColumnRenamed(names.network, "network"), "terminated", keys)
-    return monthly_rates(stock, terminated)
+    """Long monthly stock and terminations with the churn rate, the input of the KPIs.
+
+    The same rows as unpivoting both reports and joining them, with the stock counted once.
+    """
+    check_month(first), check_month(last)
+    stock = stock_of_spans(portfolio, first, last, flags, names)
+    keys = ["month", names.network]
+    measures = [c for c in stock.columns if c not in keys]
+    exits = exits_of_spans(portfolio, first, last, "month", flags, names)
+    wide = stock.join(exits.withColumnsRenamed({m: f"__{m}" for m in measures}), keys, "left")
+    pairs = [
+        F.struct(
+            F.lit(m).alias("name"),
+            F.col(m).alias("stock"),
+            F.coalesce(F.col(f"__{m}"), F.lit(0).cast("bigint")).alias("terminated"),
+        )
+        for m in measures
+    ]
+    long = wide.select("month", F.col(names.network).alias("network"), F.inline(F.array(*pairs)))
+    return with_name_parts(long.where(F.col("stock").isNotNull())).withColumn(
+        "rate", ratio(F.col("terminated"), F.col("stock"))
+    )

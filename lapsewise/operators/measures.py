@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lapsewise.functions.dates import month_key, month_key_of_number, month_number_of
 from lapsewise.operators.columns import DEFAULT, Names
@@ -22,27 +22,36 @@ from lapsewise.operators.spans import drop_empty, merge_ends, within_months
 
 CLIENTS = "nbCli"
 CONTRACTS = "nbCtr"
+KINDS = (CLIENTS, CONTRACTS)
 WORD = 60  # months per bit pattern
 
 
-def _ids(names: Names) -> Column:
-    """Both ids of a row as (kind, id) pairs."""
-    return F.array(
-        F.struct(F.lit(CLIENTS).alias("kind"), F.col(names.client).cast("string").alias("id")),
-        F.struct(F.lit(CONTRACTS).alias("kind"), F.col(names.contract).cast("string").alias("id")),
+def _ids(names: Names) -> str:
+    """Both ids of a row as rows of (kind, id)."""
+    return (
+        f"inline(array(struct('{CLIENTS}' as kind, cast(`{names.client}` as string) as id), "
+        f"struct('{CONTRACTS}' as kind, cast(`{names.contract}` as string) as id)))"
     )
 
 
-def _measure(kind: str, flag: str | None) -> str:
-    return f"{kind}_{flag}" if flag else kind
+def _marks(flags: Sequence[str] | None) -> dict[str, str]:
+    """Condition of each flag under its short name; one that always holds without flags."""
+    return {f"m{i}": f"`{f}` = 1" for i, f in enumerate(flags)} if flags else {"m0": "true"}
 
 
-def _marks(flags: Sequence[str] | None) -> dict[str | None, Column]:
-    return {f: F.col(f) == 1 for f in flags} if flags else {None: F.lit(True)}
+def _measures(flags: Sequence[str] | None) -> dict[tuple[str, str], str]:
+    """Output name by mark and kind of id."""
+    names = [f"_{f}" for f in flags] if flags else [""]
+    return {(f"m{i}", kind): f"{kind}{name}" for i, name in enumerate(names) for kind in KINDS}
 
 
-def _kind_sum(kind: str, value: Column) -> Column:
-    return F.sum(F.when((F.col("kind") == kind) & F.col("id").isNotNull(), value).otherwise(0))
+def _count(kind: str, value: str) -> str:
+    """Ids of a kind, from rows of one id each."""
+    return f"sum(if(kind = '{kind}' and id is not null, {value}, 0))"
+
+
+def _expressions(*texts: str) -> list:
+    return [F.expr(t) for t in texts]
 
 
 def stock(monthly: DataFrame, flags: Sequence[str] | None = None, names: Names = DEFAULT) -> DataFrame:
@@ -52,16 +61,10 @@ def stock(monthly: DataFrame, flags: Sequence[str] | None = None, names: Names =
     """
     by = ["month", names.network] if flags else ["month"]
     marks = _marks(flags)
-    rows = monthly.select(
-        *by, *[m.cast("int").alias(f"m{i}") for i, m in enumerate(marks.values())], F.inline(_ids(names))
-    )
-    per_id = rows.groupBy(*by, "kind", "id").agg(*[F.max(f"m{i}").alias(f"m{i}") for i in range(len(marks))])
-    counts = [
-        F.when(F.max(f"m{i}") == 1, _kind_sum(kind, F.col(f"m{i}"))).alias(_measure(kind, flag))
-        for i, flag in enumerate(marks)
-        for kind in (CLIENTS, CONTRACTS)
-    ]
-    return per_id.groupBy(*by).agg(*counts).orderBy(*by)
+    rows = monthly.selectExpr(*by, *[f"if({c}, 1, 0) as {m}" for m, c in marks.items()], _ids(names))
+    per_id = rows.groupBy(*by, "kind", "id").agg(*_expressions(*[f"max({m}) as {m}" for m in marks]))
+    counts = [f"if(max({m}) = 1, {_count(kind, m)}, null) as `{out}`" for (m, kind), out in _measures(flags).items()]
+    return per_id.groupBy(*by).agg(*_expressions(*counts)).orderBy(*by)
 
 
 def terminations(
@@ -78,37 +81,27 @@ def terminations(
     that keeps a placeholder id for such contracts.
     """
     by = [period, names.network] if flags else [period]
-    left = F.col(period) == F.col(f"exit_{period}")
-    marks = _marks(flags)
-    columns, keep = [], []
-    for i, mark in enumerate(marks.values()):
-        columns += [
-            mark.cast("int").alias(f"m{i}"),
-            (mark & left).cast("int").alias(f"t{i}"),
-            (mark & ~left).cast("int").alias(f"s{i}"),
-        ]
-        keep += [F.max(c).alias(c) for c in (f"m{i}", f"t{i}", f"s{i}")]
-    per_id = monthly.select(*by, *columns, F.inline(_ids(names))).groupBy(*by, "kind", "id").agg(*keep)
+    leaves = f"{period} = exit_{period}"
+    marks = {}
+    for mark, condition in _marks(flags).items():
+        marks |= {mark: condition, f"leaves_{mark}": f"{condition} and {leaves}"}
+        marks[f"stays_{mark}"] = f"{condition} and not {leaves}"
+    rows = monthly.selectExpr(*by, *[f"if({c}, 1, 0) as {m}" for m, c in marks.items()], _ids(names))
+    per_id = rows.groupBy(*by, "kind", "id").agg(*_expressions(*[f"max({m}) as {m}" for m in marks]))
     counts = []
-    for i, flag in enumerate(marks):
-        for kind in (CLIENTS, CONTRACTS):
-            count = _kind_sum(kind, F.col(f"t{i}"))
-            if sentinel and kind == CONTRACTS:
-                count = count + F.max(f"s{i}")
-            counts.append(F.when(F.max(f"m{i}") == 1, count).alias(_measure(kind, flag)))
-    return per_id.groupBy(*by).agg(*counts).orderBy(*by)
+    for (mark, kind), out in _measures(flags).items():
+        count = _count(kind, f"leaves_{mark}")
+        if sentinel and kind == CONTRACTS:
+            count = f"{count} + max(stays_{mark})"
+        counts.append(f"if(max({mark}) = 1, {count}, null) as `{out}`")
+    return per_id.groupBy(*by).agg(*_expressions(*counts)).orderBy(*by)
 
 
-def _bits(word: int) -> Column:
+def _bits(word: int) -> str:
     """Active months of a span within one word, as bits."""
-    low = F.greatest("lo", F.lit(word * WORD)) - word * WORD
-    high = F.least("hi", F.lit(word * WORD + WORD - 1)) - word * WORD
-    one = F.lit(1).cast("bigint")
-
-    def power(n: Column) -> Column:
-        return F.call_function("shiftleft", one, n.cast("int"))
-
-    return F.when(low <= high, power(high + 1) - power(low)).otherwise(F.lit(0).cast("bigint"))
+    low = f"greatest(lo, {word * WORD}) - {word * WORD}"
+    high = f"least(hi, {word * WORD + WORD - 1}) - {word * WORD}"
+    return f"if({low} <= {high}, shiftleft(1L, {high} + 1) - shiftleft(1L, {low}), 0L)"
 
 
 def stock_of_spans(
@@ -121,41 +114,34 @@ def stock_of_spans(
     spans = drop_empty(within_months(df, first, last, names), names)
     months = month_number_of(last) - month_number_of(first) + 1
     words = range(-(-months // WORD))
-    marks = _marks(flags)
     by = [names.network] if flags else []
-    bits = {f"a{w}": _bits(w) for w in words}
-    columns = []
-    if flags:
-        columns += [
-            F.when(mark, F.col(f"a{w}")).otherwise(F.lit(0).cast("bigint")).alias(f"m{i}_{w}")
-            for i, mark in enumerate(marks.values())
-            for w in words
-        ]
-    patterns = [f"a{w}" for w in words] + [f"m{i}_{w}" for i in range(len(marks)) for w in words if flags]
-    rows = spans.withColumns(bits).select(*by, *[f"a{w}" for w in words], *columns, F.inline(_ids(names)))
-    per_id = rows.groupBy(*by, "kind", "id").agg(*[F.bit_or(p).alias(p) for p in patterns])
+    marks = {"all": "true", **(_marks(flags) if flags else {})}
+    patterns = {f"{m}_{w}": f"if({c}, bits_{w}, 0L)" for m, c in marks.items() for w in words}
+    rows = spans.selectExpr("*", *[f"{_bits(w)} as bits_{w}" for w in words]).selectExpr(
+        *by, *[f"{bits} as {p}" for p, bits in patterns.items()], _ids(names)
+    )
+    per_id = rows.groupBy(*by, "kind", "id").agg(*_expressions(*[f"bit_or({p}) as {p}" for p in patterns]))
     alike = per_id.groupBy(*by, "kind", *patterns).agg(F.count("id").alias("ids"))
 
-    def bit(prefix: str) -> Column:
-        word = F.element_at(F.array(*[F.col(f"{prefix}{w}") for w in words]), (F.col("at") / WORD).cast("int") + 1)
-        return F.call_function("shiftright", word, (F.col("at") % WORD).cast("int")).bitwiseAND(F.lit(1))
-
-    monthly = alike.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(months - 1)))).where(bit("a") == 1)
-    prefixes = [f"m{i}_" if flags else "a" for i in range(len(marks))]
-    monthly = monthly.select(
-        *by,
-        month_key_of_number(F.col("at") + month_number_of(first)).alias("month"),
-        "kind", "ids",
-        *[bit(p).alias(f"b{i}") for i, p in enumerate(prefixes)],
+    def bit(mark: str) -> str:
+        if len(words) == 1:
+            return f"shiftright({mark}_0, at) & 1"
+        word = f"element_at(array({', '.join(f'{mark}_{w}' for w in words)}), cast(at div {WORD} as int) + 1)"
+        return f"shiftright({word}, at % {WORD}) & 1"
+
+    counted = list(_marks(flags)) if flags else ["all"]
+    monthly = (
+        alike.selectExpr("*", f"explode(sequence(0, {months - 1})) as at")
+        .where(f"{bit('all')} = 1")
+        .selectExpr(*by, "at", "kind", "ids", *[f"{bit(m)} as {m}" for m in counted])
     )
     counts = [
-        F.when(F.max(f"b{i}") == 1, F.sum(F.when(F.col("kind") == kind, F.col("ids") * F.col(f"b{i}")).otherwise(0)))
-        .alias(_measure(kind, flag))
-        for i, flag in enumerate(marks)
-        for kind in (CLIENTS, CONTRACTS)
+        f"if(max({m if flags else 'all'}) = 1, sum(if(kind = '{kind}', ids * {m if flags else 'all'}, 0)), null) as `{out}`"
+        for (m, kind), out in _measures(flags).items()
     ]
-    keys = ["month", *by]
-    return monthly.groupBy(*keys).agg(*counts).orderBy(*keys)
+    month = month_key_of_number(F.col("at") + month_number_of(first)).alias("month")
+    totals = monthly.groupBy("at", *by).agg(*_expressions(*counts))
+    return totals.select(month, *[c for c in totals.columns if c != "at"]).orderBy("month", *by)
 
 
 def exits_of_spans(
@@ -176,30 +162,27 @@ def exits_of_spans(
     marks, by = _marks(flags), [names.network] if flags else []
     key = month_key if period == "month" else (lambda c: F.year(c).cast("string"))
     spans = drop_empty(within_months(df, first, last, names), names)
-    columns = {f"m{i}": m.cast("int") for i, m in enumerate(marks.values())}
+    keep_marked = _expressions(*[f"max({m}) as {m}" for m in marks])
     leaving = (
-        spans.withColumn("__own", key(F.col(names.end)))
+        spans.select(
+            *by, names.contract, names.client, names.end, key(F.col(names.end)).alias("__own"),
+            *_expressions(*[f"if({c}, 1, 0) as {m}" for m, c in marks.items()]),
+        )
         .where(F.col("__own") <= F.lit(last if period == "month" else last[:4]))
-        .withColumns(columns)
         .groupBy(*by, names.contract, names.client, names.end, "__own")
-        .agg(*[F.max(m).alias(m) for m in columns])
+        .agg(*keep_marked)
     )
     versions = spans.select(names.contract, names.end)
     leavers = merge_ends(leaving, names, versions, hot_rows).where(F.col("__own") == key(F.col(names.end)))
     by = [period, *by]
     per_id = (
         leavers.withColumnRenamed("__own", period)
-        .select(*by, *columns, F.inline(_ids(names)))
+        .selectExpr(*by, *marks, _ids(names))
         .groupBy(*by, "kind", "id")
-        .agg(*[F.max(m).alias(m) for m in columns])
-    )
-    return per_id.groupBy(*by).agg(
-        *[
-            _kind_sum(kind, F.col(f"m{i}")).alias(_measure(kind, flag))
-            for i, flag in enumerate(marks)
-            for kind in (CLIENTS, CONTRACTS)
-        ]
+        .agg(*keep_marked)
     )
+    counts = [f"{_count(kind, m)} as `{out}`" for (m, kind), out in _measures(flags).items()]
+    return per_id.groupBy(*by).agg(*_expressions(*counts))
 
 
 def terminations_of_spans(
@@ -210,20 +193,23 @@ def terminations_of_spans(
     flags: Sequence[str] | None = None,
     names: Names = DEFAULT,
     hot_rows: int = HOT_ROWS,
+    stock: DataFrame | None = None,
 ) -> DataFrame:
-    """:func:`terminations` between two months, straight from the spans."""
+    """:func:`terminations` between two months, straight from the spans.
+
+    ``stock`` is the stock of the same spans, if at hand; it tells which flags have rows.
+    """
     by = [period, names.network] if flags else [period]
-    measures = [_measure(kind, flag) for flag in _marks(flags) for kind in (CLIENTS, CONTRACTS)]
+    measures = _measures(flags).values()
     exits = exits_of_spans(df, first, last, period, flags, names, hot_rows)
-    present = stock_of_spans(df, first, last, flags, names)
+    present = stock_of_spans(df, first, last, flags, names) if stock is None else stock
     if period == "year":
         present = (
             present.withColumn("year", F.substring("month", 1, 4))
             .groupBy(*by)
-            .agg(*[F.max(m).alias(m) for m in measures])
+            .agg(*_expressions(*[f"max(`{m}`) as `{m}`" for m in measures]))
         )
     joined = present.join(exits.withColumnsRenamed({m: f"__{m}" for m in measures}), by, "left")
-    none = F.lit(0).cast("bigint")
-    return joined.select(
-        *by, *[F.when(F.col(m).isNotNull(), F.coalesce(f"__{m}", none)).alias(m) for m in measures]
+    return joined.selectExpr(
+        *[f"`{b}`" for b in by], *[f"if(`{m}` is not null, coalesce(`__{m}`, 0L), null) as `{m}`" for m in measures]
     ).orderBy(*by)

@@ -6,74 +6,100 @@ Every draw has an explicit order that ends with the id, so that a rerun draws th
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lapsewise import fixed_values as fv
 from lapsewise.operators import joins, quality
 
+Order = Sequence[tuple[str, str]]  # (column, 'asc' or 'desc'), the first one counts most
+
 BROADCAST_ROWS = 100_000
+DIRECT_ROWS = 1000
 SLICES = 256
 
 
+def sorting(order: Order) -> list[Column]:
+    return [F.col(c).asc() if way == "asc" else F.col(c).desc() for c, way in order]
+
+
 def draw_key(key: Column, seed: int | str = 1) -> Column:
     """Pseudo-random order of ids that depends on the seed and the id only."""
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
-def top_n(df: DataFrame, n: int, order: Sequence[Column | str]) -> DataFrame:
-    """The first ``n`` rows in ``order``; every task keeps ``n`` rows at most."""
-    return df.orderBy(*order).limit(n)
-
-
 def _small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast hint for a frame of at most ``rows`` rows, if that is small."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def control_group(df: DataFrame, key: str, n: int, seed: int = 1, out: str = "temoin") -> DataFrame:
-    """Flag ``n`` ids drawn by seeded hash, all of them when there are fewer."""
-    drawn = top_n(df.select(F.col(key).alias("__drawn")).distinct(), n, [draw_key(F.col("__drawn"), seed), "__drawn"])
-    marked = df.join(_small(drawn, n), F.col(key) == F.col("__drawn"), "left")
-    return marked.withColumn(out, F.col("__drawn").isNotNull()).drop("__drawn")
-
-
-def top_with_ties(
-    df: DataFrame,
-    k: int,
-    order: Sequence[tuple[str, str]],
-    by: Sequence[str] = (),
-    slices: int = SLICES,
-) -> DataFrame:
-    """Rows among the first ``k`` of their group, with all rows tied with the last one.
+def _positions(df: DataFrame, k: int, order: Order, by: Sequence[str], slices: int) -> DataFrame:
+    """Distinct values of the order columns with fewer than ``k`` rows before them in the group.
 
-    ``order`` lists (column, 'asc' or 'desc'); rows with a NULL among them are left out.
     Equal positions are counted before they are ordered, and ordered in slices first,
     where a position with ``k`` rows before it in its slice alone is out. What is left
     of a group for the final ordering is at most ``slices * k`` positions.
     """
-    by, columns = list(by), [c for c, _ in order]
-    sorting = [F.col(c).asc() if way == "asc" else F.col(c).desc() for c, way in order]
-    known = df.dropna(subset=columns)
-    positions = (
-        known.groupBy(*by, *columns)
+    columns = [c for c, _ in order]
+    counted = (
+        df.groupBy(*by, *columns)
         .agg(F.count(F.lit(1)).alias("__rows"))
         .withColumn("__slice", F.pmod(F.xxhash64(*columns), F.lit(slices)))
     )
 
     def within(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
-        before = Window.partitionBy(*keys).orderBy(*sorting).rowsBetween(Window.unboundedPreceding, -1)
+        before = Window.partitionBy(*keys).orderBy(*sorting(order)).rowsBetween(Window.unboundedPreceding, -1)
         ahead = F.coalesce(F.sum("__rows").over(before), F.lit(0))
         return frame.withColumn("__ahead", ahead).where(F.col("__ahead") < k).drop("__ahead")
 
-    taken = within(within(positions, [*by, "__slice"]), by).select(*by, *columns)
+    return within(within(counted, [*by, "__slice"]), by).select(*by, *columns)
+
+
+def top_n(
+    df: DataFrame, n: int, order: Order, direct_rows: int = DIRECT_ROWS, slices: int = SLICES
+) -> DataFrame:
+    """The first ``n`` rows in ``order``, whose last column should be an id.
+
+    Few rows come from a plain sort with limit, where every task hands on ``n`` rows at
+    most. For more, the order columns alone are ranked first and the rows fetched by
+    them, so that not every task hands on ``n`` whole rows.
+    """
+    if n > direct_rows:
+        taken = _positions(df, n, order, (), slices)
+        match = [F.col(f"d.{c}").eqNullSafe(F.col(f"t.{c}")) for c, _ in order]
+        # without groups there are at most n positions
+        df = df.alias("d").join(_small(taken, n).alias("t"), reduce(and_, match), "left_semi")
+    return df.orderBy(*sorting(order)).limit(n)
+
+
+def control_group(df: DataFrame, key: str, n: int, seed: int = 1, out: str = "temoin") -> DataFrame:
+    """Flag ``n`` ids drawn by seeded hash, all of them when there are fewer."""
+    ids = df.select(F.col(key).alias("__drawn")).distinct()
+    ids = ids.withColumn("__order", draw_key(F.col("__drawn"), seed))
+    drawn = top_n(ids, n, [("__order", "asc"), ("__drawn", "asc")]).select("__drawn")
+    marked = df.join(_small(drawn, n), F.col(key) == F.col("__drawn"), "left")
+    return marked.withColumn(out, F.col("__drawn").isNotNull()).drop("__drawn")
+
+
+def top_with_ties(
+    df: DataFrame, k: int, order: Order, by: Sequence[str] = (), slices: int = SLICES
+) -> DataFrame:
+    """Rows among the first ``k`` of their group, with all rows tied with the last one.
+
+    Rows with a NULL in an order column are left out.
+    """
+    by, columns = list(by), [c for c, _ in order]
+    known = df.dropna(subset=columns)
+    taken = _positions(known, k, order, by, slices)
     # without groups there are at most k positions
     return known.join(taken if by else _small(taken, k), [*by, *columns], "left_semi")
 
 
 def wave(
     candidates: DataFrame,
-    order: Sequence[Column | str],
+    order: Order,
     key: str = "identifiant",
     contacts: int = fv.CONTACTS_PER_WAVE,
     controls: int = fv.CONTROLS_PER_WAVE,
@@ -82,7 +108,7 @@ def wave(
     """One campaign wave: eligible rows, the first of them in order, and its control group."""
     eligible = quality.apply_steps(candidates, wave_steps())
     total = contacts + controls
-    drawn = top_n(eligible, total, [*order, key])
+    drawn = top_n(eligible, total, [*order, (key, "asc")])
     # ``drawn`` has at most ``total`` rows and is one partition already
     place = F.dense_rank().over(Window.orderBy(draw_key(F.col(key), seed), key))
     return drawn.withColumn("temoin", place <= controls)
@@ -101,7 +127,7 @@ def wave_steps() -> dict[str, Column]:
 def draw_or_reuse(
     candidates: DataFrame,
     former: DataFrame | None,
-    order: Sequence[Column | str],
+    order: Order,
     key: str = "identifiant",
     former_key: str = "id_contrat",
     **options,
@@ -150,4 +176,4 @@ def quota_waterfall(
     )
     if ties:
         return top_with_ties(rows, quota, [("bucket", "asc"), (score, "desc")])
-    return top_n(rows, quota, ["bucket", F.col(score).desc(), key])
+    return top_n(rows, quota, [("bucket", "asc"), (score, "desc"), (key, "asc")])

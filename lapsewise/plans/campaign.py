@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lapsewise import fixed_values as fv
@@ -13,7 +11,7 @@ from lapsewise.functions.dates import campaign_name, check_day, day
 from lapsewise.functions.text import zero_fill
 from lapsewise.operators import joins
 from lapsewise.operators.lookups import add_dial_prefix, add_price
-from lapsewise.operators.selection import draw_or_reuse
+from lapsewise.operators.selection import Order, draw_or_reuse, sorting
 from lapsewise.operators.snapshots import first_per_key
 
 SCORE = "score_fragilite"
@@ -82,7 +80,7 @@ def campaign(
     funeral_grid: DataFrame,
     extraction: str,
     week: str,
-    order: Sequence[Column | str] | None = None,
+    order: Order = ((SCORE, "desc"),),
     former: DataFrame | None = None,
     dedupe: str = "before",
     **options,
@@ -93,9 +91,8 @@ def campaign(
     that the list is full; ``dedupe='after'`` drops repeats from the drawn list instead.
     """
     check_day(extraction)
-    order = list(order or [F.col(SCORE).desc()])
     rows = reachable(candidates, hierarchy, advisors, history)
-    one_each = [*order, "identifiant"]
+    one_each = sorting([*order, ("identifiant", "asc")])
     if dedupe == "before" and former is None:
         rows = first_per_key(rows, ["identifiantrce"], [*_eligible_first(), *one_each])
     drawn = draw_or_reuse(rows, former, order, **options)

@@ -23,11 +23,11 @@ def churn_report(
     """The three reports by network and flag, from a portfolio with flags."""
     check_month(first), check_month(last)
     spans = portfolio.select(names.contract, names.client, names.start, names.end, names.network, *flags)
-    return {
-        STOCK: stock_of_spans(spans, first, last, flags, names),
-        BY_YEAR: terminations_of_spans(spans, first, last, "year", flags, names),
-        BY_MONTH: terminations_of_spans(spans, first, last, "month", flags, names),
-    }
+    stock = stock_of_spans(spans, first, last, flags, names)
+    by_year, by_month = (
+        terminations_of_spans(spans, first, last, period, flags, names, stock=stock) for period in ("year", "month")
+    )
+    return {STOCK: stock, BY_YEAR: by_year, BY_MONTH: by_month}
 
 
 def write_churn_report(
@@ -70,14 +70,9 @@ def churn_measures(
     exits = exits_of_spans(portfolio, first, last, "month", flags, names)
     wide = stock.join(exits.withColumnsRenamed({m: f"__{m}" for m in measures}), keys, "left")
     pairs = [
-        F.struct(
-            F.lit(m).alias("name"),
-            F.col(m).alias("stock"),
-            F.coalesce(F.col(f"__{m}"), F.lit(0).cast("bigint")).alias("terminated"),
-        )
-        for m in measures
+        f"struct('{m}' as name, `{m}` as stock, coalesce(`__{m}`, 0L) as terminated)" for m in measures
     ]
-    long = wide.select("month", F.col(names.network).alias("network"), F.inline(F.array(*pairs)))
+    long = wide.selectExpr("month", f"`{names.network}` as network", f"inline(array({', '.join(pairs)}))")
     return with_name_parts(long.where(F.col("stock").isNotNull())).withColumn(
         "rate", ratio(F.col("terminated"), F.col("stock"))
     )

@@ -52,7 +52,7 @@ select identifiant, identifiantrce, score_model,
 from drawn""")
 def wave_selection(spark, sf_dir):
     wave = selection.wave(
-        _marked(spark, sf_dir), [F.col("score_model").desc()], contacts=CONTACTS, controls=CONTROLS
+        _marked(spark, sf_dir), [("score_model", "desc")], contacts=CONTACTS, controls=CONTROLS
     )
     return wave.select("identifiant", "identifiantrce", "score_model", "temoin")
 
@@ -65,7 +65,7 @@ def rerun_draw(spark, sf_dir):
     former = rows.where("score_model > 5000").select(
         F.col("identifiant").alias("id_contrat"), (F.col("score_model") > 9000).alias("temoin")
     )
-    return selection.draw_or_reuse(rows, former, ["identifiant"]).select("identifiant", "temoin")
+    return selection.draw_or_reuse(rows, former, []).select("identifiant", "temoin")
 
 
 @query("""select o_orderkey, o_custkey, o_custkey in (
@@ -84,6 +84,12 @@ rows as (
     and ((actions_123 > 0 and Presence_CC = 'O') or actions_67 > 0))"""
 
 
+@query("select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 2000")
+def top_orders(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return selection.top_n(orders, 2000, [("o_totalprice", "desc"), ("o_orderkey", "asc")])
+
+
 @query(f"""with {WATERFALL_SQL} select identifiant, bucket, score_model from rows where bucket is not null
 order by bucket, score_model desc, identifiant limit {QUOTA}""")
 def quota_waterfall(spark, sf_dir):

@@ -19,7 +19,7 @@ def rejoin(value: Column, sep: str = " / ", trim: bool = False) -> Column:
     """Comma list with another separator, keeping blanks unless ``trim``."""
     parts = F.split(value, ",")
     if trim:
-        parts = F.transform(parts, F.trim)
+        parts = F.transform(parts, lambda part: F.trim(part))
     return F.array_join(parts, sep)
 
 

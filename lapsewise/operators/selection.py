@@ -94,7 +94,8 @@ def top_with_ties(
     known = df.dropna(subset=columns)
     taken = _positions(known, k, order, by, slices)
     # without groups there are at most k positions
-    return known.join(taken if by else _small(taken, k), [*by, *columns], "left_semi")
+    kept = known.join(taken if by else _small(taken, k), [*by, *columns], "left_semi")
+    return kept.select(*df.columns)
 
 
 def wave(

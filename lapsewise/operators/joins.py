@@ -20,8 +20,12 @@ def add_reference(df: DataFrame, reference: DataFrame, keys: Sequence[str]) -> D
 
 
 def match_distinct(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on shared column names without repeated rows."""
-    return df.join(other, list(keys), "inner").distinct()
+    """Inner join on shared column names without repeated rows.
+
+    Copies go before the join, where they would multiply; two sides without copies
+    cannot give any.
+    """
+    return df.distinct().join(other.distinct(), list(keys), "inner")
 
 
 def _ids(members: DataFrame, member: str, out: str = "__member") -> DataFrame:

@@ -19,7 +19,7 @@ def drop_empty(df: DataFrame, names: Names = DEFAULT) -> DataFrame:
     return df.where((start != end) | end.isNull())
 
 
-def _within(df: DataFrame, first: str, last: str, names: Names) -> DataFrame:
+def active_between(df: DataFrame, first: str, last: str, names: Names = DEFAULT) -> DataFrame:
     """Rows with a month between ``first`` and ``last``; plain comparisons that reach the scan."""
     start, end = F.col(names.start), F.col(names.end)
     after_last = F.add_months(month_start(last), 1)
@@ -33,7 +33,7 @@ def within_months(df: DataFrame, first: str, last: str, names: Names = DEFAULT)
     base, top = month_number_of(first), month_number_of(last) - month_number_of(first)
     lo = F.greatest(month_number(F.col(names.start)) - base, F.lit(0))
     hi = F.least(month_number(F.col(names.end)) - base, F.lit(top))
-    return _within(df, first, last, names).withColumns({"lo": lo, "hi": hi})
+    return active_between(df, first, last, names).withColumns({"lo": lo, "hi": hi})
 
 
 def expand_months(df: DataFrame, first: str, last: str, names: Names = DEFAULT) -> DataFrame:
@@ -73,7 +73,7 @@ def monthly_portfolio(df: DataFrame, first: str, last: str, names: Names = DEFAU
     Ends are merged before the expansion, over versions active in the range only, so
     the shuffle carries contracts and not contract-months.
     """
-    spans = drop_empty(_within(df, first, last, names), names)
+    spans = drop_empty(active_between(df, first, last, names), names)
     merged = merge_ends(spans.withColumn("__own_end", F.col(names.end)), names)
     own = Names(names.contract, names.client, names.start, "__own_end", names.network)
     end = F.col(names.end)

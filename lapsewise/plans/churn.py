@@ -10,19 +10,37 @@ from lapsewise.functions.amounts import ratio
 from lapsewise.functions.dates import check_month
 from lapsewise.operators.columns import DEFAULT, Names
 from lapsewise.operators.measures import exits_of_spans, stock_of_spans, terminations_of_spans
+from lapsewise.operators.quality import require_rows
 from lapsewise.operators.reshape import with_name_parts
+from lapsewise.operators.spans import active_between, drop_empty
 from lapsewise.sources.sinks import write_reports
 from lapsewise.sources.workspace import stored
 
 STOCK, BY_YEAR, BY_MONTH = "STOCK", "RESIL ANNEE", "RESIL MOIS"
 
 
+def _spans(
+    portfolio: DataFrame, first: str, last: str, flags: Sequence[str], names: Names, store: bool
+) -> DataFrame:
+    """The columns and rows all counts need, written to the shared folder if ``store``."""
+    check_month(first), check_month(last)
+    spans = drop_empty(active_between(portfolio, first, last, names), names)
+    spans = spans.select(names.contract, names.client, names.start, names.end, names.network, *flags)
+    return stored(spans, "spans") if store else spans
+
+
 def churn_report(
-    portfolio: DataFrame, first: str, last: str, flags: Sequence[str], names: Names = DEFAULT
+    portfolio: DataFrame, first: str, last: str, flags: Sequence[str], names: Names = DEFAULT, store: bool = True
 ) -> dict[str, DataFrame]:
-    """The three reports by network and flag, from a portfolio with flags."""
-    check_month(first), check_month(last)
-    spans = portfolio.select(names.contract, names.client, names.start, names.end, names.network, *flags)
+    """The three reports by network and flag, from a portfolio with flags.
+
+    The spans are read several times, so ``store`` writes them once instead of running
+    the joins behind the portfolio again for every count.
+    """
+    return _reports(_spans(portfolio, first, last, flags, names, store), first, last, flags, names)
+
+
+def _reports(spans: DataFrame, first: str, last: str, flags: Sequence[str], names: Names) -> dict[str, DataFrame]:
     stock = stock_of_spans(spans, first, last, flags, names)
     by_year, by_month = (
         terminations_of_spans(spans, first, last, period, flags, names, stock=stock) for period in ("year", "month")
@@ -33,9 +51,9 @@ def churn_report(
 def write_churn_report(
     portfolio: DataFrame, first: str, last: str, flags: Sequence[str], path: str, names: Names = DEFAULT
 ) -> None:
-    """Write the three reports; the spans are stored once and read by all of them."""
-    needed = portfolio.select(names.contract, names.client, names.start, names.end, names.network, *flags)
-    write_reports(churn_report(stored(needed, "spans"), first, last, flags, names), path)
+    """Write the three reports. No active contract in the range is an error, found before any count."""
+    spans = require_rows(_spans(portfolio, first, last, flags, names, store=True))
+    write_reports(_reports(spans, first, last, flags, names), path)
 
 
 def report_table(reports: dict[str, DataFrame]) -> DataFrame:
@@ -57,17 +75,17 @@ def report_table(reports: dict[str, DataFrame]) -> DataFrame:
 
 
 def churn_measures(
-    portfolio: DataFrame, first: str, last: str, flags: Sequence[str], names: Names = DEFAULT
+    portfolio: DataFrame, first: str, last: str, flags: Sequence[str], names: Names = DEFAULT, store: bool = True
 ) -> DataFrame:
     """Long monthly stock and terminations with the churn rate, the input of the KPIs.
 
     The same rows as unpivoting both reports and joining them, with the stock counted once.
     """
-    check_month(first), check_month(last)
-    stock = stock_of_spans(portfolio, first, last, flags, names)
+    spans = _spans(portfolio, first, last, flags, names, store)
+    stock = stock_of_spans(spans, first, last, flags, names)
     keys = ["month", names.network]
     measures = [c for c in stock.columns if c not in keys]
-    exits = exits_of_spans(portfolio, first, last, "month", flags, names)
+    exits = exits_of_spans(spans, first, last, "month", flags, names)
     wide = stock.join(exits.withColumnsRenamed({m: f"__{m}" for m in measures}), keys, "left")
     pairs = [
         f"struct('{m}' as name, `{m}` as stock, coalesce(`__{m}`, 0L) as terminated)" for m in measures

@@ -67,7 +67,7 @@ SHARE_SQL = f"""{ANNUAL_SQL},
 share as (
   select network, product,
          cast(sum(case when year = '1998' and month <= '199809' then terminated end) as double)
-           / sum(case when year = '1998' then terminated end) as share
+           / nullif(sum(case when year = '1998' then terminated end), 0) as share
   from measures where kind = 'nbCtr' group by network, product)"""
 
 
@@ -78,7 +78,7 @@ def ytd_share(spark, sf_dir):
 
 @query(f"""with {SHARE_SQL}
 select network, product, year, stock, terminated, annual_rate, round(share, 6) as share,
-       round_even(annual_rate / share, 1) as annualised_rate
+       round_even(annual_rate / nullif(share, 0), 1) as annualised_rate
 from annual join share using (network, product) where year = '1999'""")
 def annualised_rate(spark, sf_dir):
     return _rounded(kpis.annualised_rates(_measures(spark, sf_dir), LAST), "share")
@@ -95,9 +95,9 @@ sums as (
          max(case when month = '199801' then stock end) as stock_last,
          max(case when month = '199901' then stock end) as stock_this
   from measures group by network, product, kind)
-select *, round_even(cast(base_year as double) / stock_base * 100, 1) as rate_base,
-       round_even(cast(last_year as double) / stock_last * 100, 1) as rate_last,
-       round_even(cast(this_year as double) * last_year / last_year_to_date / stock_this * 100, 1) as rate_this
+select *, round_even(cast(base_year as double) / nullif(stock_base, 0) * 100, 1) as rate_base,
+       round_even(cast(last_year as double) / nullif(stock_last, 0) * 100, 1) as rate_last,
+       round_even(cast(this_year as double) * last_year / nullif(last_year_to_date, 0) / nullif(stock_this, 0) * 100, 1) as rate_this
 from sums""")
 def selection_kpis(spark, sf_dir):
     return kpis.selection_kpis(_measures(spark, sf_dir), "1997", LAST)

@@ -271,11 +271,11 @@ def offer_sql(proposal, status, size, advisor, health, health_price, funeral, fu
       case {size} when 'Solo' then 'le tarif proposé est: 146.97 EUR pour une IP de 5% / 120.27 EUR pour une IP de 30%. '
         when 'Famille' then 'le tarif proposé est: 267.03 EUR pour une IP de 5% / 213.61 EUR pour une IP de 30%. ' else '' end else '' end ||
     case when contains({proposal}, 'SANTEIS') then 'Il est conseillé de proposer au client un contrat SANTEIS (' ||
-      case {health} when 'SATEI-FM03' then 'Formule 3 CLASSIQUE' when 'SATEI-FS03' then 'Formule 3 SENIOR' else {health} end ||
-      '), le tarif proposé est: ' || cast({health_price} as varchar) || ' EUR. ' else '' end ||
+      case {health} when 'SATEI-FM03' then 'Formule 3 CLASSIQUE' when 'SATEI-FS03' then 'Formule 3 SENIOR' else coalesce({health}, '') end ||
+      '), le tarif proposé est: ' || coalesce(cast({health_price} as varchar), '') || ' EUR. ' else '' end ||
     case when contains({proposal}, 'SERENIVIE') and {funeral} <> '' then
       'Il est conseillé de proposer au client un contrat SERENIVIE (Paiement VIAGER - Formule ' ||
-      {funeral} || '), le tarif proposé est environ: ' || cast({funeral_price} as varchar) || ' EUR. ' else '' end end"""
+      {funeral} || '), le tarif proposé est environ: ' || coalesce(cast({funeral_price} as varchar), '') || ' EUR. ' else '' end end"""
 
 
 @query(f"select p_partkey, {finding_sql('held', 'reasons')} as message from ({plain(TEXTS)})")

@@ -153,9 +153,9 @@ from {orders}
 """
 # price grids by part type and size band
 HEALTH_GRID = """
-select cast(n_nationkey + 1 as int) as department, cast(10 * band as int) as age_min, cast(10 * band + 9 as int) as age_max,
-       case when band < 6 then 'SATEI-FM03' else 'SATEI-FS03' end as formula, cast(20 + band + n_nationkey as double) as price
-from {nation} cross join (select distinct cast(floor(p_size / 5) as int) as band from {part}) b
+select cast(nation + 1 as int) as department, cast(10 * band as int) as age_min, cast(10 * band + 9 as int) as age_max,
+       case when band < 6 then 'SATEI-FM03' else 'SATEI-FS03' end as formula, cast(20 + band + nation as double) as price
+from (select distinct p_partkey % 25 as nation, cast(floor(p_size / 5) as int) as band from {part}) b
 """
 FUNERAL_GRID = """
 select cast(10 * band as int) as age_min, cast(10 * band + 9 as int) as age_max,

@@ -6,9 +6,10 @@ from datetime import date, datetime
 from types import SimpleNamespace
 
 import pytest
-from pyspark.sql import Observation, functions as F
+from pyspark.sql import Observation
 
 from lapsewise.operators import scoring
+from lapsewise.plans import churn
 from lapsewise.sources import files, sinks, tables, workspace
 
 
@@ -121,12 +122,15 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
         workspace.shared_folder(unset)
 
 
-def test_reports_must_not_be_empty(spark, tmp_path):
-    df = spark.createDataFrame([(1,)], "a int")
-    sinks.write_reports({"STOCK": df}, str(tmp_path / "r"))
-    assert files.read_frame(spark, str(tmp_path / "r/report=STOCK")).count() == 1
-    with pytest.raises(ValueError, match="RESIL"):
-        sinks.write_reports({"RESIL": df.where(F.col("a") > 1)}, str(tmp_path / "r"))
+def test_churn_reports_are_written_unless_nothing_is_active(spark, tmp_path):
+    rows = [("a", 1, date(2020, 1, 1), date(2020, 2, 10), "N", 1)]
+    schema = "contract_id string, client_id bigint, start date, end date, network string, f int"
+    portfolio = spark.createDataFrame(rows, schema)
+    path = str(tmp_path / "r")
+    churn.write_churn_report(portfolio, "202001", "202003", ["f"], path)
+    assert files.read_frame(spark, f"{path}/report={churn.STOCK}").count() == 2
+    with pytest.raises(ValueError):
+        churn.write_churn_report(portfolio, "202101", "202103", ["f"], path)
 
 
 def test_advisor_file(spark, tmp_path, rows_of):

@@ -1,8 +1,9 @@
 """Joins of portfolio rows with reference tables and id lists.
 
-No side is hinted here: the sides are the caller's and may grow, so Spark broadcasts
-one only where its measured size allows and otherwise shuffles, splitting skewed
-partitions of the left side at run time.
+No caller's frame is hinted for broadcast, as it may grow: Spark broadcasts one only
+where its measured size allows. Joins with a reference table are plain shuffle joins,
+whose hot partitions Spark splits at run time; id lists lose their repeats first and
+the rows of hot keys are spread by :mod:`skew`.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lapsewise.functions.text import upper_or_empty
+from lapsewise.operators.skew import HOT_ROWS, attach_row
 
 
 def add_reference(df: DataFrame, reference: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -28,14 +30,18 @@ def match_distinct(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> Data
     return df.distinct().join(other.distinct(), list(keys), "inner")
 
 
-def _ids(members: DataFrame, member: str, out: str = "__member") -> DataFrame:
-    return members.select(F.col(member).alias(out)).distinct()
+def _marked(df: DataFrame, key: str, members: DataFrame, member: str, hot_rows: int) -> DataFrame:
+    """``df`` with ``__member``, true for keys among the members and NULL for all others."""
+    ids = members.where(F.col(member).isNotNull()).select(F.col(member).alias(key)).distinct()
+    return attach_row(df, ids.withColumn("__member", F.lit(True)), [key], hot_rows)
 
 
-def mark_members(df: DataFrame, key: str, members: DataFrame, member: str, out: str) -> DataFrame:
+def mark_members(
+    df: DataFrame, key: str, members: DataFrame, member: str, out: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Boolean column: is the key among the members? Never multiplies rows."""
-    joined = df.join(_ids(members, member), F.col(key) == F.col("__member"), "left")
-    return joined.withColumn(out, F.col("__member").isNotNull()).drop("__member")
+    marked = _marked(df, key, members, member, hot_rows)
+    return marked.withColumn(out, F.coalesce("__member", F.lit(False))).drop("__member")
 
 
 def mark_text(
@@ -46,14 +52,18 @@ def mark_text(
     return marked.withColumn(out, F.when(F.col(out), yes).otherwise(no))
 
 
-def exclude_members(df: DataFrame, key: str, members: DataFrame, member: str) -> DataFrame:
+def exclude_members(
+    df: DataFrame, key: str, members: DataFrame, member: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Rows whose key is not among the members; rows without a key stay."""
-    return df.join(_ids(members, member), F.col(key) == F.col("__member"), "left_anti")
+    return _marked(df, key, members, member, hot_rows).where("__member is null").drop("__member")
 
 
-def keep_members(df: DataFrame, key: str, members: DataFrame, member: str) -> DataFrame:
+def keep_members(
+    df: DataFrame, key: str, members: DataFrame, member: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Rows whose key is among the members."""
-    return df.join(_ids(members, member), F.col(key) == F.col("__member"), "left_semi")
+    return _marked(df, key, members, member, hot_rows).where("__member").drop("__member")
 
 
 def add_by_upper_key(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import Window, functions as F
 
-from lapsewise.operators import skew, snapshots
+from lapsewise.operators import joins, skew, snapshots
 
 
 @pytest.fixture(scope="module")
@@ -57,3 +57,34 @@ def test_first_row_per_key_is_cut_before_the_shuffle(skewed):
 def test_union_of_nothing_has_the_schema(spark):
     empty = snapshots.union_all(spark, [], "a int, b string")
     assert empty.count() == 0 and empty.columns == ["a", "b"]
+
+
+@pytest.mark.parametrize("hot_rows", [50, 1_000_000])
+def test_rows_attached_are_those_of_a_left_join(spark, skewed, rows_of, hot_rows):
+    other = spark.createDataFrame([("hot", "H"), ("k1", "K"), (None, "N"), ("absent", "A")], "k string, t string")
+    ours = skew.attach_row(skewed, other, ["k"], hot_rows=hot_rows)
+    plain = skewed.alias("d").join(other.alias("o"), F.col("d.k").eqNullSafe(F.col("o.k")), "left").select("d.*", "t")
+    assert rows_of(ours, "k", "v", "t") == rows_of(plain, "k", "v", "t")
+
+
+def test_spark_splits_a_hot_reference_join_at_run_time(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(60_000, numPartitions=6).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("v")
+        )
+        joined = joins.add_reference(left, spark.range(40_000).select(F.col("id").alias("k"), F.lit(1).alias("t")), ["k"])
+        assert len(joined.collect()) == 60_000
+        assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

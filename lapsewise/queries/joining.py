@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lapsewise import fixed_values as fv
-from lapsewise.functions import rules
 from lapsewise.operators import joins, lookups
 from lapsewise.queries.base import derived, plain, query, table
 from lapsewise.queries.stand_ins import LISTS, lists

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lapsewise import fixed_values as fv
 from lapsewise.functions import amounts, dates, messages, rules, text
 from lapsewise.operators import scoring
 from lapsewise.queries.base import derived, plain, query, table

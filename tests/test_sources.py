@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Observation
 
 from lapsewise.operators import scoring
-from lapsewise.plans import churn
+from lapsewise.plans import churn, contacts
 from lapsewise.sources import files, sinks, tables, workspace
 
 
@@ -64,6 +64,9 @@ def test_contact_history_reads_nine_month_ends(spark, tmp_path, rows_of):
     extra = spark.createDataFrame([("00000003", 9)], files.CONTACT_SCHEMA)
     history = files.recent_contacts(files.read_contact_lists(spark, path), "20220430", extra=[extra])
     assert rows_of(history, "identifiantrce") == [("00000001",), ("00000002",), ("00000003",), ("00000003",)]
+    written = str(tmp_path / "history")
+    contacts.write_contact_history(files.read_contact_lists(spark, path), "20220430", written, extra=[extra])
+    assert rows_of(files.read_delimited(spark, written, files.HISTORY_SCHEMA)) == rows_of(history)
     with pytest.raises(ValueError):
         files.recent_contacts(history, "202204")
 

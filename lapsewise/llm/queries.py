@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapsewise.llm import exact_dedup, mixing, quality, url_filter
+from lapsewise.llm import exact_dedup, language_id, mixing, quality, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,11 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -44,15 +44,21 @@ def write_arrivals(docs: DataFrame, path: str, text: str, key: str, digest: Call
     rows.withColumn("locator", F.monotonically_increasing_id()).write.mode("append").parquet(path)
 
 
-def run_stream(spark: SparkSession, arrivals: str, state: str, files_a_batch: int = FILES_A_BATCH) -> None:
-    """Take all arrivals not seen so far into the state at ``state``; ends when none is left.
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session of its own, since the state store is chosen by session settings.
 
-    Runs in a session of its own, since the state store is chosen by a session setting.
+    Without preallocated files a store of few entries takes kilobytes, however many partitions there are.
     """
     own = spark.newSession()
     for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
         own.conf.set(name, spark.conf.get(name))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
+    return own
+
+
+def run_stream(own: SparkSession, arrivals: str, state: str, files_a_batch: int = FILES_A_BATCH) -> None:
+    """Take all arrivals not seen so far into the state at ``state``; ends when none is left."""
     rows = own.readStream.schema("digest binary, id bigint, sha binary, locator bigint")
     rows = rows.option("maxFilesPerTrigger", files_a_batch).parquet(arrivals)
     order = F.coalesce("id", F.lit(LAST))
@@ -63,9 +69,9 @@ def run_stream(spark: SparkSession, arrivals: str, state: str, files_a_batch: in
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
-def read_state(spark: SparkSession, state: str) -> DataFrame:
+def read_state(own: SparkSession, state: str) -> DataFrame:
     """``digest, first_id, keep_locator, group_size``: all entries, read from the store itself."""
-    entries = spark.read.format("statestore").load(state)
+    entries = own.read.format("statestore").load(state)
     first, locator, _, rows = (F.col(f"value.`{f.name}`") for f in entries.schema["value"].dataType.fields)
     return entries.select(
         F.col("key.digest").alias("digest"), first.alias("first_id"), locator.alias("keep_locator"), rows.alias("group_size")
@@ -97,9 +103,10 @@ def verdicts(
     """One row per document: ``id, keep_id, group_size, kept, sha, locator``."""
     spark = docs.sparkSession
     write_arrivals(docs, scratch.path("arrivals"), text, key, digest)
-    run_stream(spark, scratch.path("arrivals"), scratch.path("state"), files_a_batch)
+    own = state_session(spark)
+    run_stream(own, scratch.path("arrivals"), scratch.path("state"), files_a_batch)
     arrivals = spark.read.schema("digest binary, id bigint, sha binary, locator bigint").parquet(scratch.path("arrivals"))
-    entries = scratch.store(read_state(spark, scratch.path("state")), "entries")
+    entries = scratch.store(read_state(own, scratch.path("state")), "entries")
     collisions = _check_bytes(docs, entries, scratch, text, key, digest)
     if not collisions.isEmpty():
         # equal digests, different bytes: the groups of such digests are formed by the bytes' own SHA-256

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapsewise.llm import bpe, exact_dedup, language_id, mixing, quality, simhash, token_store, url_filter
+from lapsewise.llm import bpe, exact_dedup, language_id, mixing, neighbours, quality, simhash, token_store, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,6 +61,11 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 """
 
 
+@query
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.neighbour_report(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_report(table(spark, sf_dir, "documents"))

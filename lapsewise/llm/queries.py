@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapsewise.llm import bpe, exact_dedup, language_id, mixing, neighbours, quality, simhash, token_store, url_filter
+from lapsewise.llm import bpe, exact_dedup, language_id, mixing, neighbours, quality, repeats, simhash, token_store, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +100,8 @@ FROM r
 @query
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_report(table(spark, sf_dir, "documents"))

@@ -20,7 +20,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lapsewise.llm.words import GAP
+from lapsewise.llm.words import GAP, as_row
 from lapsewise.sources.workspace import Scratch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -139,7 +139,7 @@ def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
     # rows that carry the identifier that stays: one for almost every digest, more where rows are repeated
     stays = marked.where(same).groupBy(F.col("sha").alias("__sha"), F.col("first").alias("__first")).agg(F.count(F.lit(1)).alias("__n"))
     stays = scratch.store(stays, "stays_by_id")
-    row = docs.select(F.struct(*docs.columns).alias("__row"))
+    row = as_row(docs)
     row = row.withColumn("__sha", sha256(normalised(F.col(f"__row.{text}"))))
     row = row.withColumn("__first", F.coalesce(f"__row.{key}", F.lit(LAST)))
     found = row.join(stays, ["__sha", "__first"])

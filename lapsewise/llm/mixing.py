@@ -19,7 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lapsewise.llm.words import uniform, word_count
+from lapsewise.llm.words import as_row, uniform, word_count
 from lapsewise.sources.workspace import Scratch
 
 WEIGHTS = (3, 1, 2)
@@ -88,7 +88,7 @@ def with_copies(
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", seed: int = SEED) -> DataFrame:
     """The documents, each repeated as often as the mix takes it, in the columns they came with."""
     scratch = Scratch(docs.sparkSession, "mixing")
-    row = docs.select(F.struct(*docs.columns).alias("__row"))  # so that no name can clash
+    row = as_row(docs)  # so that no name can clash
     sized = row.select(
         "__row", F.col(f"__row.{key}").alias("doc_id"), F.col(f"__row.{source}").alias("source"),
         word_count(F.col(f"__row.{text}")).alias("size"),

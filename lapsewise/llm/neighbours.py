@@ -161,6 +161,8 @@ def _search(dimensions: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, state = None, None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             buckets, parts, asks, reps = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "part", "query", "rep"))
             change = np.flatnonzero((buckets[1:] != buckets[:-1]) | (parts[1:] != parts[:-1]) | (asks[1:] != asks[:-1])) + 1
             for a, b in zip([0, *change], [*change, len(buckets)], strict=True):

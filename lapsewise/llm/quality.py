@@ -26,7 +26,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lapsewise.llm.words import GAP, uniform, word_count
+from lapsewise.llm.words import GAP, as_row, uniform, word_count
 from lapsewise.sources.workspace import Scratch
 
 SAMPLE_ROWS = 20_000
@@ -139,7 +139,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
 def scored(docs: DataFrame, model: RuleEnsemble, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` as a column ``__row``, with ``score`` and ``predicted``."""
-    row = docs.select(F.struct(*docs.columns).alias("__row"))
+    row = as_row(docs)
     stats = row.select("__row", *[c.alias(n) for n, c in statistics(F.col(f"__row.{text}")).items()])
     judged = stats.select("__row", model.score().alias("score"))
     return judged.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -39,6 +39,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 
 from lapsewise.llm.components import components
+from lapsewise.llm.words import as_row
 from lapsewise.sources.workspace import Scratch
 
 SHINGLE = 4
@@ -255,7 +256,7 @@ def near_dup_report(docs: DataFrame) -> DataFrame:
 def near_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One document of each group, that with the smallest identifier, in the columns they came with."""
     scratch = Scratch(docs.sparkSession, "simhash")
-    row = docs.select(F.struct(*docs.columns).alias("__row"))
+    row = as_row(docs)
     named = row.select(F.col(f"__row.{key}").alias("doc_id"), fingerprints(f"__row.{text}").alias("print"))
     prints = scratch.store(named, "documents")
     stays = prints.join(classes(prints, scratch), "print").where(F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -236,13 +236,13 @@ def links(prints: DataFrame, scratch: Scratch, bucket: int = BUCKET) -> DataFram
 
 
 def classes(prints: DataFrame, scratch: Scratch, bucket: int = BUCKET) -> DataFrame:
-    """``print, component_id`` of every fingerprint in ``doc_id, print``: the smallest doc_id linked to it."""
+    """``print, root, component_id`` of every fingerprint in ``doc_id, print``: its class, and the smallest doc_id in it."""
     each = scratch.store(prints.groupBy("print").agg(F.min("doc_id").alias("first")), "prints")
     joined = components(links(each, scratch, bucket), scratch)
     rooted = each.join(joined.withColumnRenamed("node", "print"), "print", "left")
     rooted = scratch.store(rooted.withColumn("root", F.coalesce("component", "print")).drop("component"), "rooted")
     roots = scratch.store(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "roots")
-    return scratch.store(rooted.join(roots, "root").select("print", "component_id"), "classes")
+    return scratch.store(rooted.join(roots, "root").select("print", "root", "component_id"), "classes")
 
 
 def near_dup_report(docs: DataFrame) -> DataFrame:
@@ -260,9 +260,9 @@ def near_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     named = row.select(F.col(f"__row.{key}").alias("doc_id"), fingerprints(f"__row.{text}").alias("print"))
     prints = scratch.store(named, "documents")
     stays = prints.join(classes(prints, scratch), "print").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # one fingerprint of each group's smallest identifier, should that be repeated
-    stays = stays.groupBy("doc_id").agg(F.min("print").alias("print"), F.count(F.lit(1)).alias("n"))
-    stays = scratch.store(stays.withColumnRenamed("doc_id", "__id"), "stays")
+    # of rows with the smallest identifier of their class one fingerprint, should the identifier be repeated
+    stays = stays.groupBy("root").agg(F.min("print").alias("print"), F.first("doc_id").alias("__id"))
+    stays = scratch.store(stays, "stays")
     found = row.join(stays, F.col(f"__row.{key}").eqNullSafe(F.col("__id")))
     repeated = prints.groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
@@ -271,4 +271,4 @@ def near_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     again = F.col("__id").eqNullSafe(F.col("__again"))
     once = found.join(repeated, again, "left_anti").select("__row")
     more = found.join(repeated, again, "left_semi").where(fingerprints(f"__row.{text}") == F.col("print"))
-    return once.unionByName(more.groupBy("__id").agg(F.any_value("__row").alias("__row")).select("__row")).select("__row.*")
+    return once.unionByName(more.groupBy("root").agg(F.any_value("__row").alias("__row")).select("__row")).select("__row.*")

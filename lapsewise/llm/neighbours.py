@@ -316,7 +316,7 @@ def nearest(vectors: DataFrame, asked: Column, key: str = "vec_id", vector: str
     short = scratch.store(queries.join(short, F.col("rep") == F.col("query"), "left_anti").select("rep", "vector"), "short")
     if not short.isEmpty():
         again = search_all(base.select("rep", "vector"), short, dimensions, _blocks(spark, total))
-        found = found.join(short, F.col("query") == F.col("rep"), "left_anti").unionByName(again)
+        found = found.join(short.select(F.col("rep").alias("query")), "query", "left_anti").unionByName(again)
     members = found.join(base.select("rep", "ids"), "rep").select("query", "distance", F.explode("ids").alias("vec_id"))
     order = Window.partitionBy("query").orderBy("distance", "vec_id")
     members = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= NEAREST + 1)

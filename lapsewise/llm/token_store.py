@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from lapsewise.sources.workspace import Scratch
 
@@ -338,6 +340,8 @@ def _shards(spark: SparkSession, path: str) -> DataFrame:
 
 def read_store(spark: SparkSession, path: str, columns: str, take: Callable[[np.ndarray], dict]) -> DataFrame:
     """``doc_id, start, n_tokens`` of all records in order of the shards, and the ``columns`` that ``take`` gives for the ids."""
+    kinds = StructType.fromDDL(f"doc_id bigint, start bigint, n_tokens bigint, {columns}")
+    schema = to_arrow_schema(kinds)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -349,13 +353,13 @@ def read_store(spark: SparkSession, path: str, columns: str, take: Callable[[np.
                 for record, ids in shard.documents():
                     found.append({"doc_id": shard.key(record), "start": row["base"] + shard.start(record), "n_tokens": len(ids)} | take(ids))
                     if len(found) == 1024:
-                        yield pa.RecordBatch.from_pylist(found)
+                        yield pa.RecordBatch.from_pylist(found, schema)
                         found = []
                 shard.close()
                 if found:
-                    yield pa.RecordBatch.from_pylist(found)
+                    yield pa.RecordBatch.from_pylist(found, schema)
 
-    return _shards(spark, path).select("file", "base").mapInArrow(read, f"doc_id bigint, start bigint, n_tokens bigint, {columns}")
+    return _shards(spark, path).select("file", "base").mapInArrow(read, kinds)
 
 
 def fetch(keys: DataFrame, path: str, key: str = "doc_id") -> DataFrame:

@@ -1,18 +1,17 @@
 """Removing text that repeats: every byte covered by a 50-byte string that starts in an earlier document too.
 
 1. Whole copies. Of equal texts only the first goes on; the others are covered from end to end.
-2. Candidates. Every window of 50 bytes has a key, the smallest hash of its 25-byte strings, so equal windows
-   have equal keys. Neighbouring windows mostly share their key and form a chunk, some 13 windows a
-   chunk. Each task lists the keys of its documents, once each, in 6 bytes; a key that two documents have
+2. Candidates. Every window of 50 bytes has a key, the smallest hash of its 20-byte strings, so equal windows
+   have equal keys. Neighbouring windows mostly share their key and form a chunk of some 16. Each task lists the keys of its documents, once each, in 6 bytes; a key that two documents have
    is sent back to the tasks that listed it, through one of their documents.
-3. Chunks with such a key are written out: their place, and once for each task their bytes. Equal chunks are
-   collapsed to the first document that has them.
-4. Suffix sorting. Different chunks with the same key come together, their suffixes are sorted in two stages
-   (:mod:`suffixes`) and the common prefixes of neighbours tell which windows are equal. Keys with more than
-   ``CHUNKS`` different chunks are not sorted in one task: their windows are grouped by their bytes.
+3. Chunks with such a key are written out: their place, and once for each task their bytes.
+4. Suffix sorting. Chunks with the same key come together. Equal ones are collapsed to the first document that
+   has them; the suffixes of different ones are sorted in two stages (:mod:`suffixes`) and the common
+   prefixes of neighbours tell which windows are equal. Keys with more than ``CHUNKS`` chunks are not sorted
+   in one task: their windows are grouped by their bytes.
 5. A window is covered if its chunk occurs in an earlier document, or by 4. Covered bytes are removed.
 
-A text is hashed in buffers that hold whole documents. What a task keeps is the keys of its documents; what
+Texts travel compressed, and are hashed in buffers that hold whole documents. What a task keeps is the keys of its documents; what
 meets in one place is a row for each task or each different chunk, however many documents share it.
 
 Defined cases: a null text is empty; null identifiers are larger than any other; rows with equal
@@ -27,12 +26,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lapsewise.llm.suffixes import DEPTH, repeats
 from lapsewise.sources.workspace import Scratch
 
-GRAM = 25
+GRAM = 20
 BASE = 0x9E3779B97F4A7C15
 BUFFER = 1 << 18
 KEYS = 1 << 21
@@ -45,7 +45,7 @@ def _hashes(data: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the ``GRAM`` bytes from each place on."""
     powers = [pow(BASE, 1 << k, 1 << 64) for k in range(5)]
     level, total, at = data.astype(np.uint64) + np.uint64(1), None, 0
-    for k in range(5):  # the bits of 25 are 1, 8 and 16
+    for k in range(5):
         if GRAM >> k & 1:
             part = level[at:]
             total = part if total is None else total[: len(part)] * np.uint64(powers[k]) + part
@@ -87,10 +87,10 @@ def chunks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Rows a few at a time, by the bytes of their texts."""
     for batch in batches:
-        texts, start, size = batch.column("text"), 0, 0
+        texts, start, size, unpack = batch.column("packed"), 0, 0, zstandard.ZstdDecompressor()
         part: list[bytes] = []
         for i, text in enumerate(texts):
-            part.append((text.as_py() or "").encode())
+            part.append(unpack.decompress(text.as_buffer()))
             size += len(part[-1])
             if size >= BUFFER or i + 1 == len(texts):
                 yield batch.slice(start, i + 1 - start), part
@@ -164,7 +164,7 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _write_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunks of shared keys; their bytes where the task meets them first. Rows that bring keys come first."""
-    shared, lists, seen = None, [], set()
+    shared, lists, seen = None, [], {}
     for rows, data in _buffers(batches):
         lists += [_six(b) for blobs in rows.column("keys").to_pylist() if blobs for b in blobs]
         if shared is None or lists:
@@ -178,11 +178,16 @@ def _write_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if not len(key):
             continue
         ids, raw = np.empty(len(key), np.uint64), []
-        for i, (t, a, n, k) in enumerate(zip(text.tolist(), start.tolist(), windows.tolist(), key.tolist(), strict=True)):
+        orders = rows.column("ord").to_numpy()[text].tolist()
+        for i, (t, a, n, k, o) in enumerate(zip(text.tolist(), start.tolist(), windows.tolist(), key.tolist(), orders, strict=True)):
             content = data[t][a : a + n + DEPTH - 1]
             ids[i] = number = xxhash.xxh64_intdigest(content)
-            raw.append(None if (k, number) in seen else content)
-            seen.add((k, number))
+            before = seen.get((k, number))
+            if before is None or o < before:  # rows come in order but for those that bring keys
+                seen[k, number] = o
+                raw.append(content)
+            else:
+                raw.append(None)
         arrays = [
             pa.array(key.view(np.int64)), pa.array(ids.view(np.int64)), rows.column("ord").take(pa.array(text)), rows.column("uid").take(pa.array(text)),
             pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(raw, pa.binary()),
@@ -190,43 +195,80 @@ def _write_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays(arrays, names=["key", "chunk", "ord", "uid", "start", "windows", "bytes"])
 
 
-def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Masks of windows that earlier documents have too; chunks come key by key."""
-
-    def out(keys, numbers, firsts, strings) -> Iterator[pa.RecordBatch]:
-        masks = repeats(strings, np.array(firsts, np.int64)).view(np.int64)
-        hit = np.flatnonzero(masks)
-        arrays = [pa.array(np.array(x, np.int64)[hit]) for x in (keys, numbers)] + [pa.array(masks[hit])]
-        yield pa.RecordBatch.from_arrays(arrays, names=["key", "chunk", "mask"])
-
-    held, group = ([], [], [], []), ([], [], [], [])
-    for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("key", "chunk", "first", "bytes")), strict=True):
-            if group[0] and row[0] != group[0][0]:
-                if len(group[0]) > 1:  # a chunk alone has nothing to compare with
-                    for x, y in zip(held, group, strict=True):
-                        x += y
-                group = ([], [], [], [])
-                if len(held[0]) * 64 > SORTED:
-                    yield from out(*held)
-                    held = ([], [], [], [])
-            for x, y in zip(group, row, strict=True):
-                x.append(y)
-    if len(group[0]) > 1:
-        for x, y in zip(held, group, strict=True):
-            x += y
-    if held[0]:
-        yield from out(*held)
+def _sort_suffixes(crowded: int):
+    def masks_of(firsts: np.ndarray, sizes: np.ndarray, strings: list[bytes]) -> np.ndarray:
+        """Masks of chunks that come key by key, ``sizes`` chunks a key; keys are sorted some at a time."""
+        masks, low, at = np.zeros(len(firsts), np.uint64), 0, 0
+        length = 0
+        for end in np.cumsum(sizes).tolist():
+            length += sum(map(len, strings[at:end]))
+            at = end
+            if length >= SORTED or end == len(strings):
+                masks[low:end] = repeats(strings[low:end], firsts[low:end])
+                low, length = end, 0
+        return masks
+
+    def out(key, chunk, first, mask, raw) -> pa.RecordBatch:
+        raw = pa.nulls(len(key), pa.binary()) if raw is None else raw
+        return pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (key, chunk, first, mask)), raw], names=["key", "chunk", "first", "mask", "bytes"])
+
+    def closed(key: np.ndarray, chunk: np.ndarray, order: np.ndarray, raw: pa.Array) -> pa.RecordBatch:
+        """The first document of each chunk of these keys, and its windows that earlier documents have in other chunks."""
+        new_key = np.append(True, key[1:] != key[:-1])
+        begins = np.flatnonzero(new_key | np.append(True, chunk[1:] != chunk[:-1]))
+        first = np.minimum.reduceat(order, begins)
+        keys = np.flatnonzero(new_key[begins])
+        sizes = np.diff(np.append(keys, len(begins)))
+        several = np.flatnonzero(np.repeat(sizes, sizes) > 1)  # a chunk alone has nothing to compare with
+        mask = np.zeros(len(begins), np.uint64)
+        if len(several):
+            mask[several] = masks_of(first[several], sizes[sizes > 1], raw.take(pa.array(begins[several])).to_pylist())
+        return out(key[begins], chunk[begins], first, mask.view(np.int64), None)
+
+    def sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """``key, chunk, first, mask`` of chunks that come key by key; the rows of crowded keys with their bytes."""
+        held, aside = None, None
+        for batch in batches:
+            batch = batch.select(["key", "chunk", "ord", "bytes"])
+            held = batch if held is None else pa.concat_batches([held, batch])
+            key = held.column(0).to_numpy()
+            if aside is not None:
+                n = int(np.searchsorted(key, aside, "right"))
+                if n:
+                    yield out(key[:n], held.column(1).slice(0, n), held.column(2).slice(0, n), np.zeros(n, np.int64), held.column(3).slice(0, n))
+                held, key = held.slice(n), key[n:]
+            if not len(key):
+                continue
+            n = int(np.searchsorted(key, key[-1], "left"))
+            if n:
+                yield closed(key[:n], *(held.column(i).slice(0, n).to_numpy() for i in (1, 2)), held.column(3).slice(0, n))
+            held, key = held.slice(n), key[n:]
+            if len(key) > crowded:
+                aside = key[0]
+                yield out(key, held.column(1), held.column(2), np.zeros(len(key), np.int64), held.column(3))
+                held = None
+        if held is not None and held.num_rows:
+            yield closed(*(held.column(i).to_numpy() for i in range(3)), held.column(3))
+
+    return sort_suffixes
 
 
 def _group_windows(crowded: DataFrame) -> DataFrame:
-    """The masks of :func:`_sort_suffixes` by grouping windows: rows of a crowded key stay spread."""
+    """``key, chunk, first, mask`` by grouping windows: rows of a crowded key stay spread."""
+    chunks_ = crowded.groupBy("key", "chunk").agg(F.min("first").alias("first"), F.min("bytes").alias("bytes"))
     place = F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - DEPTH))
-    windows = crowded.select("key", "chunk", "first", "bytes", place.alias("place"))
+    windows = chunks_.select("key", "chunk", "first", "bytes", place.alias("place"))
     windows = windows.select("key", "chunk", "first", "place", F.substring("bytes", F.col("place") + 1, DEPTH).alias("window"))
     smallest = windows.groupBy("window").agg(F.min("first").alias("smallest"))
-    hit = windows.join(smallest, "window").where("smallest < first")
-    return hit.groupBy("key", "chunk").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("mask"))
+    bit = F.when(F.col("smallest") < F.col("first"), F.expr("shiftleft(1L, place)")).otherwise(F.lit(0).cast("bigint"))
+    return windows.join(smallest, "window").groupBy("key", "chunk", "first").agg(F.bit_or(bit).alias("mask"))
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        packed = [pack.compress((t.as_py() or "").encode()) for t in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("ord"), pa.array(packed, pa.binary())], names=["uid", "ord", "packed"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,8 +276,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low in range(0, batch.num_rows, 64):
             part, spans, kept = batch.slice(low, 64), [], []
-            for text, marks in zip(part.column("text"), part.column("marks"), strict=True):
-                data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
+            for text, marks in zip(part.column("packed"), part.column("marks"), strict=True):
+                data = np.frombuffer(zstandard.ZstdDecompressor().decompress(text.as_buffer()), np.uint8)
                 start = np.array([m["start"] for m in marks.as_py()], np.int64)
                 mask = np.array([m["mask"] for m in marks.as_py()], np.int64)
                 rows, bits = np.nonzero(np.unpackbits(mask.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
@@ -257,7 +299,7 @@ def _identity(key: Column, sha: Column) -> Column:
 
 
 def covered_windows(rows: DataFrame, scratch: Scratch, crowded: int = CHUNKS) -> DataFrame:
-    """``uid, start, mask`` of the chunks with covered windows, from ``uid, ord, text`` of different texts.
+    """``uid, start, mask`` of the chunks with covered windows, from ``uid, ord, packed`` of different texts.
 
     Bit b of ``mask`` stands for the window that starts at byte ``start`` + b.
     """
@@ -266,21 +308,18 @@ def covered_windows(rows: DataFrame, scratch: Scratch, crowded: int = CHUNKS) ->
     listed = rows.mapInArrow(_list_keys(parts), "range int, home binary, keys binary")
     listed = listed.repartition(parts, "range").sortWithinPartitions("range")
     shared = listed.mapInArrow(_shared_keys, "home binary, keys binary").groupBy("home").agg(F.collect_list("keys").alias("keys"))
-    told = rows.join(shared, rows["uid"] == shared["home"], "left").sortWithinPartitions(F.col("keys").isNull())
+    told = rows.join(shared, rows["uid"] == shared["home"], "left").sortWithinPartitions(F.col("keys").isNull(), "ord")
     kinds = "key bigint, chunk bigint, ord bigint, uid binary, start int, windows int, bytes binary"
-    found = scratch.store(told.select("uid", "ord", "text", "keys").mapInArrow(_write_chunks, kinds), "chunks")
-    same = found.groupBy("key", "chunk").agg(F.min("ord").alias("first"), F.min("bytes").alias("bytes"))
-    different = scratch.store(same, "different")
-    sizes = different.groupBy("key").count().where(F.col("count") > crowded).select("key")
-    sizes = scratch.store(sizes, "crowded")
-    few = different.join(sizes, "key", "left_anti").repartition(parts, "key").sortWithinPartitions("key")
-    masks = few.select("key", "chunk", "first", "bytes").mapInArrow(_sort_suffixes, "key bigint, chunk bigint, mask bigint")
-    if not sizes.isEmpty():
-        masks = masks.unionByName(_group_windows(different.join(sizes, "key", "left_semi")))
-    firsts = different.select("key", "chunk", "first").join(masks, ["key", "chunk"], "left")
-    firsts = scratch.store(firsts, "firsts")
+    found = scratch.store(told.select("uid", "ord", "packed", "keys").mapInArrow(_write_chunks, kinds), "chunks")
+    listed = found.where("bytes IS NOT NULL").select("key", "chunk", "ord", "bytes").repartition(parts, "key").sortWithinPartitions("key", "chunk")
+    kinds = "key bigint, chunk bigint, first bigint, mask bigint, bytes binary"
+    firsts = scratch.store(listed.mapInArrow(_sort_suffixes(crowded), kinds), "sorted")
+    many = firsts.where("bytes IS NOT NULL")
+    firsts = firsts.where("bytes IS NULL").drop("bytes")
+    if not many.isEmpty():
+        firsts = firsts.unionByName(scratch.store(_group_windows(many), "crowded"))
     every = F.when(F.col("windows") < 64, F.expr("shiftleft(1L, windows)") - 1).otherwise(F.lit(-1).cast("bigint"))
-    mask = F.when(F.col("ord") > F.col("first"), every).otherwise(F.coalesce("mask", F.lit(0)))
+    mask = F.when(F.col("ord") > F.col("first"), every).otherwise(F.col("mask"))
     marked = found.drop("bytes").join(firsts, ["key", "chunk"]).select("uid", "start", mask.alias("mask"))
     return marked.where("mask != 0")
 
@@ -300,10 +339,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", cro
     narrow = scratch.store(narrow.join(first, "sha").withColumn("copy", F.col("ord") > F.col("first")).drop("first", "ord"), "marked")
     copies = narrow.where("copy").select("uid").distinct()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = rows.select("uid", "ord", "text").repartition(parts, "uid")
+    texts = rows.select("uid", "ord", "text").mapInArrow(_pack, "uid binary, ord bigint, packed binary").repartition(parts, "uid")
     marks = covered_windows(texts.join(copies, "uid", "left_anti"), scratch, crowded)
     marks = scratch.store(marks.groupBy("uid").agg(F.collect_list(F.struct("start", "mask")).alias("marks")), "marks")
-    cut = texts.join(marks, "uid").select("uid", "text", "marks").mapInArrow(_cut, "uid binary, spans array<struct<start:int,end:int>>, kept binary")
+    scratch.drop("chunks", "sorted")
+    kinds = "uid binary, spans array<struct<start:int,end:int>>, kept binary"
+    cut = texts.join(marks, "uid").select("uid", "packed", "marks").mapInArrow(_cut, kinds)
     cut = scratch.store(cut.dropDuplicates(["uid"]), "cut")
     whole = F.col("copy") & (F.col("n_bytes") >= DEPTH)
     end = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("end")))

@@ -22,12 +22,13 @@ an empty result; other columns are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lapsewise.llm.suffixes import DEPTH, repeats
 from lapsewise.sources.workspace import Scratch
@@ -298,6 +299,21 @@ def _identity(key: Column, sha: Column) -> Column:
     return F.unhex(F.concat(F.lpad(F.hex(F.coalesce(key, F.lit(LAST))), 16, "0"), F.substring(sha, 1, 16)))
 
 
+@contextmanager
+def _as_dealt(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside keep the partitions they were planned with.
+
+    Keys come back to the partition whose documents listed them; run-time merging or splitting of
+    partitions would part the two.
+    """
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def covered_windows(rows: DataFrame, scratch: Scratch, crowded: int = CHUNKS) -> DataFrame:
     """``uid, start, mask`` of the chunks with covered windows, from ``uid, ord, packed`` of different texts.
 
@@ -310,7 +326,8 @@ def covered_windows(rows: DataFrame, scratch: Scratch, crowded: int = CHUNKS) ->
     shared = listed.mapInArrow(_shared_keys, "home binary, keys binary").groupBy("home").agg(F.collect_list("keys").alias("keys"))
     told = rows.join(shared, rows["uid"] == shared["home"], "left").sortWithinPartitions(F.col("keys").isNull(), "ord")
     kinds = "key bigint, chunk bigint, ord bigint, uid binary, start int, windows int, bytes binary"
-    found = scratch.store(told.select("uid", "ord", "packed", "keys").mapInArrow(_write_chunks, kinds), "chunks")
+    with _as_dealt(spark):
+        found = scratch.store(told.select("uid", "ord", "packed", "keys").mapInArrow(_write_chunks, kinds), "chunks")
     listed = found.where("bytes IS NOT NULL").select("key", "chunk", "ord", "bytes").repartition(parts, "key").sortWithinPartitions("key", "chunk")
     kinds = "key bigint, chunk bigint, first bigint, mask bigint, bytes binary"
     firsts = scratch.store(listed.mapInArrow(_sort_suffixes(crowded), kinds), "sorted")

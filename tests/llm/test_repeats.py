@@ -79,6 +79,24 @@ def test_report_agrees_with_all_strings(spark, crowded, monkeypatch):
     assert sorted(map(tuple, repeats.repeat_report(docs).collect()), key=str) == plain_report(rows())
 
 
+def test_run_time_changes_of_partitions_lose_nothing(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        docs = spark.createDataFrame(rows(), SCHEMA).repartition(7)
+        assert sorted(map(tuple, repeats.repeat_report(docs).collect()), key=str) == plain_report(rows())
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_small_buffers_give_the_same(spark, monkeypatch):
     few = rows()[:50]
     for name, value in (("BUFFER", 300), ("KEYS", 50), ("SORTED", 500)):

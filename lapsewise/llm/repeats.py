@@ -1,8 +1,8 @@
 """Removing text that repeats: every byte covered by a 50-byte string that starts in an earlier document too.
 
 1. Whole copies. Of equal texts only the first goes on; the others are covered from end to end.
-2. Candidates. Every window of 50 bytes has a key, the smallest hash of its 20-byte strings, so equal windows
-   have equal keys. Neighbouring windows mostly share their key and form a chunk of some 16. Each task lists the keys of its documents, once each, in 6 bytes; a key that two documents have
+2. Candidates. Every window of 50 bytes has a key, the smallest hash of its 25-byte strings, so equal windows
+   have equal keys. Neighbouring windows mostly share their key and form a chunk of some 13. Each task lists the keys of its documents, once each, in 6 bytes; a key that two documents have
    is sent back to the tasks that listed it, through one of their documents.
 3. Chunks with such a key are written out: their place, and once for each task their bytes.
 4. Suffix sorting. Chunks with the same key come together. Equal ones are collapsed to the first document that
@@ -33,12 +33,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lapsewise.llm.suffixes import DEPTH, repeats
 from lapsewise.sources.workspace import Scratch
 
-GRAM = 20
+GRAM = 25
 BASE = 0x9E3779B97F4A7C15
 BUFFER = 1 << 18
 KEYS = 1 << 21
-SORTED = 1 << 21
-CHUNKS = 1 << 15
+SORTED = 1 << 18
+CHUNKS = 1 << 14
 LAST = 2**63 - 1
 
 
@@ -361,8 +361,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", cro
     marks = scratch.store(marks.groupBy("uid").agg(F.collect_list(F.struct("start", "mask")).alias("marks")), "marks")
     scratch.drop("chunks", "sorted")
     kinds = "uid binary, spans array<struct<start:int,end:int>>, kept binary"
-    cut = texts.join(marks, "uid").select("uid", "packed", "marks").mapInArrow(_cut, kinds)
-    cut = scratch.store(cut.dropDuplicates(["uid"]), "cut")
+    cut = scratch.store(texts.join(marks, "uid").select("uid", "packed", "marks").mapInArrow(_cut, kinds), "cut")
+    if not narrow.groupBy("uid").count().where("count > 1").isEmpty():  # rows repeated as a whole
+        cut = cut.dropDuplicates(["uid"])
     whole = F.col("copy") & (F.col("n_bytes") >= DEPTH)
     end = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("end")))
     spans = F.when(whole, end).otherwise(F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")))

@@ -15,8 +15,8 @@ def floor_to_step(value: Column, step: int) -> Column:
 
 
 def monthly_amount(yearly: Column) -> Column:
-    """Twelfth of a yearly amount cut to an integer; missing counts as 0."""
-    return (F.coalesce(nan_to_null(yearly), F.lit(0.0)) / F.lit(12)).cast("int")
+    """Twelfth of a yearly amount cut to an integer; missing counts as 0, NULL beyond 32 bits."""
+    return (F.coalesce(nan_to_null(yearly), F.lit(0.0)) / F.lit(12)).try_cast("int")
 
 
 def ratio(part: Column, whole: Column) -> Column:

@@ -39,11 +39,6 @@ def day(yyyymmdd: Column | str) -> Column:
     return F.to_date(text, "yyyyMMdd")
 
 
-def year_before(yyyymm: str) -> str:
-    """Same month one year earlier."""
-    return str(int(yyyymm) - 100)
-
-
 def month_name(yyyymm: Column) -> Column:
     return F.date_format(month_start(yyyymm), "MMM")
 
@@ -63,17 +58,20 @@ def quarter_calendar(spark: SparkSession, quarters: int = 24) -> DataFrame:
     )
 
 
-def add_month_id(df: DataFrame, date_ref: str = "date_ref", out: str = "month_id") -> DataFrame:
-    """Month number of a ``yyyyMMdd`` quarter end as text, '' for any other date."""
-    calendar = quarter_calendar(df.sparkSession).select(
-        F.col("date_ref").alias("__ref"), F.col("month_id").cast("string").alias("__id")
-    )
-    # the calendar has a fixed 24 rows
-    return (
-        df.join(F.broadcast(calendar), F.col(date_ref) == F.col("__ref"), "left")
-        .withColumn(out, F.coalesce("__id", F.lit("")))
-        .drop("__ref", "__id")
-    )
+def add_month_id(
+    df: DataFrame, date_ref: str = "date_ref", out: str = "month_id", last: str | None = None
+) -> DataFrame:
+    """Month number of a ``yyyyMMdd`` quarter end as text, '' for any other date.
+
+    Counted from December 2016, which is 12, to ``last`` (``yyyyMMdd``) or without an end.
+    """
+    text = F.col(date_ref)
+    when = F.when(is_day_text(text), F.try_to_timestamp(text, F.lit("yyyyMMdd")).cast("date"))
+    number = month_number(when) - month_number_of("201612") + 12
+    known = (number >= 12) & (number % 3 == 0) & (when == F.last_day(when))
+    if last:
+        known = known & (text <= last)
+    return df.withColumn(out, F.coalesce(F.when(known, number.cast("string")), F.lit("")))
 
 
 def is_month_text(value: Column) -> Column:
@@ -88,8 +86,10 @@ def is_day_text(value: Column) -> Column:
 
 
 def check_month(value: str | None) -> str:
-    """The argument itself when it is a yyyymm month, else ``ValueError``."""
+    """The argument itself when it is a yyyymm month of six digits, else ``ValueError``."""
     try:
+        if len(value) != 6:
+            raise ValueError
         datetime.strptime(value, "%Y%m")
     except (TypeError, ValueError):
         raise ValueError(f"not a yyyymm month: {value!r}") from None

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -65,8 +67,9 @@ def cross_sell(multi_equipped: Column) -> Column:
 
 
 def single_family(*contracts: Column) -> Column:
-    """Action 5: contracts in exactly one product family."""
-    return flag(sum(flag(c > 0) for c in contracts) == 1)
+    """Action 5: contracts in exactly one product family and none in the others; unknown counts are not none."""
+    alone = [(c > 0) & reduce(and_, (o == 0 for o in contracts if o is not c)) for c in contracts]
+    return flag(reduce(or_, (F.coalesce(a, F.lit(False)) for a in alone)))
 
 
 def _has_bonus_formula(formula: Column) -> Column:
@@ -122,8 +125,16 @@ def product_family(ladder_family: Column) -> Column:
 
 
 def recode(value: Column, members: Sequence[str], inside: str, outside: str) -> Column:
-    """``inside`` for the listed codes, ``outside`` for all others and NULL."""
-    return F.when(value.cast("string").isin(*members), inside).otherwise(outside)
+    """``inside`` for the listed codes, ``outside`` for all others and NULL.
+
+    Codes that are numbers are compared as numbers too: 3, 3.0 and '3' are one code.
+    """
+    text = value.cast("string")
+    listed = text.isin(*members)
+    numbers = [float(m) for m in members if m.isdigit()]
+    if numbers:
+        listed = listed | F.coalesce(text.try_cast("double").isin(*numbers), F.lit(False))
+    return F.when(listed, inside).otherwise(outside)
 
 
 def regime(code: Column) -> Column:

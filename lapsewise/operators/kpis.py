@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lapsewise import fixed_values as fv
 from lapsewise.functions.amounts import percent, ratio
@@ -125,17 +125,19 @@ def months_table(
 
 def terminations_table(df: DataFrame, keys: Sequence[str] = ("network", "product", "kind")) -> DataFrame:
     """Terminations by month, each year labelled with its January stock, without the first year."""
-    table = months_table(df, "terminated", keys)
-    january = (
-        df.where(F.substring("month", 5, 2) == "01")
-        .groupBy(*keys, "year")
-        .agg(F.max("stock").alias("__stock"))
-    )
+    number = F.substring("month", 5, 2)
+    months = [
+        F.avg(F.when(number == f"{i:02d}", F.col("terminated"))).alias(label) for i, label in enumerate(fv.MONTH_LABELS, 1)
+    ]
+    january = F.max(F.when(number == "01", F.col("stock"))).alias("__stock")
+    table = df.groupBy(*keys, "year").agg(*months, january)
+    # a row for each year of a product; the frame is read once
+    oldest = F.min("year").over(Window.partitionBy(F.lit(0)))
     return (
-        table.join(january, [*keys, "year"], "left")
-        .where(F.col("year") > df.agg(F.min("year")).scalar())
+        table.withColumn("__oldest", oldest)
+        .where(F.col("year") > F.col("__oldest"))
         .withColumn("label", stock_label(F.col("year"), F.col("__stock")))
-        .drop("__stock")
+        .drop("__stock", "__oldest")
     )
 
 

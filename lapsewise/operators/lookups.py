@@ -11,6 +11,9 @@ from lapsewise import fixed_values as fv
 from lapsewise.functions import rules
 
 
+MAX_AGE = 150
+
+
 def literal_table(spark: SparkSession, columns: Mapping[str, list]) -> DataFrame:
     """Small table of constants, planned as a local relation."""
     return spark.createDataFrame(pa.table(dict(columns)))
@@ -74,16 +77,20 @@ def add_price(
     """Formula and price from a grid ``([department,] age_min, age_max, formula, price)``.
 
     The age bands of the grid are spelled out year by year, which turns the range into
-    an equality: no row is compared with bands of other ages.
+    an equality: no row is compared with bands of other ages. Ages run from 0 to ``MAX_AGE``:
+    a band that is open at an end (NULL) goes that far, and what lies beyond is cut. A
+    fractional age counts as the years completed.
     """
-    keys = {"__age": F.explode(F.sequence("age_min", "age_max"))}
+    low = F.greatest(F.coalesce("age_min", F.lit(0)), F.lit(0)).cast("int")
+    high = F.least(F.coalesce("age_max", F.lit(MAX_AGE)), F.lit(MAX_AGE)).cast("int")
+    keys = {"__age": F.explode(F.when(low <= high, F.sequence(low, high)))}
     by_age = grid.select(
         *([F.col("department").alias("__department")] if department else []),
         F.col("formula").alias(formula_out),
         F.col("price").alias(price_out),
         keys["__age"].alias("__age"),
     )
-    match = F.col(age) == F.col("__age")
+    match = F.floor(F.col(age)) == F.col("__age")
     if department:
         match = match & (F.col(department) == F.col("__department"))
     return df.join(by_age, match, "left").drop("__age", "__department")

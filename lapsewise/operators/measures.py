@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from lapsewise.functions.dates import month_key, month_key_of_number, month_number_of
 from lapsewise.operators.columns import DEFAULT, Names
-from lapsewise.operators.skew import HOT_ROWS
 from lapsewise.operators.spans import drop_empty, merge_ends, within_months
 
 CLIENTS = "nbCli"
@@ -151,7 +150,6 @@ def exits_of_spans(
     period: str = "month",
     flags: Sequence[str] | None = None,
     names: Names = DEFAULT,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Distinct clients and contracts leaving per period; only periods with an exit appear.
 
@@ -173,7 +171,7 @@ def exits_of_spans(
         .agg(*keep_marked)
     )
     versions = spans.select(names.contract, names.end)
-    leavers = merge_ends(leaving, names, versions, hot_rows).where(F.col("__own") == key(F.col(names.end)))
+    leavers = merge_ends(leaving, names, versions).where(F.col("__own") == key(F.col(names.end)))
     by = [period, *by]
     per_id = (
         leavers.withColumnRenamed("__own", period)
@@ -192,7 +190,6 @@ def terminations_of_spans(
     period: str = "month",
     flags: Sequence[str] | None = None,
     names: Names = DEFAULT,
-    hot_rows: int = HOT_ROWS,
     stock: DataFrame | None = None,
 ) -> DataFrame:
     """:func:`terminations` between two months, straight from the spans.
@@ -201,7 +198,7 @@ def terminations_of_spans(
     """
     by = [period, names.network] if flags else [period]
     measures = _measures(flags).values()
-    exits = exits_of_spans(df, first, last, period, flags, names, hot_rows)
+    exits = exits_of_spans(df, first, last, period, flags, names)
     present = stock_of_spans(df, first, last, flags, names) if stock is None else stock
     if period == "year":
         present = (

@@ -1,8 +1,10 @@
-"""Attaching one row per group to many rows when a group may be huge.
+"""Attaching one row per group to many rows when groups may be huge.
 
-A window over the group, or a join by its key, would send all its rows to one task.
-Here the rows of hot groups are spread over many tasks instead; what they get attached
-comes by broadcast, which is bounded by the number of hot groups.
+A window over the group would send all its rows to one task. Here the group's row is joined
+back, and Spark splits the partitions of hot groups at run time, however many there are.
+It only does so where both sides of the join are shuffled for the join's sake. An aggregate
+is partitioned by the same keys already and would be joined as it lies, so a hash of the
+keys takes part in the join as a key of its own, which asks for a shuffle of the (small) group side.
 """
 
 from __future__ import annotations
@@ -12,77 +14,26 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-HOT_GROUPS = 1000
-HOT_ROWS = 1_000_000
-SLICES = 512
 
+def attach_row(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join with ``other``, which has one row per key, the keys of both named alike.
 
-def _same(left: str, right: str, keys: Sequence[str]) -> Column:
-    pairs = (F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys)
-    return reduce(lambda a, b: a & b, pairs)
-
-
-def _hottest(sizes: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """The largest groups of ``hot_rows`` rows or more: at most ``HOT_GROUPS`` rows.
-
-    Every other group is smaller than all of them, so none of the rest is large.
-    """
-    large = sizes.where(F.col("__rows") >= hot_rows)
-    return large.orderBy(F.desc("__rows"), *keys).limit(HOT_GROUPS).drop("__rows")
-
-
-def _attach(df: DataFrame, keys: Sequence[str], hot: DataFrame, rest: DataFrame, slices: int) -> DataFrame:
-    """``df`` with the columns of its key's row, from ``hot`` by broadcast or ``rest`` by key.
-
-    The slice that spreads hot rows depends on the input partition and the row only, so
-    a task that runs again makes the same choice.
+    NULL keys match NULL keys.
     """
-    names = [c for c in rest.columns if c not in keys]
-    place = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"d.{c}") for c in df.columns]), F.lit(slices)) + 1
-    spread = (
-        df.alias("d")
-        .join(F.broadcast(hot.select(*keys, F.struct(*names).alias("__hot"))).alias("h"), _same("d", "h", keys), "left")
-        .select("d.*", "__hot", F.when(F.col("__hot").isNotNull(), place).otherwise(F.lit(0)).alias("__slice"))
-    )
-    cold = rest.select(*keys, F.struct(*names).alias("__cold"), F.lit(0).cast("bigint").alias("__slice"))
-    joined = spread.alias("d").join(
-        cold.alias("c"), _same("d", "c", keys) & (F.col("d.__slice") == F.col("c.__slice")), "left"
-    )
-    return joined.select("d.*", F.coalesce("__hot", "__cold").alias("__value")).select(
-        *df.columns, *[F.col("__value")[n].alias(n) for n in names]
-    )
+    keys, names = list(keys), [c for c in other.columns if c not in keys]
+    left = df.withColumn("__hash", F.xxhash64(*keys)).alias("d")
+    right = other.select("*", F.xxhash64(*keys).alias("__hash")).alias("o")
+    same: list[Column] = [F.col(f"d.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
+    joined = left.join(right, reduce(lambda a, b: a & b, same, F.col("d.__hash") == F.col("o.__hash")), "left")
+    return joined.select(*[F.col(f"d.{c}") for c in df.columns], *[F.col(f"o.{c}") for c in names])
 
 
 def attach_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    aggregates: Sequence[Column],
-    source: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-    slices: int = SLICES,
+    df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column], source: DataFrame | None = None
 ) -> DataFrame:
     """``df`` with the (aliased) aggregates of each row's group; NULL keys form a group.
 
-    The aggregates, and the sizes of the groups, are taken over ``source`` if given, of
-    which ``df`` is a part.
-    """
-    keys = list(keys)
-    per_group = (df if source is None else source).groupBy(*keys).agg(
-        *aggregates, F.count(F.lit(1)).alias("__rows")
-    )
-    return _attach(df, keys, _hottest(per_group, keys, hot_rows), per_group.drop("__rows"), slices)
-
-
-def attach_row(
-    df: DataFrame, other: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, slices: int = SLICES
-) -> DataFrame:
-    """Left join with ``other``, which has one row per key, the keys of both named alike.
-
-    Run-time skew handling does not split a join whose other side comes out of an
-    aggregation by the same key, hence the explicit split. NULL keys match NULL keys.
+    The aggregates are taken over ``source`` if given, of which ``df`` is a part. Every task
+    combines its own rows of a group first, so a hot group sends one row per task.
     """
-    keys = list(keys)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    hot = _hottest(sizes, keys, hot_rows).alias("d").join(other.alias("o"), _same("d", "o", keys), "left")
-    hot = hot.select("d.*", *[F.col(f"o.{c}") for c in other.columns if c not in keys])
-    return _attach(df, keys, hot, other, slices)
+    return attach_row(df, (df if source is None else source).groupBy(*keys).agg(*aggregates), keys)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lapsewise import fixed_values as fv
 from lapsewise.functions.dates import month_key, month_number, month_number_of, month_start
 from lapsewise.operators.columns import DEFAULT, Names
-from lapsewise.operators.skew import HOT_ROWS, attach_group
+from lapsewise.operators.skew import attach_group
 
 
 def drop_empty(df: DataFrame, names: Names = DEFAULT) -> DataFrame:
@@ -54,16 +54,14 @@ def open_end() -> Column:
     return F.lit(fv.OPEN_END).cast("date")
 
 
-def merge_ends(
-    df: DataFrame, names: Names = DEFAULT, source: DataFrame | None = None, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def merge_ends(df: DataFrame, names: Names = DEFAULT, source: DataFrame | None = None) -> DataFrame:
     """Give every version of a contract the latest end of all of them.
 
     Replaced contracts thus count as one; an open version makes the contract open.
     ``source`` holds all versions when ``df`` has only some.
     """
     end = F.coalesce(F.col(names.end).cast("date"), open_end())
-    merged = attach_group(df, [names.contract], [F.max(end).alias("__end")], source, hot_rows)
+    merged = attach_group(df, [names.contract], [F.max(end).alias("__end")], source)
     return merged.withColumn(names.end, F.col("__end")).drop("__end")
 
 

@@ -26,17 +26,17 @@ def reachable(candidates: DataFrame, hierarchy: DataFrame, advisors: DataFrame,
     df = joins.mark_text(
         candidates, "identifiantintermediaire", level, "Id_Intermediaire", "Presence_CC", "O", "N"
     )
-    df = joins.add_by_upper_key(df, "intmail", advisors, "email").drop("email")
+    df = joins.add_by_upper_key(df, "intmail", advisors, "email", repeats="first").drop("email")
     if SCORE not in df.columns:
         df = df.withColumn(SCORE, rules.placeholder_score(F.col("identifiant")))
     df = df.withColumns(
         {
-            "identifiantrce": F.col("identifiantrce").cast("bigint"),
+            "identifiantrce": F.col("identifiantrce").cast("string").try_cast("bigint"),
             "telephone": rules.phone(F.col("telmobile"), F.col("telfixe")),
             "agepersphysique": nan_to_null(F.col("agepersphysique")),
         }
     ).where((F.col("telephone") != "") & (F.col("agepersphysique") >= fv.MIN_AGE))
-    contacted = history.select(F.col("identifiantrce").cast("bigint").alias("contacted"))
+    contacted = history.select(F.col("identifiantrce").cast("string").try_cast("bigint").alias("contacted"))
     df = joins.mark_text(df, "identifiantrce", contacted, "contacted", "Contact", "DONE", "-")
     df = add_dial_prefix(df, "codedepartement")
     return df.withColumns(

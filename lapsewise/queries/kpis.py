@@ -26,6 +26,13 @@ def _rounded(df, *columns):
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+@query(f"""with {MEASURES_SQL},
+t as (select network, product, kind, year, cast(substr(month, 5, 2) as int) as month_no, stock from measures)
+select network, product, kind, year, {MONTHS_OF_YEAR % (('stock',) * 12)} from t group by network, product, kind, year""")
+def pivot_stock_month(spark, sf_dir):
+    return kpis.months_table(_measures(spark, sf_dir), "stock")
+
+
 @query(f"""with {MEASURES_SQL}
 select month, network, name, kind, product, year, stock,
        strftime(strptime(month || '01', '%Y%m%d'), '%b') as month_name
@@ -42,6 +49,13 @@ def measures_round_trip(spark, sf_dir):
     return reshape.to_wide(reshape.to_long(wide), ["month", "network"], names)
 
 
+@query(f"""with {MEASURES_SQL},
+t as (select network, product, kind, year, cast(substr(month, 5, 2) as int) as month_no, stock from measures)
+select network, product, kind, year, {MONTHS_OF_YEAR % (('stock',) * 12)} from t group by network, product, kind, year""")
+def pivot_stock_month(spark, sf_dir):
+    return kpis.months_table(_measures(spark, sf_dir), "stock")
+
+
 @query(f"""with {MEASURES_SQL}
 select month, network, name, kind, product, stock, terminated, round(rate, 6) as rate from measures""")
 def churn_rate_monthly(spark, sf_dir):
@@ -137,6 +151,13 @@ def pivot_rate_month(spark, sf_dir):
     return kpis.months_table(_rounded(_measures(spark, sf_dir), "rate"), "rate")
 
 
+@query(f"""with {MEASURES_SQL},
+t as (select network, product, kind, year, cast(substr(month, 5, 2) as int) as month_no, stock from measures)
+select network, product, kind, year, {MONTHS_OF_YEAR % (('stock',) * 12)} from t group by network, product, kind, year""")
+def pivot_stock_month(spark, sf_dir):
+    return kpis.months_table(_measures(spark, sf_dir), "stock")
+
+
 @query(f"""with {MEASURES_SQL}
 select month, network, name, kind, product, year, stock, terminated, round(rate, 6) as rate
 from measures where year in ('1998', '1999')""")

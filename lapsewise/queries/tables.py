@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -31,17 +31,15 @@ def projection_basics(spark, sf_dir):
 where o_orderstatus in ('F', 'O') and o_orderpriority <> '' and o_totalprice >= 1000 and o_totalprice <= 400000
   and strftime(o_orderdate, '%Y%m') <= '199912'""")
 def filter_basics(spark, sf_dir):
-    month = dates.month_key(F.col("o_orderdate"))
     orders = table(spark, sf_dir, "orders").where(
         F.col("o_orderstatus").isin("F", "O")
         & (F.col("o_orderpriority") != "")
         & (F.col("o_totalprice") >= 1000)
         & (F.col("o_totalprice") <= 400000)
-        & (month <= "199912")
+        & (F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))  # a date, so that the scan gets it
     )
     closed = F.col("o_orderstatus") == "F"
-    parts = [orders.where(closed), orders.where(~closed)]
-    return parts[0].unionByName(parts[1]).select("o_orderkey", month.alias("month"), closed.alias("closed"))
+    return orders.select("o_orderkey", dates.month_key(F.col("o_orderdate")).alias("month"), closed.alias("closed"))
 
 
 @query("select l_orderkey, l_linenumber, l_quantity from lineitem where l_linenumber is null or l_linenumber <> 2")
@@ -189,15 +187,13 @@ def frame_scan(spark, sf_dir):
 
 @query("select o_orderstatus, count(*) as n, cast(sum(o_orderkey) as bigint) as keys from orders group by o_orderstatus")
 def catalog_lookup(spark, sf_dir):
-    tag = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
-    for name in ("orders", "customer"):
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS default.lapse_{tag}_{name}_snapshot USING parquet "
-            f"LOCATION '{sf_dir}/{name}.parquet'"
-        )
-    name = tables.find_table(spark, "default", f"lapse_{tag}", "orders")
-    return (
-        spark.table(f"default.{name}")
-        .groupBy("o_orderstatus")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
-    )
+    database = f"lapse_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database}")
+    try:
+        for name in ("orders", "customer"):
+            spark.sql(f"CREATE TABLE {database}.{name}_snapshot USING parquet LOCATION '{sf_dir}/{name}.parquet'")
+        found = spark.table(f"{database}.{tables.find_table(spark, database, 'orders', 'snapshot')}")
+        counts = found.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+    finally:  # the frame reads the files, which stay
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    return counts

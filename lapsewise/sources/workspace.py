@@ -62,7 +62,7 @@ class Scratch:
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         """Write under the name, once, and read back."""
-        df.write.parquet(self.path(name))
+        df.write.option("compression", "zstd").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

@@ -96,9 +96,9 @@ def test_counts_match_plain_reading(spark, first, last, period):
 def test_hot_contracts_give_the_same_counts(spark, rows_of):
     rows = random_rows(3) + [("hot", i % 50, D(2013, 1, 1), D(2014, 5, 1 + i % 20), "A", 1, 0) for i in range(300)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(6)
-    plain = measures.terminations_of_spans(df, "201301", "201512", "month", FLAGS)
-    split = measures.terminations_of_spans(df, "201301", "201512", "month", FLAGS, hot_rows=10)
-    assert rows_of(plain) == rows_of(split)
+    exits = measures.terminations_of_spans(df, "201301", "201512", "month", FLAGS)
+    expanded = measures.terminations(spans.monthly_portfolio(df, "201301", "201512"), "month", FLAGS)
+    assert rows_of(exits, *expanded.columns) == rows_of(expanded)
 
 
 @pytest.fixture(scope="module")

@@ -14,9 +14,8 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k string, v int").repartition(8)
 
 
-@pytest.mark.parametrize("hot_rows", [50, 1_000_000])
-def test_values_are_those_of_a_window(skewed, rows_of, hot_rows):
-    ours = skew.attach_group(skewed, ["k"], [F.max("v").alias("top"), F.count("v").alias("n")], hot_rows=hot_rows)
+def test_values_are_those_of_a_window(skewed, rows_of):
+    ours = skew.attach_group(skewed, ["k"], [F.max("v").alias("top"), F.count("v").alias("n")])
     window = Window.partitionBy("k")
     plain = skewed.withColumn("top", F.max("v").over(window)).withColumn("n", F.count("v").over(window))
     assert rows_of(ours, "k", "v", "top", "n") == rows_of(plain, "k", "v", "top", "n")
@@ -24,17 +23,47 @@ def test_values_are_those_of_a_window(skewed, rows_of, hot_rows):
 
 def test_a_null_maximum_of_a_hot_group_stays_null(spark):
     df = spark.createDataFrame([("h", None)] * 100, "k string, v int")
-    assert {r.top for r in skew.attach_group(df, ["k"], [F.max("v").alias("top")], hot_rows=10).collect()} == {None}
+    assert {r.top for r in skew.attach_group(df, ["k"], [F.max("v").alias("top")]).collect()} == {None}
 
 
-def test_copies_of_one_row_go_to_many_slices(spark):
-    df = spark.createDataFrame([("hot", 1)] * 4000, "k string, v int").repartition(16)
-    attached = skew.attach_group(df, ["k"], [F.max("v").alias("top")], hot_rows=10)
-    assert attached.count() == 4000
-    plan = attached._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastQueryStage" in plan
-    place = F.pmod(F.xxhash64(F.spark_partition_id(), "k", "v"), F.lit(skew.SLICES))
-    assert df.select(place.alias("p")).distinct().count() > 8
+@pytest.fixture
+def eager_splits(spark):
+    """Settings under which every shuffled partition above 1 KB counts as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_no_task_gets_a_whole_group_however_many_are_hot(spark, eager_splits):
+    df = spark.range(60_000, numPartitions=8).select((F.col("id") % 2000).alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+    attached = skew.attach_group(df, ["k"], [F.max("v").alias("top")]).select("k", "top", F.spark_partition_id().alias("task"))
+    rows = attached.collect()
+    tasks, tops = {}, {}
+    for k, top, task in rows:
+        tasks.setdefault(k, set()).add(task)
+        tops.setdefault(k, set()).add(top)
+    assert len(rows) == 60_000 and len(tasks) == 2000
+    assert min(len(t) for t in tasks.values()) > 1 and all(len(t) == 1 for t in tops.values())
+
+
+def test_the_input_is_read_once_for_the_rows_and_once_for_the_groups(spark, tmp_path):
+    spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("v")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for made in (skew.attach_group(df, ["k"], [F.max("v").alias("top")]), snapshots.keep_latest(df, ["k"], "v")):
+        assert made._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 2
+    members = spark.range(5).select(F.col("id").alias("m"))
+    marked = joins.mark_members(joins.mark_members(df, "k", members, "m", "a"), "k", members, "m", "b")
+    assert marked._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
 
 
 def test_latest_version_keeps_ties_and_drops_unknown_versions(spark, rows_of):
@@ -42,14 +71,15 @@ def test_latest_version_keeps_ties_and_drops_unknown_versions(spark, rows_of):
         [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "y"), ("b", None, "z"), (None, 5, "w"), (None, 4, "v")],
         "k string, v int, t string",
     )
-    for hot_rows in (1, 1_000_000):
-        kept = snapshots.keep_latest(df, ["k"], "v", hot_rows=hot_rows)
-        assert rows_of(kept, "k", "t") == [("a", "y"), ("a", "y"), (None, "w")]
+    kept = snapshots.keep_latest(df, ["k"], "v")
+    assert rows_of(kept, "k", "t") == [("a", "y"), ("a", "y"), (None, "w")]
 
 
 def test_first_row_per_key_is_cut_before_the_shuffle(skewed):
-    first = snapshots.first_per_key(skewed, ["k"], [F.desc("v")])
+    first = snapshots.first_per_key(skewed, ["k"], [F.desc("v")], null_keys="group")
     assert first.count() == 42
+    assert snapshots.first_per_key(skewed, ["k"], [F.desc("v")]).count() == 41 + 300
+    assert snapshots.first_per_key(skewed, ["k"], [F.desc("v")], null_keys="drop").count() == 41
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
@@ -59,10 +89,9 @@ def test_union_of_nothing_has_the_schema(spark):
     assert empty.count() == 0 and empty.columns == ["a", "b"]
 
 
-@pytest.mark.parametrize("hot_rows", [50, 1_000_000])
-def test_rows_attached_are_those_of_a_left_join(spark, skewed, rows_of, hot_rows):
+def test_rows_attached_are_those_of_a_left_join(spark, skewed, rows_of):
     other = spark.createDataFrame([("hot", "H"), ("k1", "K"), (None, "N"), ("absent", "A")], "k string, t string")
-    ours = skew.attach_row(skewed, other, ["k"], hot_rows=hot_rows)
+    ours = skew.attach_row(skewed, other, ["k"])
     plain = skewed.alias("d").join(other.alias("o"), F.col("d.k").eqNullSafe(F.col("o.k")), "left").select("d.*", "t")
     assert rows_of(ours, "k", "v", "t") == rows_of(plain, "k", "v", "t")
 

@@ -16,9 +16,6 @@ from lapsewise.operators import joins, quality
 
 Order = Sequence[tuple[str, str]]  # (column, 'asc' or 'desc'), the first one counts most
 
-BROADCAST_ROWS = 100_000
-DIRECT_ROWS = 1000
-SLICES = 256
 
 
 def sorting(order: Order) -> list[Column]:
@@ -30,48 +27,44 @@ def draw_key(key: Column, seed: int | str = 1) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast hint for a frame of at most ``rows`` rows, if that is small."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def _within(frame: DataFrame, k: int, order: Order, keys: Sequence[str]) -> DataFrame:
+    """Positions with fewer than ``k`` rows (``__rows``) before them among those with the same keys."""
+    before = Window.partitionBy(*keys).orderBy(*sorting(order)).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.coalesce(F.sum("__rows").over(before), F.lit(0))
+    return frame.withColumn("__ahead", ahead).where(F.col("__ahead") < k).drop("__ahead")
 
 
-def _positions(df: DataFrame, k: int, order: Order, by: Sequence[str], slices: int) -> DataFrame:
-    """Distinct values of the order columns with fewer than ``k`` rows before them in the group.
+def _sliced(df: DataFrame, k: int, order: Order, by: Sequence[str], slices: int | None) -> DataFrame:
+    """Distinct values of the order columns with their ``__rows``, without those that ``k`` rows of their own slice precede.
 
-    Equal positions are counted before they are ordered, and ordered in slices first,
-    where a position with ``k`` rows before it in its slice alone is out. What is left
-    of a group for the final ordering is at most ``slices * k`` positions.
+    Slices are dealt by hash, as many as there are shuffle partitions unless given.
     """
     columns = [c for c, _ in order]
-    counted = (
-        df.groupBy(*by, *columns)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .withColumn("__slice", F.pmod(F.xxhash64(*columns), F.lit(slices)))
-    )
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = df.groupBy(*by, *columns).agg(F.count(F.lit(1)).alias("__rows"))
+    counted = counted.withColumn("__slice", F.pmod(F.xxhash64(*columns), F.lit(slices)))
+    return _within(counted, k, order, [*by, "__slice"])
+
 
-    def within(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
-        before = Window.partitionBy(*keys).orderBy(*sorting(order)).rowsBetween(Window.unboundedPreceding, -1)
-        ahead = F.coalesce(F.sum("__rows").over(before), F.lit(0))
-        return frame.withColumn("__ahead", ahead).where(F.col("__ahead") < k).drop("__ahead")
+def _positions(df: DataFrame, k: int, order: Order, by: Sequence[str], slices: int | None) -> DataFrame:
+    """Distinct values of the order columns with fewer than ``k`` rows before them in the group.
 
-    return within(within(counted, [*by, "__slice"]), by).select(*by, *columns)
+    Equal positions are counted before they are ordered, and ordered in slices first. What is
+    left of a group for the final ordering is at most ``slices * k`` positions.
+    """
+    return _within(_sliced(df, k, order, by, slices), k, order, by).select(*by, *[c for c, _ in order])
 
 
-def top_n(
-    df: DataFrame, n: int, order: Order, direct_rows: int = DIRECT_ROWS, slices: int = SLICES
-) -> DataFrame:
+def top_n(df: DataFrame, n: int, order: Order, slices: int | None = None) -> DataFrame:
     """The first ``n`` rows in ``order``, whose last column should be an id.
 
-    Few rows come from a plain sort with limit, where every task hands on ``n`` rows at
-    most. For more, the order columns alone are ranked first and the rows fetched by
-    them, so that not every task hands on ``n`` whole rows.
+    The order columns alone are ranked in slices first and the rows fetched by the ``n``
+    positions left, in the same way for any ``n``, so that not every task hands on ``n`` whole rows.
     """
-    if n > direct_rows:
-        taken = _positions(df, n, order, (), slices)
-        match = [F.col(f"d.{c}").eqNullSafe(F.col(f"t.{c}")) for c, _ in order]
-        # without groups there are at most n positions
-        df = df.alias("d").join(_small(taken, n).alias("t"), reduce(and_, match), "left_semi")
-    return df.orderBy(*sorting(order)).limit(n)
+    taken = _sliced(df, n, order, (), slices).select(*[c for c, _ in order]).orderBy(*sorting(order)).limit(n)
+    match = [F.col(f"d.{c}").eqNullSafe(F.col(f"t.{c}")) for c, _ in order]
+    rows = df.alias("d").join(taken.alias("t"), reduce(and_, match), "left_semi")
+    return rows.orderBy(*sorting(order)).limit(n)
 
 
 def control_group(df: DataFrame, key: str, n: int, seed: int = 1, out: str = "temoin") -> DataFrame:
@@ -79,12 +72,12 @@ def control_group(df: DataFrame, key: str, n: int, seed: int = 1, out: str = "te
     ids = df.select(F.col(key).alias("__drawn")).distinct()
     ids = ids.withColumn("__order", draw_key(F.col("__drawn"), seed))
     drawn = top_n(ids, n, [("__order", "asc"), ("__drawn", "asc")]).select("__drawn")
-    marked = df.join(_small(drawn, n), F.col(key) == F.col("__drawn"), "left")
+    marked = df.join(drawn, F.col(key) == F.col("__drawn"), "left")
     return marked.withColumn(out, F.col("__drawn").isNotNull()).drop("__drawn")
 
 
 def top_with_ties(
-    df: DataFrame, k: int, order: Order, by: Sequence[str] = (), slices: int = SLICES
+    df: DataFrame, k: int, order: Order, by: Sequence[str] = (), slices: int | None = None
 ) -> DataFrame:
     """Rows among the first ``k`` of their group, with all rows tied with the last one.
 
@@ -93,8 +86,7 @@ def top_with_ties(
     by, columns = list(by), [c for c, _ in order]
     known = df.dropna(subset=columns)
     taken = _positions(known, k, order, by, slices)
-    # without groups there are at most k positions
-    kept = known.join(taken if by else _small(taken, k), [*by, *columns], "left_semi")
+    kept = known.join(taken, [*by, *columns], "left_semi")
     return kept.select(*df.columns)
 
 

@@ -18,18 +18,27 @@ def scores(spark):
 
 
 @pytest.mark.parametrize("n", [1, 50, 400, 1300, 5000])
-def test_top_n_takes_the_same_rows_both_ways(scores, n):
+def test_top_n_takes_the_first_rows(scores, n):
     rows, df = scores
     expected = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))[:n]
     order = [("score", "desc"), ("id", "asc")]
-    for direct in (10_000, 0):
-        got = [tuple(r) for r in selection.top_n(df, n, order, direct_rows=direct, slices=8).collect()]
+    for slices in (8, None):
+        got = [tuple(r) for r in selection.top_n(df, n, order, slices=slices).collect()]
         assert got == expected
 
 
+def test_top_n_has_one_plan_for_any_size(scores):
+    def shape(n):
+        lines = selection.top_n(scores[1], n, [("id", "asc")])._jdf.queryExecution().sparkPlan().toString().splitlines()
+        return [line.strip(" :+-").split("(")[0].split(" ")[0] for line in lines]
+
+    shapes = [shape(n) for n in (10, 1000, 1001, 100_000)]
+    assert all(s == shapes[0] for s in shapes)
+
+
 def test_top_n_with_repeated_rows_is_exact(spark):
     df = spark.createDataFrame([("a", 1)] * 30 + [("b", 2)] * 5, "id string, score int")
-    assert selection.top_n(df, 12, [("score", "desc"), ("id", "asc")], direct_rows=0).count() == 12
+    assert selection.top_n(df, 12, [("score", "desc"), ("id", "asc")]).count() == 12
 
 
 @pytest.mark.parametrize("k", [1, 20, 300, 5000])

@@ -138,10 +138,14 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
 
 def scored(docs: DataFrame, model: RuleEnsemble, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` as a column ``__row``, with ``score`` and ``predicted``."""
-    row = as_row(docs)
-    stats = row.select("__row", *[c.alias(n) for n, c in statistics(F.col(f"__row.{text}")).items()])
-    judged = stats.select("__row", model.score().alias("score"))
+    """``docs`` as a column ``__row``, with ``score``, ``predicted`` and ``task``.
+
+    A condition on the score would be pushed below the statistics and there count each of them anew
+    for every rule. One that names ``task`` as well stays above, as a task's number is known there only.
+    """
+    row, stats = as_row(docs), statistics(F.col(f"__row.{text}"))
+    counted = row.select("__row", F.spark_partition_id().alias("task"), *[c.alias(n) for n, c in stats.items()])
+    judged = counted.select("__row", "task", model.score().alias("score"))
     return judged.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
@@ -155,4 +159,4 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents the classifier does not reject, in the columns they came with."""
-    return scored(docs, learn(docs, labels)).where("predicted = 1").select("__row.*")
+    return scored(docs, learn(docs, labels)).where("predicted = 1 AND task >= 0").select("__row.*")

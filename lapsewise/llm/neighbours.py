@@ -11,7 +11,9 @@ these neighbours; cost counts distances (by ``SAMPLE_ROWS`` sampled rows) and vi
 
 Work. Equal vectors are one row with their 11 smallest identifiers, so a common vector is searched once.
 Index rows and visits are dealt and sorted by bucket, and a task streams its buckets: visits first,
-then blocks of vectors, of which the 11 nearest of each visit stay. No pairs are written down but those.
+then blocks of vectors, of which the 11 nearest of each visit stay. Rough distances of a block only rule out
+vectors farther than the 11th nearest by more than rounding can make; all others, however many tie there,
+are ranked by exact distance and identifier. No pairs are written down but those that stay.
 Buckets with more than ``BLOCK`` vectors or ``VISITS`` visits are cut into parts of these sizes, and each
 part of the vectors meets each part of the visits in a task of its own. Queries for which fewer
 than 10 were found are searched again among all rows, in blocks.
@@ -44,6 +46,8 @@ TARGET = 0.95
 VISIT_COST = 100  # distances
 SAMPLE_ROWS, SAMPLE_QUERIES = 2000, 64
 BLOCK, VISITS = 1 << 14, 1 << 12
+PAIRS = 1 << 21  # numbers held while exact distances are computed
+ROUNDING = 16 * float(np.finfo(np.float64).eps)
 SEED = 7
 ROWS = "bucket bigint, part int, query boolean, rep bigint, vector binary"
 FOUND = "query bigint, rep bigint, distance double"
@@ -142,15 +146,29 @@ def _search(dimensions: int):
         for low in range(0, len(reps), 4096):
             r, x = reps[low : low + 4096], vectors[low : low + 4096]
             lengths = (x * x).sum(axis=1)
-            for q in range(0, len(ids), 1024):
-                at = slice(q, q + 1024)
-                rough = lengths - 2 * (queries[at] @ x.T)
-                near = np.argpartition(rough, min(keep + 5, len(r)) - 1, axis=1)[:, : keep + 5]  # a few more, for rounding
-                distances = exact(queries[at][:, None, :], x[near])
-                all_reps = np.concatenate([best_reps[at], r[near]], axis=1)
-                all_d = np.concatenate([best[at], distances], axis=1)
-                order = np.lexsort((all_reps, all_d), axis=1)[:, :keep]
-                best_reps[at], best[at] = np.take_along_axis(all_reps, order, 1), np.take_along_axis(all_d, order, 1)
+            longest = np.sqrt(lengths.max())
+            for q in range(0, len(ids), 256):
+                asked, farthest = queries[q : q + 256], best[q : q + 256, -1]
+                own = (asked * asked).sum(axis=1)
+                rough = lengths - 2 * (asked @ x.T)
+                # every vector that may be among the nearest, ties and rounding of both distances included
+                bound = ROUNDING * (dimensions + 4) * (np.sqrt(own) + longest) ** 2
+                limit = farthest**2 - own
+                if len(r) > keep:
+                    limit = np.minimum(limit, np.partition(rough, keep - 1, axis=1)[:, keep - 1])
+                rows, columns = np.nonzero(~(rough > (limit + bound)[:, None]))
+                if not len(rows):
+                    continue
+                step = max(1, PAIRS // dimensions)
+                distances = [exact(asked[rows[i : i + step]], x[columns[i : i + step]]) for i in range(0, len(rows), step)]
+                touched = np.unique(rows)
+                all_rows = np.concatenate([np.repeat(touched, keep), rows])
+                all_reps = np.concatenate([best_reps[q + touched].ravel(), r[columns]])
+                all_d = np.concatenate([best[q + touched].ravel(), *distances])
+                order = np.lexsort((all_reps, all_d, all_rows))
+                first = np.searchsorted(all_rows[order], touched)
+                order = order[first[:, None] + np.arange(keep)]
+                best_reps[q + touched], best[q + touched] = all_reps[order], all_d[order]
 
     def out(state: list) -> pa.RecordBatch:
         ids, _, best_reps, best = state

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +63,26 @@ def test_recall_and_exact_distances(spark, block, monkeypatch):
     assert recall(got, plain_nearest(rows, lambda i: i % 20 == 0)) >= 0.9
 
 
+@pytest.mark.parametrize("order", [1, 2])
+def test_any_number_of_ties_at_the_border(order):
+    """Two-hot vectors have only three distances from one another."""
+    size, rng = 64, np.random.default_rng(order)
+    base = np.zeros((size * (size - 1) // 2, size))
+    for row, places in zip(base, np.argwhere(np.triu(np.ones((size, size)), 1)), strict=True):
+        row[places] = 1
+    reps, asked = rng.permutation(len(base)), rng.choice(len(base), 21, replace=False)
+    near = np.sqrt(((base[asked][:, None] - base[reps]) ** 2).sum(axis=-1))
+    expected = {(int(q), int(reps[j]), float(d[j])) for q, d in zip(asked, near, strict=True) for j in np.lexsort((reps, d))[: neighbours.NEAREST + 1]}
+
+    def batch(which, query):
+        columns = [pa.array([0] * len(which), pa.int64()), pa.array([0] * len(which), pa.int32()), pa.array([query] * len(which))]
+        columns += [pa.array(which, pa.int64()), pa.array([base[i].tobytes() for i in which], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["bucket", "part", "query", "rep", "vector"])
+
+    found = neighbours._search(size)(iter([batch(asked, True), batch(reps[:700], False), batch(reps[700:], False)]))
+    assert {(r["query"], r["rep"], r["distance"]) for b in found for r in b.to_pylist()} == expected
+
+
 def test_common_vectors_ties_and_odd_rows(spark):
     base = vectors(60, 4, 2)
     rows = [(i, v, 0, 0) for i, v in enumerate(base)] + [(1000 + i, base[0], 0, 0) for i in range(40)] + [(1000, base[0], 0, 0)]

@@ -27,7 +27,7 @@ rows repeated with the smallest identifier one stays; an empty table gives an em
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -238,7 +238,11 @@ def links(prints: DataFrame, scratch: Scratch, bucket: int = BUCKET) -> DataFram
 def classes(prints: DataFrame, scratch: Scratch, bucket: int = BUCKET) -> DataFrame:
     """``print, root, component_id`` of every fingerprint in ``doc_id, print``: its class, and the smallest doc_id in it."""
     each = scratch.store(prints.groupBy("print").agg(F.min("doc_id").alias("first")), "prints")
-    joined = components(links(each, scratch, bucket), scratch)
+    return rooted_classes(each, components(links(each, scratch, bucket), scratch), scratch)
+
+
+def rooted_classes(each: DataFrame, joined: DataFrame, scratch: Scratch) -> DataFrame:
+    """``print, root, component_id`` of every ``print, first``, by the components ``node, component``."""
     rooted = each.join(joined.withColumnRenamed("node", "print"), "print", "left")
     rooted = scratch.store(rooted.withColumn("root", F.coalesce("component", "print")).drop("component"), "rooted")
     roots = scratch.store(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "roots")
@@ -259,7 +263,12 @@ def near_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     row = as_row(docs)
     named = row.select(F.col(f"__row.{key}").alias("doc_id"), fingerprints(f"__row.{text}").alias("print"))
     prints = scratch.store(named, "documents")
-    stays = prints.join(classes(prints, scratch), "print").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return smallest(row, prints, classes(prints, scratch), fingerprints, scratch, text, key)
+
+
+def smallest(row: DataFrame, prints: DataFrame, classes_: DataFrame, print_of: Callable, scratch: Scratch, text: str, key: str) -> DataFrame:
+    """Of each class the row with the smallest identifier, from ``__row`` and the ``doc_id, print`` of all rows."""
+    stays = prints.join(classes_, "print").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     # of rows with the smallest identifier of their class one fingerprint, should the identifier be repeated
     stays = stays.groupBy("root").agg(F.min("print").alias("print"), F.first("doc_id").alias("__id"))
     stays = scratch.store(stays, "stays")
@@ -270,5 +279,5 @@ def near_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     repeated = scratch.store(repeated.withColumnRenamed("doc_id", "__again"), "repeated")
     again = F.col("__id").eqNullSafe(F.col("__again"))
     once = found.join(repeated, again, "left_anti").select("__row")
-    more = found.join(repeated, again, "left_semi").where(fingerprints(f"__row.{text}") == F.col("print"))
+    more = found.join(repeated, again, "left_semi").where(print_of(f"__row.{text}") == F.col("print"))
     return once.unionByName(more.groupBy("root").agg(F.any_value("__row").alias("__row")).select("__row")).select("__row.*")

@@ -265,6 +265,14 @@ class Tokenizer:
             block = np.frombuffer(ids, "<u4", min(IDS, (len(ids) - start) // 4), start)
             yield b"".join(map(self.tokens.__getitem__, block.tolist()))
 
+    def decoded_sha256(self, ids: bytes) -> str:
+        """Digest of the text of the ids, read as a stream."""
+        decoded, reader = hashlib.sha256(), Utf8Reader()
+        for block in self.decode_blocks(ids):
+            decoded.update(reader.feed(block).encode())
+        decoded.update(reader.feed(b"", final=True).encode())
+        return decoded.hexdigest()
+
     def decode(self, ids: bytes) -> str:
         """The text of the ids, read as a stream."""
         reader = Utf8Reader()
@@ -295,21 +303,18 @@ def encode_report(docs: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             counts, ids_sha, text_sha = [], [], []
             for text in batch.column("text"):
-                ids, decoded, reader = tokenizer.encode(text.as_py()), hashlib.sha256(), Utf8Reader()
-                for block in tokenizer.decode_blocks(ids):
-                    decoded.update(reader.feed(block).encode())
-                decoded.update(reader.feed(b"", final=True).encode())
+                ids = tokenizer.encode(text.as_py())
                 counts.append(len(ids) // 4)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
-                text_sha.append(decoded.hexdigest())
+                text_sha.append(tokenizer.decoded_sha256(ids))
             arrays = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", "text").mapInArrow(report, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
-def encode(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), text: str = "text", path: str | None = None) -> DataFrame:
-    """``columns`` of every row with ``n_tokens`` and ``token_ids``."""
+def encode(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), text: str = "text", path: str | None = None, decoded: bool = False) -> DataFrame:
+    """``columns`` of every row with ``n_tokens`` and ``token_ids``, if ``decoded`` with ``decoded_sha256`` of what these decode to."""
     ranks = ranks_file(docs.sparkSession, path)
 
     def ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,9 +327,12 @@ def encode(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), text: str =
                 values = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
                 kept = [part.column(c) for c in columns]
-                arrays = [*kept, pa.array(np.diff(ends), pa.int64()), lists]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "n_tokens", "token_ids"])
+                arrays, names = [*kept, pa.array(np.diff(ends), pa.int64()), lists], [*columns, "n_tokens", "token_ids"]
+                if decoded:
+                    arrays, names = [*arrays, pa.array([tokenizer.decoded_sha256(i) for i in ids], pa.string())], [*names, "decoded_sha256"]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in columns)
     rows = docs.select(*columns, docs[text].alias("__text"))
-    return rows.mapInArrow(ids_of, f"{kinds}n_tokens bigint, token_ids array<int>")
+    digest = ", decoded_sha256 string" if decoded else ""
+    return rows.mapInArrow(ids_of, f"{kinds}n_tokens bigint, token_ids array<int>{digest}")

@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+import corpus_pipeline
 from lapsewise.llm import bpe
 
 SCHEMA = "doc_id bigint, text string, ids string, n_tokens string"
@@ -83,3 +84,10 @@ def test_report_and_rows(spark, reference):
     encoded = bpe.encode(docs, ("doc_id", "ids")).collect()
     assert sorted(((r.doc_id, r.token_ids) for r in encoded), key=str) == sorted(((k, reference(t)) for k, t, *_ in rows), key=str)
     assert bpe.encode_report(docs.limit(0)).count() == 0
+
+
+def test_pipeline_stage_decodes_what_it_encodes(spark):
+    texts = [None, "", "plain words", "Ünï 漢字 🙂 e\u0301", "x" * 5000, " \n\t  "]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    got = {r.doc_id: r.decoded_sha256 for r in corpus_pipeline.encoded(spark, docs, "").collect()}
+    assert got == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in enumerate(texts)}

@@ -6,6 +6,11 @@ pruned by support and confidence, and by shorter rules that say the same, are lo
 an inverted index that lists each rule under its rarest token. Only distinct token sets are
 matched, so a host with a third of all pages costs as much as its distinct paths.
 
+Labelled pages that no given rule fits are mined once more by themselves, as the decided ones would outweigh
+them: every token, every whole host, and every host with one more token are counted by aggregation, and
+go with block from ``MIN_PAGES`` blocked pages, whatever share of the table these are; other combinations
+are mined from ``REST_SUPPORT``. These rules are for pages that no given rule fits.
+
 Everything is DataFrame work in the JVM. What FP-growth brings to the driver are frequent single
 tokens: at most (tokens per url) / ``min_support`` of them. Rules are bounded alike.
 
@@ -31,6 +36,7 @@ GIVEN = (
 )
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.9
+REST_SUPPORT, MIN_PAGES = 0.001, 5
 BLOCK, ALLOW = "=block", "=allow"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
@@ -94,6 +100,31 @@ def match_rules(sets: DataFrame, rules: DataFrame) -> DataFrame:
     return found.where(F.size(F.array_except("antecedent", "tokens")) == 0).select("tokens").distinct()
 
 
+def candidates(tokens_: Column, host_: Column) -> Column:
+    """Each token, the whole host, and the host with each token."""
+    whole = F.concat(F.lit("="), host_)
+    single = F.transform(tokens_, lambda x: F.array(x))
+    both = F.transform(tokens_, lambda x: F.array(whole, x))
+    return F.when(host_ == "", single).otherwise(F.concat(single, F.array(F.array(whole)), both))
+
+
+def match_rest(known: DataFrame, scratch: Scratch, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """The distinct ``tokens, host`` that a rule from labelled pages without given rule fits, of pages without one."""
+    rest = scratch.store(known.where("says IS NULL").select("tokens", "host", "label"), "rest")
+    labelled, sets = rest.where("label IS NOT NULL"), rest.select("tokens", "host").distinct()
+    of_page = F.explode(candidates(F.col("tokens"), F.col("host"))).alias("antecedent")
+    counts = labelled.select(of_page, (F.col("label") == BLOCK).alias("block")).groupBy("antecedent")
+    counts = counts.agg(F.count(F.lit(1)).alias("n"), F.count_if("block").alias("blocked"))
+    simple = counts.where((F.col("blocked") >= MIN_PAGES) & (F.col("blocked") >= F.col("n") * min_confidence)).select("antecedent")
+    found = sets.select("tokens", "host", of_page).join(scratch.store(simple, "simple"), "antecedent").select("tokens", "host")
+    n = labelled.count()
+    if n >= MIN_PAGES:
+        mined = mine_rules(labelled, scratch, max(REST_SUPPORT, MIN_PAGES / n), min_confidence)
+        more = match_rules(sets.select("tokens").distinct(), mined)
+        found = found.unionByName(sets.join(scratch.store(more, "more"), "tokens", "left_semi"))
+    return scratch.store(found.distinct(), "found")
+
+
 def judge(
     urls: DataFrame,
     labels: DataFrame,
@@ -119,7 +150,9 @@ def judge(
     mined = mine_rules(known.where("label IS NOT NULL"), scratch, min_support, min_confidence)
     blocked = match_rules(parts.select("tokens").distinct(), mined).withColumn("hit", F.lit(True))
     judged = parts.join(scratch.store(blocked, "blocked"), "tokens", "left")
-    hit = F.coalesce("hit", F.lit(False))
+    rest = match_rest(known, Scratch(urls.sparkSession, "urls-rest"), min_confidence).withColumn("rest", F.lit(True))
+    judged = judged.join(rest, ["tokens", "host"], "left")
+    hit = F.coalesce("hit", F.col("says").isNull() & F.col("rest"), F.lit(False))
     verdict = F.coalesce("says", F.when(hit, "block").otherwise("allow"))
     return judged.select("key", "host", "path", "rule", verdict.alias("verdict"), hit.alias("mined"))
 

@@ -205,3 +205,12 @@ def test_mined_rules_reach_pages_no_given_rule_fits(spark):
     marks = spark.createDataFrame([(i, t) for i, t in enumerate(toxic) if t is not None], "key bigint, block boolean")
     got = {r.key: r.verdict for r in url_filter.judge(pages, marks, rules=()).collect()}
     assert got == {i: "block" if "bad" in u and "xx" in u else "allow" for i, u in enumerate(urls)}
+
+
+def test_bad_host_below_a_hundredth_of_the_pages_is_blocked(spark):
+    urls = [f"http://bad.example.org/en/{i}" for i in range(10)] + [f"http://good{i % 9}.example.org/en/{i}" for i in range(90)]
+    urls += [f"http://few.example.org/en/{i}" for i in range(4)] + [f"http://a{i % 7}.com/en/{i}" for i in range(1500)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "key bigint, url string")
+    marks = [(i, "bad" in u or "few" in u) for i, u in enumerate(urls[:104]) if i not in range(6, 10)]
+    got = {r.key: r.verdict for r in url_filter.judge(pages, spark.createDataFrame(marks, "key bigint, block boolean")).collect()}
+    assert got == {i: "block" if "bad" in u else "allow" for i, u in enumerate(urls)}

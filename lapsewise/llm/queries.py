@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapsewise.llm import bpe, exact_dedup, language_id, mixing, neighbours, quality, repeats, simhash, token_store, url_filter
+from lapsewise.llm import (
+    bpe, exact_dedup, language_id, mixing, negatives, neighbours, periodic, piecewise, quality, repeats, simhash, token_store, url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +107,18 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.negative_report(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piecewise.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_report(table(spark, sf_dir, "documents"))

@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 from __spark_entry__ import oracle_sql, queries
 from lapsewise.llm import bpe, token_store
 from lapsewise.llm.queries import ORACLES, QUERIES
+from tests.llm import test_negatives, test_periodic, test_piecewise
 from tests.llm.test_repeats import plain_report
 from tests.llm.test_simhash import plain_classes, plain_print
 from tools.check_oracles import compare
@@ -39,7 +40,7 @@ def documents(duck):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
@@ -82,3 +83,21 @@ def test_op9(spark, documents):
 
 def test_op10(spark, documents):
     assert rows(spark, "op10_repeats", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(plain_report(documents))
+
+
+def test_op11(spark, duck):
+    vectors = duck.sql("select vec_id, label, embedding from embeddings").fetchall()
+    expected = test_negatives.plain(test_negatives.taking_part(vectors))
+    assert len(expected) > 100
+    assert rows(spark, "op11_hard_negatives", "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score") == expected
+
+
+def test_op12(spark, documents):
+    got = rows(spark, "op12_fingerprints", "*")
+    assert got == sorted(test_piecewise.plain_report(documents))
+    assert sum(r[5] > r[6] for r in got) > 0.95 * len(got)
+
+
+def test_op13(spark, documents):
+    got = rows(spark, "op13_periodic", "*")
+    assert got == sorted(test_periodic.plain_report(documents)) and sum(r[1] > 0 for r in got) > 10

@@ -69,11 +69,11 @@ def test_many_blocks_and_stripes(spark, monkeypatch):
 
 
 def test_scores_beyond_doubles_and_bigints(spark):
-    rows = [(100, 1, [2.0**40, 1.0]), (1, 1, [2.0**40, 3.0]), (2, 2, [2.0**40, 2.0]), (3, 2, [2.0**40, -5.0]), (4, 2, [2.0**10, 0.0]), (5, 3, [0.0, 7.0])]
+    rows = [(100, 1, [2.0**40, 1.0]), (1, 1, [2.0**40, 3.0]), (2, 2, [2.0**40, 2.0]), (3, 2, [2.0**40, -5.0]), (4, 2, [2.0, 0.0]), (5, 3, [0.0, 7.0])]
     limit = 2**63 - 1
     out = got(spark, rows, "vec_id bigint, label int, embedding array<double>")
     assert [r[:4] for r in out] == [(100, 1, 1, 2), (100, 1, 2, 3)] and {r[4] for r in out} == {limit}
-    rows = [(i, label, [x * 2.0**-12 if j == 0 else x for j, x in enumerate(v)]) for i, label, v in rows]
+    rows = [(i, label, [x * 2.0**-19 if j == 0 else x for j, x in enumerate(v)]) for i, label, v in rows]
     assert got(spark, rows, "vec_id bigint, label int, embedding array<double>") == plain(taking_part(rows))
 
 

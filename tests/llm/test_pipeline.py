@@ -13,7 +13,7 @@ import tiktoken
 import corpus_pipeline
 from lapsewise.llm import bpe, quality
 from tests.llm.test_mixing import draw, shares, words
-from tests.llm.test_simhash import plain_classes, plain_print
+from tests.llm.test_similar import plain_groups
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,10 +29,9 @@ def plain(spark):
         digest = hashlib.sha256(re.sub("[\x20\x09-\x0d]+", " ", row[1] or "").encode()).digest()
         first[digest] = min(first.get(digest, row), row)
     single = sorted(first.values())
-    prints = [plain_print(r[1]) for r in single]
-    classes, kept = plain_classes(prints), {}
-    for row, p in zip(single, prints, strict=True):
-        kept[classes[p]] = min(kept.get(classes[p], row), row)
+    groups, kept = plain_groups([r[1] for r in single]), {}
+    for at, row in enumerate(single):
+        kept[groups[at]] = min(kept.get(groups[at], row), row)
     apart, sizes = sorted(kept.values()), {}
     for row in apart:
         sizes[row[3]] = sizes.get(row[3], 0) + words(row[1])

@@ -7,17 +7,36 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def funnel(df: DataFrame, steps: Mapping[str, Column], start: str = "start") -> DataFrame:
-    """Rows left after each filter step, all counted in one pass."""
-    counts, condition = [F.count(F.lit(1)).alias("c0")], F.lit(True)
-    for i, step in enumerate(steps.values(), 1):
-        condition = condition & step
-        counts.append(F.count_if(condition).alias(f"c{i}"))
+def funnel(df: DataFrame, steps: Mapping[str, Column], start: str = "start", ids: str | None = None) -> DataFrame:
+    """Rows left after each filter step, all counted in one pass; with ``ids`` also the different ids left.
+
+    A row passes a number of leading steps, and an id as many as the best of its rows. So distinct ids cost one
+    combining aggregation to a row for each id, whatever the number of steps. A NULL id is counted in rows only.
+    """
+    passed, condition = F.lit(0), F.lit(True)
+    for step in steps.values():
+        condition = condition & F.coalesce(step, F.lit(False))
+        passed = passed + condition.cast("int")
+    numbers = range(len(steps) + 1)
+    counts = [F.count_if(F.col("__passed") >= i).alias(f"c{i}") for i in numbers]
+    marked = df.select(*([F.col(ids).alias("__id")] if ids else []), passed.alias("__passed"))
+    if ids:
+        each = marked.groupBy("__id").agg(F.max("__passed").alias("__most"), *counts)
+        known = F.col("__id").isNotNull()
+        counted = each.agg(
+            *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in numbers],
+            *[F.count_if(known & (F.col("__most") >= i)).alias(f"d{i}") for i in numbers],
+        )
+    else:
+        counted = marked.agg(*counts)
     rows = [
-        F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"), F.col(f"c{i}").alias("rows"))
+        F.struct(
+            F.lit(i).alias("step_no"), F.lit(name).alias("step"), F.col(f"c{i}").alias("rows"),
+            *([F.col(f"d{i}").alias("ids")] if ids else []),
+        )
         for i, name in enumerate([start, *steps])
     ]
-    return df.agg(*counts).select(F.inline(F.array(*rows)))
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def apply_steps(df: DataFrame, steps: Mapping[str, Column]) -> DataFrame:

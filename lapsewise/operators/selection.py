@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lapsewise import fixed_values as fv
 from lapsewise.operators import joins, quality
+from lapsewise.sources.workspace import stored
 
 Order = Sequence[tuple[str, str]]  # (column, 'asc' or 'desc'), the first one counts most
 
 
-
 def sorting(order: Order) -> list[Column]:
     return [F.col(c).asc() if way == "asc" else F.col(c).desc() for c, way in order]
 
@@ -46,25 +46,50 @@ def _sliced(df: DataFrame, k: int, order: Order, by: Sequence[str], slices: int
     return _within(counted, k, order, [*by, "__slice"])
 
 
+def _ranged(df: DataFrame, k: int, order: Order) -> DataFrame:
+    """Distinct values of the order columns with fewer than ``k`` rows before them, with ``__rows`` and ``__ahead``.
+
+    Positions are dealt by ranges of the order and written once; a sum for each range, as many as there are
+    partitions, tells how many rows precede it. Only ranges that begin before the k-th row are looked at
+    again, each by itself: no task meets more than one range, whatever ``k`` and the number of partitions.
+    """
+    columns = [c for c, _ in order]
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__rows"))
+    dealt = counted.repartitionByRange(*sorting(order)).withColumn("__range", F.spark_partition_id())
+    dealt = stored(dealt, "positions")
+    sums = dealt.groupBy("__range").agg(F.sum("__rows").alias("__sum"))
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    offsets = sums.select("__range", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__offset"))
+    near = dealt.join(offsets.where(F.col("__offset") < k), "__range")
+    before = Window.partitionBy("__range").orderBy(*sorting(order)).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.col("__offset") + F.coalesce(F.sum("__rows").over(before), F.lit(0))
+    return near.withColumn("__ahead", ahead).where(F.col("__ahead") < k).select(*columns, "__rows", "__ahead")
+
+
 def _positions(df: DataFrame, k: int, order: Order, by: Sequence[str], slices: int | None) -> DataFrame:
     """Distinct values of the order columns with fewer than ``k`` rows before them in the group.
 
-    Equal positions are counted before they are ordered, and ordered in slices first. What is
+    Equal positions are counted before they are ordered, groups in slices first. What is
     left of a group for the final ordering is at most ``slices * k`` positions.
     """
+    if not by:
+        return _ranged(df, k, order).select(*[c for c, _ in order])
     return _within(_sliced(df, k, order, by, slices), k, order, by).select(*by, *[c for c, _ in order])
 
 
-def top_n(df: DataFrame, n: int, order: Order, slices: int | None = None) -> DataFrame:
+def top_n(df: DataFrame, n: int, order: Order) -> DataFrame:
     """The first ``n`` rows in ``order``, whose last column should be an id.
 
-    The order columns alone are ranked in slices first and the rows fetched by the ``n``
-    positions left, in the same way for any ``n``, so that not every task hands on ``n`` whole rows.
+    The order columns alone are ranked, range by range, and the rows fetched by the positions taken, in the same way
+    for any ``n``. Of rows that share the last position taken (an id repeated) only as many stay as are missing.
     """
-    taken = _sliced(df, n, order, (), slices).select(*[c for c, _ in order]).orderBy(*sorting(order)).limit(n)
-    match = [F.col(f"d.{c}").eqNullSafe(F.col(f"t.{c}")) for c, _ in order]
-    rows = df.alias("d").join(taken.alias("t"), reduce(and_, match), "left_semi")
-    return rows.orderBy(*sorting(order)).limit(n)
+    columns = [c for c, _ in order]
+    taken = _ranged(df, n, order)
+    match = [F.col(f"d.{c}").eqNullSafe(F.col(f"t.{c}")) for c in columns]
+    rows = df.alias("d").join(taken.alias("t"), reduce(and_, match)).select("d.*", "t.__rows", "t.__ahead")
+    copy = F.row_number().over(Window.partitionBy(*columns).orderBy("__ahead"))
+    kept = rows.withColumn("__copy", copy).where(F.col("__ahead") + F.col("__copy") <= n)
+    return kept.drop("__rows", "__ahead", "__copy").orderBy(*sorting(order))
 
 
 def control_group(df: DataFrame, key: str, n: int, seed: int = 1, out: str = "temoin") -> DataFrame:
@@ -100,11 +125,9 @@ def wave(
 ) -> DataFrame:
     """One campaign wave: eligible rows, the first of them in order, and its control group."""
     eligible = quality.apply_steps(candidates, wave_steps())
-    total = contacts + controls
-    drawn = top_n(eligible, total, [*order, (key, "asc")])
-    # ``drawn`` has at most ``total`` rows and is one partition already
-    place = F.dense_rank().over(Window.orderBy(draw_key(F.col(key), seed), key))
-    return drawn.withColumn("temoin", place <= controls)
+    # written once, as the control group is drawn from it
+    drawn = stored(top_n(eligible, contacts + controls, [*order, (key, "asc")]), "drawn")
+    return control_group(drawn, key, controls, seed)
 
 
 def wave_steps() -> dict[str, Column]:

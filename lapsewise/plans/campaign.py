@@ -11,14 +11,17 @@ from lapsewise.functions.dates import campaign_name, check_day, day
 from lapsewise.functions.text import zero_fill
 from lapsewise.operators import joins
 from lapsewise.operators.lookups import add_dial_prefix, add_price
-from lapsewise.operators.selection import Order, draw_or_reuse, sorting
+from lapsewise.operators.quality import apply_steps, funnel
+from lapsewise.operators.selection import Order, draw_or_reuse, sorting, wave_steps
 from lapsewise.operators.snapshots import first_per_key
+from lapsewise.sources import manifest
+from lapsewise.sources.workspace import stored
 
 SCORE = "score_fragilite"
 
 
-def reachable(candidates: DataFrame, hierarchy: DataFrame, advisors: DataFrame, history: DataFrame) -> DataFrame:
-    """Candidates with advisor, contact mark, phone, dial prefix and age; no phone or minor, no row.
+def enriched(candidates: DataFrame, hierarchy: DataFrame, advisors: DataFrame, history: DataFrame) -> DataFrame:
+    """Candidates with advisor, contact mark, phone, dial prefix and age.
 
     ``score_fragilite`` is the candidates' own column or a placeholder.
     """
@@ -35,7 +38,7 @@ def reachable(candidates: DataFrame, hierarchy: DataFrame, advisors: DataFrame,
             "telephone": rules.phone(F.col("telmobile"), F.col("telfixe")),
             "agepersphysique": nan_to_null(F.col("agepersphysique")),
         }
-    ).where((F.col("telephone") != "") & (F.col("agepersphysique") >= fv.MIN_AGE))
+    )
     contacted = history.select(F.col("identifiantrce").cast("string").try_cast("bigint").alias("contacted"))
     df = joins.mark_text(df, "identifiantrce", contacted, "contacted", "Contact", "DONE", "-")
     df = add_dial_prefix(df, "codedepartement")
@@ -47,6 +50,16 @@ def reachable(candidates: DataFrame, hierarchy: DataFrame, advisors: DataFrame,
     )
 
 
+def reach_steps() -> dict[str, Column]:
+    """Whom a campaign can reach at all."""
+    return {"phone": F.col("telephone") != "", "adult": F.col("agepersphysique") >= fv.MIN_AGE}
+
+
+def campaign_steps() -> dict[str, Column]:
+    """All filter steps from the candidates to the draw, for :func:`quality.funnel`."""
+    return {**reach_steps(), **wave_steps()}
+
+
 def price_and_write(df: DataFrame, health_grid: DataFrame, funeral_grid: DataFrame, extraction: str, week: str) -> DataFrame:
     """Premiums, proposed prices, the two messages and the campaign name."""
     yearly = F.coalesce(nan_to_null(F.col("montantannuelttcvalestime")), F.lit(0.0))
@@ -89,9 +102,26 @@ def campaign(
 
     One row per insured person is kept, by ``order`` and contract, before the draw, so
     that the list is full; ``dedupe='after'`` drops repeats from the drawn list instead.
+    The enriched candidates are written once, and drawn from there.
     """
     check_day(extraction)
-    rows = reachable(candidates, hierarchy, advisors, history)
+    rows = stored(enriched(candidates, hierarchy, advisors, history), "candidates")
+    return work_list(rows, health_grid, funeral_grid, extraction, week, order, former, dedupe, **options)
+
+
+def work_list(
+    rows: DataFrame,
+    health_grid: DataFrame,
+    funeral_grid: DataFrame,
+    extraction: str,
+    week: str,
+    order: Order = ((SCORE, "desc"),),
+    former: DataFrame | None = None,
+    dedupe: str = "before",
+    **options,
+) -> DataFrame:
+    """:func:`campaign` from the enriched candidates."""
+    rows = apply_steps(rows, reach_steps())
     one_each = sorting([*order, ("identifiant", "asc")])
     if dedupe == "before" and former is None:
         rows = first_per_key(rows, ["identifiantrce"], [*_eligible_first(), *one_each])
@@ -102,6 +132,41 @@ def campaign(
     return priced.withColumnsRenamed({"nompersonne": "nom", "identifiant": "id_contrat"})
 
 
+def write_campaign(
+    candidates: DataFrame,
+    hierarchy: DataFrame,
+    advisors: DataFrame,
+    history: DataFrame,
+    health_grid: DataFrame,
+    funeral_grid: DataFrame,
+    extraction: str,
+    week: str,
+    root: str,
+    order: Order = ((SCORE, "desc"),),
+    dedupe: str = "before",
+    **options,
+) -> dict:
+    """Write all outputs of a wave below ``root``; gives the manifest that names them.
+
+    Outputs: ``work`` and ``funnel`` as parquet, ``contact``, ``control`` and ``app`` as CSV. The candidates are enriched and
+    written once; the funnel and the draw read what was written, and the lists are cut from the stored work
+    list. All outputs are committed under the extraction date together (:mod:`manifest`). Where that date has
+    a list already, its contracts and control flags are taken again instead of a new draw.
+    """
+    check_day(extraction)
+    spark = candidates.sparkSession
+    former = manifest.read_output(spark, root, extraction, "work")
+    rows = stored(enriched(candidates, hierarchy, advisors, history), "candidates")
+    run = manifest.Run(spark, root, extraction)
+    work = work_list(rows, health_grid, funeral_grid, extraction, week, order, former, dedupe, **options)
+    work = run.frame(work, "work")
+    run.csv(contact_list(work, control=False), "contact")
+    run.csv(contact_list(work, control=True), "control")
+    run.csv(app_export(work), "app")
+    run.frame(funnel(rows, campaign_steps(), start="candidates", ids="identifiantrce"), "funnel")
+    return run.commit()
+
+
 def _eligible_first() -> list[Column]:
     """Of a person's contracts those a wave may draw come first, so that one of them is kept."""
     target = F.col("proposition").isin(*fv.TARGET_PROPOSALS) & (F.col("Presence_CC") == "O")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lapsewise.functions.dates import check_day
 from lapsewise.operators import scoring
+from lapsewise.operators.snapshots import union_all
 from lapsewise.plans import campaign, churn, portfolio
 from lapsewise.queries.base import derived, plain, query
 from lapsewise.queries.drawing import TARGETS_SQL
@@ -17,7 +18,7 @@ from lapsewise.queries.stand_ins import (
     ADVISORS, CANDIDATES, FIRST, FLAGS, FUNERAL_GRID, HEALTH_GRID, HIERARCHY, LAST, LISTS, MONTHLY_SQL, advisors,
     candidates, flagged, funeral_grid, health_grid, hierarchy, lists, wide_exit_sql, wide_stock_sql,
 )
-from lapsewise.sources import files, sinks, workspace
+from lapsewise.sources import files, manifest, sinks, workspace
 
 PARTITION = "199909"
 # contract lines as the portfolio's five tables
@@ -119,19 +120,25 @@ def churn_report_files(spark, sf_dir):
 EXTRACTION, WEEK, CONTACTS, CONTROLS = "19990930", "7", 200, 40
 
 
-def _campaign(spark, sf_dir, **options):
+def _campaign_inputs(spark, sf_dir):
+    """Candidates, hierarchy, advisors, contact history and both price grids."""
     people = candidates(spark, sf_dir).withColumn("score_fragilite", F.col("score_model"))
-    recent = files.recent_contacts(lists(spark, sf_dir), check_day(EXTRACTION), months=2)
-    return campaign.campaign(
+    recent = files.recent_contacts(lists(spark, sf_dir), check_day(EXTRACTION))
+    return (
         people, hierarchy(spark, sf_dir), advisors(spark, sf_dir).drop("nation"), recent, health_grid(spark, sf_dir),
-        funeral_grid(spark, sf_dir), EXTRACTION, WEEK, contacts=CONTACTS, controls=CONTROLS, **options,
+        funeral_grid(spark, sf_dir),
     )
 
 
+def _campaign(spark, sf_dir, **options):
+    inputs = _campaign_inputs(spark, sf_dir)
+    return campaign.campaign(*inputs, EXTRACTION, WEEK, contacts=CONTACTS, controls=CONTROLS, **options)
+
+
 CAMPAIGN_SQL = f"""candidates as ({plain(CANDIDATES)}), advisors as ({plain(ADVISORS)}), levels as ({plain(HIERARCHY)}),
 lists as ({plain(LISTS)}), health as ({plain(HEALTH_GRID)}), funeral as ({plain(FUNERAL_GRID)}),
 recent as (select distinct cast(NOGPA as bigint) as id from lists
-           where month_end between last_day(date '1999-09-30' - interval 1 month) and date '1999-09-30'),
+           where month_end between last_day(date '1999-09-30' - interval 8 month) and date '1999-09-30'),
 dial as (select * from (values {PREFIX_SQL}) t(number, prefix)),
 rows as (
   select c.*, case when identifiantintermediaire in (select Id_Intermediaire from levels where niveau_ptf = 5)
@@ -175,7 +182,7 @@ def campaign_list(spark, sf_dir):
 @query(f"""with {CAMPAIGN_SQL}
 select lpad(identifiantrce, 8, '0') as NOGPA, score_fragilite as note_fragilite, temoin from work""")
 def contact_list(spark, sf_dir):
-    work = _campaign(spark, sf_dir)
+    work = workspace.stored(_campaign(spark, sf_dir), "work")
     lists_of = [campaign.contact_list(work, c).withColumn("temoin", F.lit(c)) for c in (False, True)]
     return lists_of[0].unionByName(lists_of[1])
 
@@ -197,6 +204,62 @@ def app_export(spark, sf_dir):
     return campaign.app_export(_campaign(spark, sf_dir))
 
 
+def _read(spark, root, name):
+    return manifest.read_output(spark, root, EXTRACTION, name)
+
+
+@query(f"""with {CAMPAIGN_SQL}, keyed as (select *, lpad(identifiantrce, 8, '0') as person from work)
+select 'work' as output, person, identifiant as contract, score_fragilite as score from keyed
+union all select case when temoin then 'control' else 'contact' end, person, null, score_fragilite from keyed
+union all select 'app', person, identifiant, null from keyed where not temoin""")
+def campaign_files(spark, sf_dir):
+    root = workspace.new_path(spark, "campaign")
+    campaign.write_campaign(*_campaign_inputs(spark, sf_dir), EXTRACTION, WEEK, root, contacts=CONTACTS, controls=CONTROLS)
+    columns = {
+        "work": ("identifiantrce", "id_contrat", "score_fragilite"), "contact": ("NOGPA", None, "note_fragilite"),
+        "control": ("NOGPA", None, "note_fragilite"), "app": ("identifiantrce", "id_contrat", None),
+    }
+    parts = [
+        _read(spark, root, name).select(
+            F.lit(name).alias("output"), F.col(person).alias("person"),
+            (F.col(contract) if contract else F.lit(None).cast("string")).alias("contract"),
+            (F.col(score) if score else F.lit(None).cast("double")).alias("score"),
+        )
+        for name, (person, contract, score) in columns.items()
+    ]
+    return union_all(spark, parts, parts[0].schema)
+
+
+@query(f"""with {CAMPAIGN_SQL} select identifiant as id_contrat, temoin from work""")
+def campaign_rerun_files(spark, sf_dir):
+    """The second run finds the list of its date, though all its people are in the contact history by then."""
+    root = workspace.new_path(spark, "campaign")
+    people, levels, named, recent, *grids = _campaign_inputs(spark, sf_dir)
+    first = campaign.write_campaign(people, levels, named, recent, *grids, EXTRACTION, WEEK, root, contacts=CONTACTS, controls=CONTROLS)
+    told = _read(spark, root, "work").select("identifiantrce", F.lit(7).alias("note_fragilite"))
+    again = campaign.write_campaign(people, levels, named, recent.unionByName(told), *grids, EXTRACTION, WEEK, root, contacts=1, controls=1)
+    assert first["run"] != again["run"]
+    return _read(spark, root, "work").select("id_contrat", "temoin")
+
+
+FUNNEL = (
+    ("candidates", "true"), ("phone", "telephone <> ''"), ("adult", "agepersphysique >= 18"), ("not contacted", "Contact = '-'"),
+    ("advisor present", "Presence_CC = 'O'"), ("target proposal", f"proposition in {TARGETS_SQL}"), ("age limit", "age_assure <= 80"),
+)
+FUNNEL_SQL = " union all ".join(
+    f"select {i} as step_no, '{name}' as step, count(*) as rows, count(distinct identifiantrce) as ids from rows where "
+    + " and ".join(condition for _, condition in FUNNEL[: i + 1])
+    for i, (name, _) in enumerate(FUNNEL)
+)
+
+
+@query(f"with {CAMPAIGN_SQL} {FUNNEL_SQL}")
+def campaign_funnel(spark, sf_dir):
+    root = workspace.new_path(spark, "campaign")
+    campaign.write_campaign(*_campaign_inputs(spark, sf_dir), EXTRACTION, WEEK, root, contacts=CONTACTS, controls=CONTROLS)
+    return _read(spark, root, "funnel")
+
+
 LOG_SQL = " cross join ".join(
     f"(select {', '.join(f'{m} as {p}_{m}' for m in ('mse', 'rmse', 'r2', 'mae', 'explained_variance'))} from "
     f"({METRICS_SQL % ('l_returnflag, ', 'partition by l_returnflag', 'group by l_returnflag')}) where l_returnflag = '{f}')"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lapsewise import fixed_values as fv
 from lapsewise.plans import campaign
+from lapsewise.sources import manifest
 
 CANDIDATE = (
     "identifiant string, identifiantrce string, identifiantintermediaire string, intmail string, telmobile double, "
@@ -91,3 +92,58 @@ def test_repeats_may_be_dropped_after_the_draw(inputs):
 def test_bad_dates_are_refused(inputs):
     with pytest.raises(ValueError):
         campaign.campaign(**{**inputs, "extraction": "202112"})
+
+
+def committed(spark, root, date="20211231"):
+    names = ("work", "contact", "control", "app", "funnel")
+    frames = {n: manifest.read_output(spark, root, date, n) for n in names}
+    return {n: None if f is None else sorted(map(str, f.collect())) for n, f in frames.items()}
+
+
+def test_outputs_are_written_and_found(spark, inputs, tmp_path):
+    root = str(tmp_path)
+    found = campaign.write_campaign(**inputs, root=root, contacts=10, controls=1)
+    assert manifest.lookup(spark, root, "20211231") == found and manifest.lookup(spark, root, "20220131") is None
+    work = {r.id_contrat: r for r in manifest.read_output(spark, root, "20211231", "work").collect()}
+    assert set(work) == {"kept", "better", "pair_good"}
+    lists = [manifest.read_output(spark, root, "20211231", n).collect() for n in ("contact", "control", "app")]
+    assert [len(x) for x in lists] == [2, 1, 2]
+    assert {r.NOGPA for r in lists[0]} | {r.NOGPA for r in lists[1]} == {r.identifiantrce for r in work.values()}
+    steps = [(r.step, r.rows, r.ids) for r in manifest.read_output(spark, root, "20211231", "funnel").orderBy("step_no").collect()]
+    assert steps == [
+        ("candidates", 12, 10), ("phone", 11, 9), ("adult", 9, 7), ("not contacted", 8, 6), ("advisor present", 7, 5),
+        ("target proposal", 5, 4), ("age limit", 4, 3),
+    ]
+
+
+def test_second_run_takes_the_stored_list(spark, inputs, tmp_path):
+    root = str(tmp_path)
+    campaign.write_campaign(**inputs, root=root, contacts=10, controls=1)
+    first = committed(spark, root)
+    told = inputs["history"].unionByName(manifest.read_output(spark, root, "20211231", "work").select("identifiantrce", F.lit(7).alias("note_fragilite")))
+    campaign.write_campaign(**{**inputs, "history": told}, root=root, contacts=1, controls=0)
+    again = committed(spark, root)
+    assert all(again[n] == first[n] for n in ("contact", "control", "app"))
+    campaign.write_campaign(**{**inputs, "extraction": "20220131"}, root=root, contacts=1, controls=1)
+    assert len(committed(spark, root, "20220131")["work"]) == 2 and committed(spark, root) == again
+
+
+def test_a_run_that_stops_between_two_outputs_leaves_the_former_ones(spark, inputs, tmp_path, monkeypatch):
+    root, write = str(tmp_path), manifest.Run.csv
+
+    def stops(self, df, name):
+        if name == "control":
+            raise RuntimeError("driver lost")
+        write(self, df, name)
+
+    monkeypatch.setattr(manifest.Run, "csv", stops)
+    with pytest.raises(RuntimeError):
+        campaign.write_campaign(**inputs, root=root, contacts=10, controls=1)
+    assert set(committed(spark, root).values()) == {None} and manifest.lookup(spark, root, "20211231") is None
+    monkeypatch.setattr(manifest.Run, "csv", write)
+    campaign.write_campaign(**inputs, root=root, contacts=10, controls=1)
+    before = committed(spark, root)
+    monkeypatch.setattr(manifest.Run, "csv", stops)
+    with pytest.raises(RuntimeError):
+        campaign.write_campaign(**inputs, root=root, contacts=10, controls=1)
+    assert committed(spark, root) == before

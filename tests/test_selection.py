@@ -22,9 +22,7 @@ def test_top_n_takes_the_first_rows(scores, n):
     rows, df = scores
     expected = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))[:n]
     order = [("score", "desc"), ("id", "asc")]
-    for slices in (8, None):
-        got = [tuple(r) for r in selection.top_n(df, n, order, slices=slices).collect()]
-        assert got == expected
+    assert [tuple(r) for r in selection.top_n(df, n, order).collect()] == expected
 
 
 def test_top_n_has_one_plan_for_any_size(scores):
@@ -36,6 +34,29 @@ def test_top_n_has_one_plan_for_any_size(scores):
     assert all(s == shapes[0] for s in shapes)
 
 
+@pytest.mark.parametrize("partitions", [8, 64])
+def test_no_task_merges_a_large_draw(spark, partitions):
+    former = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(300_000).selectExpr("id", "id * 7919 % 300007 as score")
+        order = [("score", "desc"), ("id", "asc")]
+        ranged = selection._ranged(df, 100_000, order)
+        assert ranged.count() == 100_000
+        drawn = selection.top_n(df, 100_000, order)
+        expected = sorted(((i * 7919 % 300007, i) for i in range(300_000)), reverse=True)[:100_000]
+        assert {r.id for r in drawn.collect()} == {i for _, i in expected}
+        # what meets in one task is a range of the positions, or one row for each range
+        written = ranged._jdf.queryExecution().sparkPlan().toString()
+        assert "TakeOrderedAndProject" not in written
+        sizes = df.repartitionByRange(F.desc("score"), "id").groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) == partitions and max(r["count"] for r in sizes) < 3 * 300_000 / partitions
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", former)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_top_n_with_repeated_rows_is_exact(spark):
     df = spark.createDataFrame([("a", 1)] * 30 + [("b", 2)] * 5, "id string, score int")
     assert selection.top_n(df, 12, [("score", "desc"), ("id", "asc")]).count() == 12
@@ -100,6 +121,14 @@ def test_funnel_counts_every_step(candidates):
     assert [r.step for r in table] == ["start", *steps]
 
 
+def test_funnel_counts_distinct_ids_of_every_step(spark, rows_of):
+    rows = [("a", 1, 1), ("a", 1, 0), ("b", 0, 1), ("b", 1, 0), ("c", None, 1), (None, 1, 1), ("d", 1, 1)]
+    df = spark.createDataFrame(rows, "id string, x int, y int")
+    steps = {"x": F.col("x") == 1, "y": F.col("y") == 1}
+    assert rows_of(quality.funnel(df, steps, ids="id")) == [(0, "start", 7, 4), (1, "x", 5, 3), (2, "y", 3, 2)]
+    assert rows_of(quality.funnel(df.limit(0), steps, ids="id")) == [(0, "start", 0, 0), (1, "x", 0, 0), (2, "y", 0, 0)]
+
+
 def test_anniversary_months_stay_between_1_and_12(spark):
     months = spark.range(1, 13).select("id", selection.anniversary_month(F.col("id")).alias("m")).collect()
     assert [r.m for r in months] == [6, 7, 8, 9, 10, 11, 12, 1, 2, 3, 4, 5]

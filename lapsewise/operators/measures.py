@@ -12,12 +12,15 @@ patterns are counted before any month is spelled out.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lapsewise.functions.dates import month_key, month_key_of_number, month_number_of
 from lapsewise.operators.columns import DEFAULT, Names
-from lapsewise.operators.spans import drop_empty, merge_ends, within_months
+from lapsewise.operators.spans import active_between, drop_empty, merge_ends, within_months
+from lapsewise.sources.workspace import stored
 
 CLIENTS = "nbCli"
 CONTRACTS = "nbCtr"
@@ -96,6 +99,12 @@ def terminations(
     return per_id.groupBy(*by).agg(*_expressions(*counts)).orderBy(*by)
 
 
+def narrow_spans(df: DataFrame, first: str, last: str, flags: Sequence[str], names: Names = DEFAULT) -> DataFrame:
+    """The rows and columns that all counts between two months need."""
+    spans = drop_empty(active_between(df, first, last, names), names)
+    return spans.select(*dict.fromkeys([names.contract, names.client, names.start, names.end, names.network, *flags]))
+
+
 def _bits(word: int) -> str:
     """Active months of a span within one word, as bits."""
     low = f"greatest(lo, {word * WORD}) - {word * WORD}"
@@ -143,44 +152,68 @@ def stock_of_spans(
     return totals.select(month, *[c for c in totals.columns if c != "at"]).orderBy("month", *by)
 
 
-def exits_of_spans(
+PERIODS = ("month", "year")
+
+
+def _period(period: str, day: Column) -> Column:
+    return month_key(day) if period == "month" else F.year(day).cast("string")
+
+
+def exits_by_period(
     df: DataFrame,
     first: str,
     last: str,
-    period: str = "month",
+    periods: Sequence[str] = PERIODS,
     flags: Sequence[str] | None = None,
     names: Names = DEFAULT,
 ) -> DataFrame:
-    """Distinct clients and contracts leaving per period; only periods with an exit appear.
+    """Distinct clients and contracts leaving per ``period``: months (yyyyMM) and years (yyyy) in one pass.
 
     A version is active in the exit period of its contract just when its own end lies
     in that period. So only versions ending by the last period are looked at, each
-    counts in one period at most, and no month is spelled out.
+    counts once in a month and once in a year at most, and no month is spelled out.
     """
     marks, by = _marks(flags), [names.network] if flags else []
-    key = month_key if period == "month" else (lambda c: F.year(c).cast("string"))
+    until = {"month": last, "year": last[:4]}
     spans = drop_empty(within_months(df, first, last, names), names)
     keep_marked = _expressions(*[f"max({m}) as {m}" for m in marks])
+    end = F.col(names.end)
+    ends_by = [_period(p, end) <= F.lit(until[p]) for p in periods]
     leaving = (
         spans.select(
-            *by, names.contract, names.client, names.end, key(F.col(names.end)).alias("__own"),
+            *by, names.contract, names.client, names.end, end.alias("__own"),
             *_expressions(*[f"if({c}, 1, 0) as {m}" for m, c in marks.items()]),
         )
-        .where(F.col("__own") <= F.lit(last if period == "month" else last[:4]))
+        .where(reduce(or_, ends_by))
         .groupBy(*by, names.contract, names.client, names.end, "__own")
         .agg(*keep_marked)
     )
-    versions = spans.select(names.contract, names.end)
-    leavers = merge_ends(leaving, names, versions).where(F.col("__own") == key(F.col(names.end)))
-    by = [period, *by]
+    leavers = merge_ends(leaving, names, spans.select(names.contract, names.end))
+    own = F.col("__own")
+    left = [
+        F.when((_period(p, own) == _period(p, end)) & (_period(p, own) <= F.lit(until[p])), _period(p, own)) for p in periods
+    ]
+    keys = ["period", *by]
     per_id = (
-        leavers.withColumnRenamed("__own", period)
-        .selectExpr(*by, *marks, _ids(names))
-        .groupBy(*by, "kind", "id")
+        leavers.withColumn("period", F.explode(F.array_compact(F.array(*left))))
+        .selectExpr(*keys, *marks, _ids(names))
+        .groupBy(*keys, "kind", "id")
         .agg(*keep_marked)
     )
     counts = [f"{_count(kind, m)} as `{out}`" for (m, kind), out in _measures(flags).items()]
-    return per_id.groupBy(*by).agg(*_expressions(*counts))
+    return per_id.groupBy(*keys).agg(*_expressions(*counts))
+
+
+def exits_of_spans(
+    df: DataFrame,
+    first: str,
+    last: str,
+    period: str = "month",
+    flags: Sequence[str] | None = None,
+    names: Names = DEFAULT,
+) -> DataFrame:
+    """Distinct clients and contracts leaving per period; only periods with an exit appear."""
+    return exits_by_period(df, first, last, (period,), flags, names).withColumnRenamed("period", period)
 
 
 def terminations_of_spans(
@@ -191,14 +224,24 @@ def terminations_of_spans(
     flags: Sequence[str] | None = None,
     names: Names = DEFAULT,
     stock: DataFrame | None = None,
+    exits: DataFrame | None = None,
+    store: bool = True,
 ) -> DataFrame:
     """:func:`terminations` between two months, straight from the spans.
 
-    ``stock`` is the stock of the same spans, if at hand; it tells which flags have rows.
+    ``stock`` is the stock of the same spans, if at hand; it tells which flags have rows. So are ``exits`` their
+    :func:`exits_by_period`. Without both the spans are read three times, so ``store`` writes their narrow columns
+    once instead of running what is behind them again.
     """
     by = [period, names.network] if flags else [period]
     measures = _measures(flags).values()
-    exits = exits_of_spans(df, first, last, period, flags, names)
+    if store and (stock is None or exits is None):
+        df = stored(narrow_spans(df, first, last, flags or (), names), "spans")
+    if exits is None:
+        exits = exits_of_spans(df, first, last, period, flags, names)
+    else:
+        size = 6 if period == "month" else 4
+        exits = exits.where(F.length("period") == size).withColumnRenamed("period", period)
     present = stock_of_spans(df, first, last, flags, names) if stock is None else stock
     if period == "year":
         present = (

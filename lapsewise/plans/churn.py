@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lapsewise import fixed_values as fv
 from lapsewise.functions.amounts import ratio
 from lapsewise.functions.dates import check_month
-from lapsewise.operators.columns import DEFAULT, Names
-from lapsewise.operators.measures import exits_of_spans, stock_of_spans, terminations_of_spans
+from lapsewise.functions.rules import add_health_scopes
+from lapsewise.operators.columns import DEFAULT, HEALTH, Names
+from lapsewise.operators.measures import exits_by_period, exits_of_spans, narrow_spans, stock_of_spans, terminations_of_spans
 from lapsewise.operators.quality import require_rows
 from lapsewise.operators.reshape import with_name_parts
-from lapsewise.operators.spans import active_between, drop_empty
+from lapsewise.plans.portfolio import load_portfolio
+from lapsewise.sources import manifest
 from lapsewise.sources.sinks import write_reports
 from lapsewise.sources.workspace import stored
 
@@ -24,8 +27,7 @@ def _spans(
 ) -> DataFrame:
     """The columns and rows all counts need, written to the shared folder if ``store``."""
     check_month(first), check_month(last)
-    spans = drop_empty(active_between(portfolio, first, last, names), names)
-    spans = spans.select(names.contract, names.client, names.start, names.end, names.network, *flags)
+    spans = narrow_spans(portfolio, first, last, flags, names)
     return stored(spans, "spans") if store else spans
 
 
@@ -34,17 +36,20 @@ def churn_report(
 ) -> dict[str, DataFrame]:
     """The three reports by network and flag, from a portfolio with flags.
 
-    The spans are read several times, so ``store`` writes them once instead of running
+    The spans are read three times, so ``store`` writes them once instead of running
     the joins behind the portfolio again for every count.
     """
     return _reports(_spans(portfolio, first, last, flags, names, store), first, last, flags, names)
 
 
 def _reports(spans: DataFrame, first: str, last: str, flags: Sequence[str], names: Names) -> dict[str, DataFrame]:
-    stock = stock_of_spans(spans, first, last, flags, names)
+    """The reports from stock and exits, which are a few rows each: counted once and written."""
+    stock = stored(stock_of_spans(spans, first, last, flags, names), "stock")
+    exits = stored(exits_by_period(spans, first, last, flags=flags, names=names), "exits")
     by_year, by_month = (
-        terminations_of_spans(spans, first, last, period, flags, names, stock=stock) for period in ("year", "month")
+        terminations_of_spans(spans, first, last, period, flags, names, stock=stock, exits=exits) for period in ("year", "month")
     )
+    stock = stock.orderBy("month", names.network)
     return {STOCK: stock, BY_YEAR: by_year, BY_MONTH: by_month}
 
 
@@ -94,3 +99,56 @@ def churn_measures(
     return with_name_parts(long.where(F.col("stock").isNotNull())).withColumn(
         "rate", ratio(F.col("terminated"), F.col("stock"))
     )
+
+
+def write_measures(
+    portfolio: DataFrame,
+    first: str,
+    last: str,
+    flags: Sequence[str],
+    root: str,
+    names: Names = DEFAULT,
+    store: bool = True,
+) -> dict:
+    """Store the long measures under their last month, with a one-row index of both ends; gives the manifest.
+
+    KPIs of a month read what is stored: a few rows for each month, network and measure instead of the spans.
+    """
+    spark = portfolio.sparkSession
+    run = manifest.Run(spark, root, last)
+    measures = run.frame(churn_measures(portfolio, first, last, flags, names, store), "measures")
+    run.frame(measures.agg(F.min("month").alias("first"), F.max("month").alias("last")), "index")
+    return run.commit()
+
+
+def read_measures(spark: SparkSession, root: str, last: str) -> tuple[DataFrame, str | None]:
+    """The stored measures and the last month in them; an error where there are none."""
+    measures, index = (manifest.read_output(spark, root, last, name) for name in ("measures", "index"))
+    if measures is None:
+        raise ValueError(f"no measures stored for {last}")
+    return measures, index.first()["last"]
+
+
+def report_from_snapshots(
+    tables: Mapping[str, DataFrame],
+    partition: str,
+    first: str,
+    last: str,
+    path: str,
+    root: str | None = None,
+    flags: Sequence[str] = fv.SCOPES,
+    **options,
+) -> dict[str, DataFrame]:
+    """From the snapshot tables to the written churn report: load, scopes, reports, and with ``root`` the measures.
+
+    ``tables`` has the five frames of :func:`portfolio.load_portfolio` under the names of its parameters. The portfolio
+    is narrowed to its spans and written once; reports and measures are counted from there.
+    """
+    loaded = add_health_scopes(load_portfolio(**tables, partition=partition, **options))
+    spans = _spans(loaded, first, last, flags, HEALTH, store=True)
+    require_rows(spans)
+    reports = _reports(spans, first, last, flags, HEALTH)
+    write_reports(reports, path)
+    if root is not None:
+        write_measures(spans, first, last, flags, root, HEALTH, store=False)
+    return reports

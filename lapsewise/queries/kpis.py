@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from lapsewise import fixed_values as fv
 from lapsewise.operators import kpis, reshape
 from lapsewise.operators.measures import stock_of_spans, terminations_of_spans
-from lapsewise.plans.churn import churn_measures
+from lapsewise.plans.churn import read_measures, write_measures
 from lapsewise.queries.base import query
 from lapsewise.queries.portfolio import STOCK_SQL
 from lapsewise.queries.stand_ins import FIRST, FLAGS, LAST, MEASURES_SQL, flagged
+from lapsewise.sources import workspace
 
 YEARS = ("1997", "1998", "1999")
 MONTHS_OF_YEAR = ", ".join(
@@ -19,7 +20,12 @@ MONTHS_OF_YEAR = ", ".join(
 
 
 def _measures(spark, sf_dir):
-    return churn_measures(flagged(spark, sf_dir), FIRST, LAST, FLAGS)
+    """Measures as stored: the KPIs read these few rows only."""
+    root = workspace.new_path(spark, "measures")
+    write_measures(flagged(spark, sf_dir), FIRST, LAST, FLAGS, root)
+    measures, last = read_measures(spark, root, LAST)
+    assert last == LAST
+    return measures
 
 
 def _rounded(df, *columns):
@@ -49,13 +55,6 @@ def measures_round_trip(spark, sf_dir):
     return reshape.to_wide(reshape.to_long(wide), ["month", "network"], names)
 
 
-@query(f"""with {MEASURES_SQL},
-t as (select network, product, kind, year, cast(substr(month, 5, 2) as int) as month_no, stock from measures)
-select network, product, kind, year, {MONTHS_OF_YEAR % (('stock',) * 12)} from t group by network, product, kind, year""")
-def pivot_stock_month(spark, sf_dir):
-    return kpis.months_table(_measures(spark, sf_dir), "stock")
-
-
 @query(f"""with {MEASURES_SQL}
 select month, network, name, kind, product, stock, terminated, round(rate, 6) as rate from measures""")
 def churn_rate_monthly(spark, sf_dir):
@@ -151,13 +150,6 @@ def pivot_rate_month(spark, sf_dir):
     return kpis.months_table(_rounded(_measures(spark, sf_dir), "rate"), "rate")
 
 
-@query(f"""with {MEASURES_SQL},
-t as (select network, product, kind, year, cast(substr(month, 5, 2) as int) as month_no, stock from measures)
-select network, product, kind, year, {MONTHS_OF_YEAR % (('stock',) * 12)} from t group by network, product, kind, year""")
-def pivot_stock_month(spark, sf_dir):
-    return kpis.months_table(_measures(spark, sf_dir), "stock")
-
-
 @query(f"""with {MEASURES_SQL}
 select month, network, name, kind, product, year, stock, terminated, round(rate, 6) as rate
 from measures where year in ('1998', '1999')""")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lapsewise import fixed_values as fv
 from lapsewise.functions.amounts import percent, ratio
@@ -131,10 +131,8 @@ def terminations_table(df: DataFrame, keys: Sequence[str] = ("network", "product
     ]
     january = F.max(F.when(number == "01", F.col("stock"))).alias("__stock")
     table = df.groupBy(*keys, "year").agg(*months, january)
-    # a row for each year of a product; the frame is read once
-    oldest = F.min("year").over(Window.partitionBy(F.lit(0)))
     return (
-        table.withColumn("__oldest", oldest)
+        table.withColumn("__oldest", df.agg(F.min("year")).scalar())
         .where(F.col("year") > F.col("__oldest"))
         .withColumn("label", stock_label(F.col("year"), F.col("__stock")))
         .drop("__stock", "__oldest")

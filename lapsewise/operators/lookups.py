@@ -9,9 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lapsewise import fixed_values as fv
 from lapsewise.functions import rules
-
-
-MAX_AGE = 150
+from lapsewise.functions.amounts import nan_to_null
 
 
 def literal_table(spark: SparkSession, columns: Mapping[str, list]) -> DataFrame:
@@ -76,21 +74,23 @@ def add_price(
 ) -> DataFrame:
     """Formula and price from a grid ``([department,] age_min, age_max, formula, price)``.
 
-    The age bands of the grid are spelled out year by year, which turns the range into
-    an equality: no row is compared with bands of other ages. Ages run from 0 to ``MAX_AGE``:
-    a band that is open at an end (NULL) goes that far, and what lies beyond is cut. A
-    fractional age counts as the years completed.
+    The bands of a department are one sorted array, joined by the department alone, in which every row looks up its
+    own: no range join, and no age beyond which bands end. A band may be open at either end (NULL). A
+    fractional age counts as the years completed; bands that overlap multiply rows.
     """
-    low = F.greatest(F.coalesce("age_min", F.lit(0)), F.lit(0)).cast("int")
-    high = F.least(F.coalesce("age_max", F.lit(MAX_AGE)), F.lit(MAX_AGE)).cast("int")
-    keys = {"__age": F.explode(F.when(low <= high, F.sequence(low, high)))}
-    by_age = grid.select(
-        *([F.col("department").alias("__department")] if department else []),
-        F.col("formula").alias(formula_out),
-        F.col("price").alias(price_out),
-        keys["__age"].alias("__age"),
+    open_ = float("inf")
+    band = F.struct(
+        F.coalesce(F.col("age_min").cast("double"), F.lit(-open_)).alias("low"),
+        F.coalesce(F.col("age_max").cast("double"), F.lit(open_)).alias("high"),
+        "formula", "price",
     )
-    match = F.floor(F.col(age)) == F.col("__age")
+    bands = F.sort_array(F.collect_list(band)).alias("__bands")
     if department:
-        match = match & (F.col(department) == F.col("__department"))
-    return df.join(by_age, match, "left").drop("__age", "__department")
+        by = grid.groupBy(F.col("department").alias("__department")).agg(bands)
+        joined = df.join(by, F.col(department) == F.col("__department"), "left").drop("__department")
+    else:
+        joined = df.withColumn("__bands", grid.agg(bands).scalar())
+    years = F.floor(nan_to_null(F.col(age).cast("double")))
+    found = F.filter("__bands", lambda b: (b["low"] <= years) & (years <= b["high"]))
+    spelled = joined.select(*[F.col(f"`{c}`") for c in df.columns], F.explode_outer(found).alias("__band"))
+    return spelled.withColumns({formula_out: F.col("__band.formula"), price_out: F.col("__band.price")}).drop("__band")

@@ -53,6 +53,20 @@ def tariff_open_bands(spark, sf_dir):
     return lookups.add_price(table(spark, sf_dir, "part").select("p_partkey", age), grid, "age")
 
 
+@query("""with grid(department, low, high, formula, price) as (values
+  (0, null, 17, 'A', 1.0::double), (0, 18, 60, 'B', 2.0), (0, 61, null, 'C', 3.0), (1, 100, 220, 'D', 4.0), (1, 200, null, 'E', 5.0))
+select p_partkey, age, dep, formula, price from (select p_partkey, p_size * 6 - 20 as age, cast(p_partkey % 3 as integer) as dep from part)
+left join grid on dep = department and age >= coalesce(low, -1000) and age <= coalesce(high, 1000)""")
+def tariff_any_age(spark, sf_dir):
+    """Ages below 0 and far beyond a life: open bands have no end; two bands overlap."""
+    bands = [(0, None, 17, "A", 1.0), (0, 18, 60, "B", 2.0), (0, 61, None, "C", 3.0), (1, 100, 220, "D", 4.0), (1, 200, None, "E", 5.0)]
+    grid = spark.createDataFrame(bands, "department int, age_min int, age_max int, formula string, price double")
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey", (F.col("p_size") * 6 - 20).alias("age"), (F.col("p_partkey") % 3).cast("int").alias("dep")
+    )
+    return lookups.add_price(parts, grid, "age", "dep")
+
+
 @query("""with d as (select o_orderkey, strftime(last_day(o_orderdate) + interval 30 year, '%Y%m%d') as ref,
   last_day(o_orderdate) + interval 30 year as day from orders)
 select o_orderkey, ref as date_ref, case when month(day) % 3 = 0 and day = last_day(day)

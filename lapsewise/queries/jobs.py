@@ -6,16 +6,17 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from lapsewise import fixed_values as fv
 from lapsewise.functions.dates import check_day
 from lapsewise.operators import scoring
 from lapsewise.operators.snapshots import union_all
-from lapsewise.plans import campaign, churn, portfolio
-from lapsewise.queries.base import derived, plain, query
+from lapsewise.plans import campaign, churn, contacts, portfolio
+from lapsewise.queries.base import derived, plain, query, table
 from lapsewise.queries.drawing import TARGETS_SQL
 from lapsewise.queries.joining import PREFIX_SQL
 from lapsewise.queries.rule_sets import METRICS_SQL, finding_sql, offer_sql, predictions, rounded_metrics
 from lapsewise.queries.stand_ins import (
-    ADVISORS, CANDIDATES, FIRST, FLAGS, FUNERAL_GRID, HEALTH_GRID, HIERARCHY, LAST, LISTS, MONTHLY_SQL, advisors,
+    ADVISORS, CANDIDATES, EXPANDED_SQL, FIRST, FLAGS, FUNERAL_GRID, HEALTH_GRID, HIERARCHY, LAST, LISTS, MONTHLY_SQL, advisors,
     candidates, flagged, funeral_grid, health_grid, hierarchy, lists, wide_exit_sql, wide_stock_sql,
 )
 from lapsewise.sources import files, manifest, sinks, workspace
@@ -60,7 +61,7 @@ from {lineitem} join {part} on l_partkey = p_partkey
 COLLECTOR_COLUMNS = ("cdcompagnie", "cdappli", "cdproduit", "nucontra", "cdciegen")
 
 
-@query(f"""with base as ({plain(BASE)}), validity as ({plain(VALIDITY)}), reference as ({plain(REFERENCE)}),
+PORTFOLIO_SQL = f"""base as ({plain(BASE)}), validity as ({plain(VALIDITY)}), reference as ({plain(REFERENCE)}),
 collector as ({plain(COLLECTOR)}), products as ({plain(COLLECTOR_PRODUCTS)}),
 ctr as (
   select *, case when societedugroupe in ('07', '59', '01', '81', '76', '57') then lpad(identifiant, 11, '0') else identifiant end
@@ -73,7 +74,8 @@ dated as (
 latest as (select * from collector qualify cdlotimport = max(cdlotimport) over (partition by nucontra)),
 cv as (
   select distinct l.nucontra, l.cdciegen, l.cdcompagnie, l.cdappli, l.cdproduit, p.lbproduit, p.lbcommercial
-  from latest l join products p using (cdcompagnie, cdappli, cdproduit) where cdcollindiv = 'I')
+  from latest l join products p using (cdcompagnie, cdappli, cdproduit) where cdcollindiv = 'I'),
+portfolio as (
 select polcodc, uidpersgen, famille_cible, identifiant, date_effet, periodevaliditectrenddate as date_resil, societedugroupe,
        systemeorigine, strftime(date_effet, '%Y%m') as mois_entree, strftime(periodevaliditectrenddate, '%Y%m') as mois_sortie,
        cast(year(periodevaliditectrenddate) as integer) as annee_sortie, libreseaucalcule,
@@ -81,7 +83,10 @@ select polcodc, uidpersgen, famille_cible, identifiant, date_effet, periodevalid
        identifiant || '_' || societedugroupe || '_' || systemeorigine as idCtr, rlpcodc, rlplibl,
        cv.cdproduit as cdproduit_cv, cv.lbproduit as lbproduit_cv, cv.lbcommercial as lbcommercial_cv
 from dated left join reference on societedugroupe = ciecodc and cdprodcdgauer = catcodc
-     left join cv on identifiant = nucontra and societedugroupe = cdciegen""")
+     left join cv on identifiant = nucontra and societedugroupe = cdciegen)"""
+
+
+@query(f"with {PORTFOLIO_SQL} select * from portfolio")
 def portfolio_load(spark, sf_dir):
     base, validity, reference, collector, products = (
         derived(spark, sf_dir, t) for t in (BASE, VALIDITY, REFERENCE, COLLECTOR, COLLECTOR_PRODUCTS)
@@ -91,6 +96,16 @@ def portfolio_load(spark, sf_dir):
     )
 
 
+HEALTH_FLAGS_SQL = f"""
+  case when line and regexp_matches(lbproduit_cv, '{fv.SENIOR_PATTERN}') then 1 else 0 end as {fv.SCOPES[0]},
+  case when line and not coalesce(regexp_matches(lbproduit_cv, '{fv.SENIOR_PATTERN}'), false) then 1 else 0 end as {fv.SCOPES[1]},
+  case when rlpcodc = '{fv.SELF_EMPLOYED_REF}' then 1 else 0 end as {fv.SCOPES[3]},
+  case when rlpcodc = '{fv.PRIVATE_REF}' then 1 else 0 end as {fv.SCOPES[4]},
+  case when cdprodcdgauer = '{fv.SINGLE_PRODUCT_CODE}' then 1 else 0 end as {fv.SCOPES[2]},
+  case when line or rlpcodc in ('{fv.SELF_EMPLOYED_REF}', '{fv.PRIVATE_REF}') or cdprodcdgauer = '{fv.SINGLE_PRODUCT_CODE}'
+    then 0 else 1 end as {fv.SCOPES[5]}"""
+
+
 def _report_sql(name: str, period: str, measures: str) -> str:
     return f"select '{name}' as report, {period} as period, network, {measures} from monthly group by {period}, network"
 
@@ -260,6 +275,85 @@ def campaign_funnel(spark, sf_dir):
     return _read(spark, root, "funnel")
 
 
+LOST_MONTH, BROKEN = "1999-05-31", "1999-08-31"
+HISTORY_SQL = f"""lists as ({plain(LISTS)}),
+kept as (select NOGPA, note_fragilite, month_end from lists
+         where month_end between last_day(date '1999-09-30' - interval 8 month) and date '1999-09-30' and month_end <> '{LOST_MONTH}'
+         union all select '00000001', null, date '{BROKEN}')"""
+
+
+def _stored_lists(spark, sf_dir):
+    """Contact lists as files: one month was never written, and one file has a line that is no score."""
+    path = workspace.new_path(spark, "lists")
+    kept = lists(spark, sf_dir).where(f"month_end <> '{LOST_MONTH}' and month_end >= '1998-11-30'")
+    kept.write.option("header", True).partitionBy("campaign", "role", "month_end").csv(path)
+    broken = spark.createDataFrame([("NOGPA,note_fragilite",), ("00000001,no score",)], "line string").coalesce(1)
+    broken.write.text(f"{path}/campaign=X/role=contact/month_end={BROKEN}")
+    return path
+
+
+@query(f"with {HISTORY_SQL} select NOGPA as identifiantrce, cast(note_fragilite as integer) as note_fragilite from kept")
+def contact_history_files(spark, sf_dir):
+    path = workspace.new_path(spark, "history")
+    contacts.write_rolling_history(spark, _stored_lists(spark, sf_dir), EXTRACTION, path)
+    return files.read_delimited(spark, path, files.HISTORY_SCHEMA)
+
+
+@query(f"""with {HISTORY_SQL},
+ends as (select cast(last_day(d) as date) as month_end from (select unnest(generate_series(date '1999-01-01', date '1999-09-01', interval 1 month)) as d))
+select e.month_end, case when count(k.month_end) > 0 then 'present' else 'missing' end as state, count(k.month_end) as rows,
+       count(*) filter (k.month_end is not null and note_fragilite is null) as malformed
+from ends e left join kept k using (month_end) group by e.month_end""")
+def contact_history_months(spark, sf_dir):
+    return files.rolling_contacts(spark, _stored_lists(spark, sf_dir), EXTRACTION)[1].drop("files")
+
+
+@query("""select 'no active contract' as problem, 'nothing' as written, count(*) as contracts from orders where o_orderdate < date '1990-01-01'
+union all select null, 'report', count(*) from customer""")
+def churn_report_guard(spark, sf_dir):
+    """A range without any contract is refused before anything is written; another one is written."""
+    rows = []
+    spans = flagged(spark, sf_dir)
+    customers = table(spark, sf_dir, "customer").count()
+    for first, last, contracts_ in (("198001", "198012", 0), (FIRST, LAST, customers)):
+        path = workspace.new_path(spark, "guarded")
+        try:
+            churn.write_churn_report(spans, first, last, FLAGS, path)
+            problem = None
+        except ValueError as error:
+            problem = "no active contract" if "no rows" in str(error) else str(error)
+        rows.append((problem, "report" if manifest.data_files(spark, path) else "nothing", contracts_))
+    return spark.createDataFrame(rows, "problem string, written string, contracts bigint")
+
+
+SNAPSHOT_SQL = f"""{PORTFOLIO_SQL},
+flagged as (
+  select idCtr as contract_id, uidpersgen as client_id, cast(date_effet as date) as start_date, cast(date_resil as date) as end_date,
+         libreseaucalcule as network, {HEALTH_FLAGS_SQL}
+  from (select *, coalesce(regexp_matches(lbproduit_cv, '{fv.LINE_PATTERN_COLLECTOR}'), false)
+               or coalesce(regexp_matches(lib_produit, '{fv.LINE_PATTERN_BASE}'), false) as line from portfolio)),
+{EXPANDED_SQL}"""
+SNAPSHOT_REPORT_SQL = f"with {SNAPSHOT_SQL} " + " union all ".join(
+    f"select '{name}' as report, {period} as period, network as libreseaucalcule, {measures} from monthly group by {period}, network"
+    for name, period, measures in (
+        ("STOCK", "month", wide_stock_sql(fv.SCOPES)),
+        ("RESIL ANNEE", "year", wide_exit_sql("year", fv.SCOPES)),
+        ("RESIL MOIS", "month", wide_exit_sql("month", fv.SCOPES)),
+    )
+)
+
+
+@query(SNAPSHOT_REPORT_SQL)
+def snapshot_churn_report(spark, sf_dir):
+    """One call from the five snapshot tables to the written reports."""
+    names = ("contracts", "validity", "product_reference", "collector_contracts", "collector_product_table")
+    tables = {n: derived(spark, sf_dir, t) for n, t in zip(names, (BASE, VALIDITY, REFERENCE, COLLECTOR, COLLECTOR_PRODUCTS), strict=True)}
+    path = workspace.new_path(spark, "churn")
+    churn.report_from_snapshots(tables, PARTITION, FIRST, LAST, path, carried=(), collector_columns=COLLECTOR_COLUMNS)
+    names = (churn.STOCK, churn.BY_YEAR, churn.BY_MONTH)
+    return churn.report_table({name: files.read_frame(spark, f"{path}/report={name}") for name in names})
+
+
 LOG_SQL = " cross join ".join(
     f"(select {', '.join(f'{m} as {p}_{m}' for m in ('mse', 'rmse', 'r2', 'mae', 'explained_variance'))} from "
     f"({METRICS_SQL % ('l_returnflag, ', 'partition by l_returnflag', 'group by l_returnflag')}) where l_returnflag = '{f}')"

@@ -58,8 +58,7 @@ flagged as (select *, {FLAGS_SQL} from contracts)"""
 FROM_SQL, TO_SQL = "date '1997-01-01'", "date '1999-09-01'"
 
 # contract-months, the ends of a contract's versions merged
-MONTHLY_SQL = f"""{CONTRACTS_SQL},
-clipped as (
+EXPANDED_SQL = f"""clipped as (
   select *, greatest(cast(date_trunc('month', start_date) as date), {FROM_SQL}) as s,
          least(cast(date_trunc('month', coalesce(end_date, {TO_SQL})) as date), {TO_SQL}) as e
   from flagged where start_date <> end_date or end_date is null),
@@ -70,21 +69,23 @@ monthly as (
   select *, strftime(at_month, '%Y%m') as month, strftime(at_month, '%Y') as year,
          strftime(exit_date, '%Y%m') as exit_month, strftime(exit_date, '%Y') as exit_year
   from exploded)"""
+MONTHLY_SQL = f"""{CONTRACTS_SQL},
+{EXPANDED_SQL}"""
 
 IDS = (("nbCli", "client_id"), ("nbCtr", "contract_id"))
 
 
-def wide_stock_sql() -> str:
+def wide_stock_sql(flags=FLAGS) -> str:
     return ", ".join(
-        f"nullif(count(distinct case when {f} = 1 then {c} end), 0) as {k}_{f}" for f in FLAGS for k, c in IDS
+        f"nullif(count(distinct case when {f} = 1 then {c} end), 0) as {k}_{f}" for f in flags for k, c in IDS
     )
 
 
-def wide_exit_sql(period: str) -> str:
+def wide_exit_sql(period: str, flags=FLAGS) -> str:
     return ", ".join(
         f"case when max({f}) = 1 then count(distinct case when {f} = 1 and {period} = exit_{period} then {c} end) end"
         f" as {k}_{f}"
-        for f in FLAGS
+        for f in flags
         for k, c in IDS
     )
 

@@ -163,6 +163,14 @@ def test_price_grid(spark, rows_of):
     ]
 
 
+def test_bands_without_ends(spark, rows_of):
+    grid = spark.createDataFrame([(None, 9, "A", 1.0), (10, 29, "B", 2.0), (30, None, "C", 3.0)], "age_min int, age_max int, formula string, price double")
+    df = spark.createDataFrame([(200.0,), (29.9,), (-3.0,), (float("nan"),), (None,)], "age double")
+    found = {str(r.age): r.formula for r in lookups.add_price(df, grid, "age").collect()}
+    assert found == {"200.0": "C", "29.9": "B", "-3.0": "A", "nan": None, "None": None}
+    assert lookups.add_price(df, grid.limit(0), "age").where("formula is null").count() == 5
+
+
 @pytest.mark.parametrize("amount,bucket", [(149.0, 100), (150.0, 150), (-1.0, -50), (NAN, 0), (None, 0)])
 def test_buckets_go_down(value, amount, bucket):
     assert value(amounts.floor_to_step(lit(amount), 50)) == bucket

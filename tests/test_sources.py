@@ -140,3 +140,25 @@ def test_advisor_file(spark, tmp_path, rows_of):
     path = tmp_path / "RSG.csv"
     path.write_text("Nom;Prénom;Adresse mail\nDUPONT;Zoé;Z@X.FR\n", encoding="utf-8")
     assert rows_of(files.read_advisors(spark, str(path))) == [("DUPONT", "Zoé", "Z@X.FR")]
+
+
+def test_rolling_reader_tells_missing_from_unreadable(spark, tmp_path, rows_of, monkeypatch):
+    path = str(tmp_path / "rolling")
+    for month, rows in (("2021-12-31", [("00000001", 7)]), ("2021-10-31", [("00000002", 8)]), ("2021-03-31", [("00000003", 9)])):
+        sinks.write_contact_list(spark.createDataFrame(rows, files.CONTACT_SCHEMA), path, "of", "contact", month)
+    broken = tmp_path / "rolling" / "campaign=of" / "role=temoin" / "month_end=2021-10-31"
+    broken.mkdir(parents=True)
+    (broken / "list.csv").write_text("NOGPA,note_fragilite\n00000004,nine\n,5\n00000005,6\n")
+    history, report = files.rolling_contacts(spark, path, "20211231")
+    assert rows_of(history) == [("00000001", 7), ("00000002", 8), ("00000004", None), ("00000005", 6)]
+    states = {str(r.month_end): (r.state, r.files, r.rows, r.malformed) for r in report.collect()}
+    assert len(states) == 9 and "2021-03-31" not in states
+    assert states["2021-12-31"] == ("present", 1, 1, 0) and states["2021-11-30"] == ("missing", 0, 0, 0)
+    assert states["2021-10-31"] == ("present", 2, 4, 1)
+    assert [str(d) for d in files.month_ends("20240331", 3)] == ["2024-03-31", "2024-02-29", "2024-01-31"]
+    empty, none = files.rolling_contacts(spark, str(tmp_path / "nowhere"), "20211231")
+    assert empty.count() == 0 and {r.state for r in none.collect()} == {"missing"}
+    listed = files.list_months
+    monkeypatch.setattr(files, "list_months", lambda *a: {**listed(*a), date(2021, 12, 31): ("unreadable", ["x"])})
+    with pytest.raises(OSError, match="2021-12-31"):
+        files.rolling_contacts(spark, path, "20211231")

@@ -43,9 +43,14 @@ def churn_report(
 
 
 def _reports(spans: DataFrame, first: str, last: str, flags: Sequence[str], names: Names) -> dict[str, DataFrame]:
-    """The reports from stock and exits, which are a few rows each: counted once and written."""
-    stock = stored(stock_of_spans(spans, first, last, flags, names), "stock")
-    exits = stored(exits_by_period(spans, first, last, flags=flags, names=names), "exits")
+    """The reports from stock and exits, which are a few rows each: counted in one job and written."""
+    stock = stock_of_spans(spans, first, last, flags, names).withColumnRenamed("month", "period")
+    exits = exits_by_period(spans, first, last, flags=flags, names=names)
+    kind = F.col("__kind")
+    both = stock.withColumn("__kind", F.lit("stock")).unionByName(exits.withColumn("__kind", F.lit("exits")))
+    both = stored(both, "counts")
+    stock = both.where(kind == "stock").drop("__kind").withColumnRenamed("period", "month")
+    exits = both.where(kind == "exits").drop("__kind")
     by_year, by_month = (
         terminations_of_spans(spans, first, last, period, flags, names, stock=stock, exits=exits) for period in ("year", "month")
     )
@@ -110,23 +115,25 @@ def write_measures(
     names: Names = DEFAULT,
     store: bool = True,
 ) -> dict:
-    """Store the long measures under their last month, with a one-row index of both ends; gives the manifest.
+    """Store the long measures under their last month, with the months they begin and end in; gives the manifest.
 
     KPIs of a month read what is stored: a few rows for each month, network and measure instead of the spans.
     """
     spark = portfolio.sparkSession
     run = manifest.Run(spark, root, last)
     measures = run.frame(churn_measures(portfolio, first, last, flags, names, store), "measures")
-    run.frame(measures.agg(F.min("month").alias("first"), F.max("month").alias("last")), "index")
+    ends = measures.agg(F.min("month").alias("first"), F.max("month").alias("last")).first()
+    run.notes = ends.asDict()
     return run.commit()
 
 
 def read_measures(spark: SparkSession, root: str, last: str) -> tuple[DataFrame, str | None]:
     """The stored measures and the last month in them; an error where there are none."""
-    measures, index = (manifest.read_output(spark, root, last, name) for name in ("measures", "index"))
+    found = manifest.lookup(spark, root, last)
+    measures = manifest.read_output(spark, root, last, "measures")
     if measures is None:
         raise ValueError(f"no measures stored for {last}")
-    return measures, index.first()["last"]
+    return measures, found["notes"]["last"]
 
 
 def report_from_snapshots(

@@ -63,6 +63,7 @@ class Run:
         self.spark, self.root, self.label = spark, root, label
         self.name = f"{label}-{uuid.uuid4().hex}"
         self.outputs: dict[str, dict] = {}
+        self.notes: dict = {}
 
     def _path(self, name: str) -> str:
         return f"{self.root}/runs/{self.name}/{name}"
@@ -83,7 +84,7 @@ class Run:
 
     def commit(self) -> dict:
         """Switch the label to this run's outputs."""
-        manifest = {"label": self.label, "run": self.name, "outputs": self.outputs}
+        manifest = {"label": self.label, "run": self.name, "outputs": self.outputs, "notes": self.notes}
         system, target = _file_system(self.spark, _place(self.root, self.label))
         new = system.makeQualified(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifests/.{self.name}"))
         out = system.create(new, True)

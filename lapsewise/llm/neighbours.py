@@ -210,11 +210,14 @@ def _dealt(rows: DataFrame, dimensions: int) -> DataFrame:
 
 
 def search_all(base: DataFrame, queries: DataFrame, dimensions: int, blocks: int) -> DataFrame:
-    """Exact neighbours of the queries among all of ``base``, in so many blocks."""
+    """Exact neighbours of the queries among all of ``base``, in so many blocks, each for up to about ``VISITS`` queries."""
     block = F.pmod(F.xxhash64("rep"), F.lit(blocks))
-    rows = base.select(block.alias("bucket"), F.lit(0).alias("part"), F.lit(False).alias("query"), "rep", "vector")
+    shares = max(1, -(-queries.count() // VISITS))
+    share = F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))
+    rows = base.select(block.alias("bucket"), share.alias("part"), F.lit(False).alias("query"), "rep", "vector")
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
-    asks = queries.select(every.alias("bucket"), F.lit(0).alias("part"), F.lit(True).alias("query"), "rep", "vector")
+    own = F.pmod(F.xxhash64("rep"), F.lit(shares)).cast("int")
+    asks = queries.select(every.alias("bucket"), own.alias("part"), F.lit(True).alias("query"), "rep", "vector")
     return _nearest(_dealt(rows.unionByName(asks), dimensions))
 
 

@@ -322,7 +322,8 @@ def write_store(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
     order = [F.col("key").asc_nulls_first(), F.xxhash64("text")]  # so that even rows of one key can be dealt out
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    dealt.limit(0).write.mode("overwrite").parquet(f"{path}/folder")  # makes the folder, wherever it is
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # made first, wherever it is
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     dealt.mapInArrow(write, MANIFEST).write.parquet(f"{path}/manifest")
     return read_manifest(spark, path)
 

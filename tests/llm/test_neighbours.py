@@ -105,3 +105,22 @@ def test_whole_table(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     rows = [(r.vec_id, r.embedding) for r in table.collect()]
     assert recall(held(neighbours.neighbour_report(table)), plain_nearest(rows, lambda i: i % 100 == 0)) >= 0.9
+
+
+def test_outliers_are_asked_in_shares(spark, monkeypatch):
+    """A fifth of the vectors lie far from all others: their exact search is dealt to many tasks."""
+    rng = np.random.default_rng(12)
+    near, far = rng.normal(size=(800, 8)), rng.normal(size=(200, 8)) * 10.0 ** rng.integers(2, 6, (200, 1))
+    table = np.concatenate([near, far])
+    rows = [(i, np.ascontiguousarray(v, "<f8").tobytes()) for i, v in enumerate(table)]
+    base = spark.createDataFrame(rows, "rep bigint, vector binary")
+    asked = base.where("rep >= 800")
+    monkeypatch.setattr(neighbours, "VISITS", 16)
+    dealt, seen = neighbours._dealt, []
+    monkeypatch.setattr(neighbours, "_dealt", lambda frame, d: seen.append(frame) or dealt(frame, d))
+    found = {(r.query, r.rep) for r in neighbours.search_all(base, asked, 8, 4).collect()}
+    most = seen[0].where("query").groupBy("bucket", "part").count().agg({"count": "max"}).first()[0]
+    assert most < 40
+    for q in range(800, 1000):
+        order = np.lexsort((np.arange(1000), np.sqrt(((table - table[q]) ** 2).sum(axis=1))))[: neighbours.NEAREST + 1]
+        assert {(q, int(i)) for i in order} <= found

@@ -8,8 +8,9 @@ has the largest cosine, and the cosine, cut at 0, is the score.
 Letters are the alphabetic characters of the lower-cased text; what lies between them is one blank.
 Texts are cut into n-grams block by block, so the longest text needs no more memory than its distinct
 n-grams. Prototypes are learned from about ``SAMPLE_ROWS`` texts of each language at most, drawn by a
-hash of the identifier (the bound is on the expected number). They are all that reaches the driver:
-2 KB for each language, of which ``MAX_LANGUAGES`` are allowed.
+hash of the identifier (the bound is on the expected number). They are all that reaches the driver, 2 KB for each
+language, and ``GROUP_LANGUAGES`` languages at a time: a table with more of them is judged in several passes over
+its texts, each of which keeps the better of its own language and the one found before.
 
 Defined cases: a null text and one without a letter are ``und`` with score 0, and so is every text
 when nothing could be learned; ties go to the language first by code point; null identifiers are not
@@ -33,7 +34,7 @@ BLOCK = 1 << 20
 GROUP = 64
 TABLE_ROWS = 1 << 14
 SAMPLE_ROWS = 2000
-MAX_LANGUAGES = 1000
+GROUP_LANGUAGES = 1000
 HELD_OUT = (4, 2)
 SEED = 4
 UNKNOWN = "und"
@@ -150,14 +151,20 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % HELD_OUT[0] == HELD_OUT[1]
 
 
-def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict[str, np.ndarray]:
-    """Unit prototypes by language from ``doc_id, text, lang``, in the order of the languages."""
+def learn(
+    docs: DataFrame, sample_rows: int = SAMPLE_ROWS, after: str | None = None
+) -> tuple[dict[str, np.ndarray], str | None]:
+    """Unit prototypes by language from ``doc_id, text, lang``, in the order of the languages.
+
+    Of a table with many languages the first ``GROUP_LANGUAGES`` that come ``after`` the given one, with the name of
+    the last of them; None where no more can follow.
+    """
     known = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").where(~held_out(F.col("doc_id")))
-    sizes = known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
+    known = known if after is None else known.where(F.col("lang") > after)
+    sizes = known.groupBy("lang").count().orderBy("lang").limit(GROUP_LANGUAGES).collect()
+    last = sizes[-1]["lang"] if len(sizes) == GROUP_LANGUAGES else None
     if not sizes:
-        return {}
+        return {}, None
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, sample_rows / r["count"]))])
     sample = known.where(uniform(F.col("doc_id"), SEED) < share[F.col("lang")]).select("lang", "text")
     parts = sample.repartition(8).mapInArrow(_bundle, "lang string, bundle binary")  # 8 sums of a language at most
@@ -165,7 +172,7 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict[str, np.ndarr
     for row in parts.toLocalIterator():
         sums[row["lang"]] = sums.get(row["lang"], 0) + np.frombuffer(row["bundle"])
     lengths = {k: np.linalg.norm(v) for k, v in sums.items()}
-    return {k: (sums[k] / lengths[k]).astype(np.float32) for k in sorted(sums) if lengths[k] > 0}
+    return {k: (sums[k] / lengths[k]).astype(np.float32) for k in sorted(sums) if lengths[k] > 0}, last
 
 
 def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], columns: tuple[str, ...] = ()) -> DataFrame:
@@ -188,11 +195,24 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], columns: tuple[s
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "lang_pred", "score"])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    rows = docs.select(*columns, "text")
+    rows = docs.select(*columns, *([] if "text" in columns else ["text"]))
     return rows.mapInArrow(judge, f"{kinds + ', ' if kinds else ''}lang_pred string, score double")
 
 
 def language_report(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every row."""
     marked = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return predict(marked, learn(docs.select("doc_id", "text", "lang")), ("doc_id", "held_out"))
+    known = docs.select("doc_id", "text", "lang")
+    prototypes, last = learn(known)
+    if last is None:
+        return predict(marked, prototypes, ("doc_id", "held_out"))
+    best = marked.withColumns({"__pred": F.lit(UNKNOWN), "__score": F.lit(-1.0)})
+    while True:
+        judged = predict(best, prototypes, tuple(best.columns))
+        better = (F.col("lang_pred") != UNKNOWN) & (F.col("score") > F.col("__score"))
+        kept = {"__pred": F.when(better, F.col("lang_pred")).otherwise(F.col("__pred")), "__score": F.when(better, F.col("score")).otherwise(F.col("__score"))}
+        best = judged.withColumns(kept).drop("lang_pred", "score")
+        if last is None:
+            break
+        prototypes, last = learn(known, after=last)
+    return best.select("doc_id", "held_out", F.col("__pred").alias("lang_pred"), F.greatest("__score", F.lit(0.0)).alias("score"))

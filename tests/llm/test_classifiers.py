@@ -75,6 +75,17 @@ def test_language_of_odd_rows(spark):
 # quality
 
 
+def test_any_number_of_languages(spark, monkeypatch):
+    """Languages learned a few at a time give the verdicts of all at once."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(9000 + i, t, f"z{i}") for i, t in enumerate(("xq zq wq " * 9, None, "12 34", "kk jj hh"))], docs.schema)
+    docs = docs.unionByName(odd)
+    whole = sorted(map(tuple, language_id.language_report(docs).collect()))
+    for group in (1, 3):
+        monkeypatch.setattr(language_id, "GROUP_LANGUAGES", group)
+        assert sorted(map(tuple, language_id.language_report(docs).collect())) == whole
+
+
 def test_rules_are_read_from_printed_trees():
     text = """RandomForestClassificationModel
   Tree 0 (weight 1.0):

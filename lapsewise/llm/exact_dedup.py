@@ -1,24 +1,33 @@
 """Exact deduplication as a stream with keyed state that never expires.
 
-Documents arrive as narrow rows: digest of the normalised text, identifier, locator. A streaming
-aggregation keeps one entry per digest in a disk-backed (RocksDB) state store: the digest, the
-smallest identifier with the locator of its row, and the number of rows. There is no watermark,
-so entries stay for good; running the stream again from the same checkpoint adds later arrivals.
-Every task folds its own arrivals first, so of a group that holds a third of all rows one row per
-task reaches the state. On hits (groups of two rows and more) the whole normalised bytes of each row
-are compared with those of the row that stays; rows that differ in spite of equal digests form
-groups of their own, by their bytes.
+A store is a folder: ``content`` holds the documents that arrived, batch by batch, with digest and
+identifier; ``state`` holds the stream's checkpoint. A streaming aggregation reads digest and identifier
+of new content and keeps one entry per digest in a disk-backed (RocksDB) state store: the digest, the
+smallest identifier, the locator of its row, and the number of rows. There is no watermark, so entries
+stay for good; :func:`add_documents` on the same folder, in a later session too, goes on from them.
+A locator is the content file and the position of the row in it, so it stays right for good and leads to
+the bytes. Every task folds its own arrivals first, so of a group that holds a third of all rows one row
+per task reaches the state. On hits (groups of two rows and more) the row that stays is fetched by its
+locator, and the whole normalised bytes of each other row are compared with it; rows that differ in
+spite of equal digests form groups of their own, by their bytes' own SHA-256.
+
+A batch is written beside the content and renamed into it, so one that was cut short is never read; a
+batch whose name is there already is not written again, so a call that is repeated counts its rows once.
 
 Normalised: each run of blank, tab to carriage return becomes one space. Defined cases: a null
 text counts as empty; a null identifier is larger than any other; of rows repeated with the
-smallest identifier one stays; an empty table gives an empty result; other columns are carried along.
+smallest identifier, in one batch or in several, the one with the smallest locator stays; an empty table
+gives an empty result; other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from lapsewise.llm.words import GAP, as_row
 from lapsewise.sources.workspace import Scratch
@@ -37,11 +46,49 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def write_arrivals(docs: DataFrame, path: str, text: str, key: str, digest: Callable[[Column], Column]) -> None:
-    """Append ``digest, id, locator, sha`` rows for the stream. The locator is unique within the folder's run."""
-    plain = normalised(F.col(text))
-    rows = docs.select(digest(plain).alias("digest"), F.col(key).alias("id"), sha256(plain).alias("sha"))
-    rows.withColumn("locator", F.monotonically_increasing_id()).write.mode("append").parquet(path)
+def locator() -> list[Column]:
+    """Where a content row is: its file, as ``batch/file``, and its position there."""
+    return [F.substring_index("_metadata.file_path", "/", -2).alias("file"), F.col("_metadata.row_index").alias("place")]
+
+
+def first_row(order: Column) -> list[Column]:
+    """The smallest identifier of a group, the locator of its row, and the number of rows."""
+    return [F.min(F.struct(order.alias("first_id"), "file", "place")).alias("first"), F.count(F.lit(1)).alias("group_size")]
+
+
+def write_arrivals(
+    docs: DataFrame, path: str, text: str, key: str, digest: Callable[[Column], Column], carried: tuple[str, ...] = (), batch: str | None = None
+) -> None:
+    """Add a batch of content: ``digest, id, sha, row``; the row has the text and the ``carried`` columns."""
+    batch = batch or uuid.uuid4().hex
+    if not re.fullmatch("[A-Za-z0-9][A-Za-z0-9_-]*", batch):
+        raise ValueError(f"no name for a batch: {batch}")
+    Path = docs.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target, incoming = Path(f"{path}/{batch}"), Path(f"{path}-incoming/{batch}")
+    system = target.getFileSystem(docs.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(target):
+        return
+    rows = as_row(docs).withColumn("plain", normalised(F.col(f"__row.`{text}`")))
+    names = dict.fromkeys((text, *carried))
+    rows = rows.select(
+        digest(F.col("plain")).alias("digest"),
+        F.col(f"__row.`{key}`").cast("bigint").alias("id"),
+        sha256(F.col("plain")).alias("sha"),
+        F.struct(*[F.col(f"__row.`{c}`") for c in names]).alias("row"),
+    )
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(incoming.toString())
+    system.mkdirs(target.getParent())
+    if not system.rename(incoming, target):
+        raise OSError(f"cannot rename {incoming.toString()}")
+
+
+def read_content(spark: SparkSession, path: str, row: StructType | None = None) -> DataFrame:
+    """``digest, id, sha, file, place`` of all content, and ``row`` with the given fields."""
+    kinds = "digest binary, id bigint, sha binary"
+    schema = StructType.fromDDL(kinds)
+    if row is not None:
+        schema = StructType([*schema, StructField("row", row)])
+    return spark.read.schema(schema).parquet(f"{path}/*").select(*schema.names, *locator())
 
 
 def state_session(spark: SparkSession) -> SparkSession:
@@ -58,38 +105,74 @@ def state_session(spark: SparkSession) -> SparkSession:
 
 
 def run_stream(own: SparkSession, arrivals: str, state: str, files_a_batch: int = FILES_A_BATCH) -> None:
-    """Take all arrivals not seen so far into the state at ``state``; ends when none is left."""
-    rows = own.readStream.schema("digest binary, id bigint, sha binary, locator bigint")
-    rows = rows.option("maxFilesPerTrigger", files_a_batch).parquet(arrivals)
-    order = F.coalesce("id", F.lit(LAST))
-    entries = rows.groupBy("digest").agg(
-        F.min(order).alias("first_id"), F.min_by("locator", order).alias("locator"), F.count(F.lit(1)).alias("rows")
-    )
+    """Take all arrivals not seen so far into the state at ``state``, however old; ends when none is left."""
+    rows = own.readStream.schema("digest binary, id bigint").option("maxFilesPerTrigger", files_a_batch)
+    rows = rows.option("maxFileAge", "36500d").parquet(f"{arrivals}/*").select("digest", "id", *locator())
+    entries = rows.groupBy("digest").agg(*first_row(F.coalesce("id", F.lit(LAST))))
     writer = entries.writeStream.format("noop").outputMode("update").option("checkpointLocation", state)
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
 def read_state(own: SparkSession, state: str) -> DataFrame:
-    """``digest, first_id, keep_locator, group_size``: all entries, read from the store itself."""
+    """``digest, first_id, keep_file, keep_place, group_size``: all entries, read from the store itself."""
     entries = own.read.format("statestore").load(state)
-    first, locator, _, rows = (F.col(f"value.`{f.name}`") for f in entries.schema["value"].dataType.fields)
-    return entries.select(
-        F.col("key.digest").alias("digest"), first.alias("first_id"), locator.alias("keep_locator"), rows.alias("group_size")
-    )
+    first, rows = (f"value.`{f.name}`" for f in entries.schema["value"].dataType.fields)
+    return _entry(entries.select("key.digest", F.col(first).alias("first"), F.col(rows).alias("group_size")), "digest")
 
 
-def _check_bytes(docs: DataFrame, entries: DataFrame, scratch: Scratch, text: str, key: str, digest) -> DataFrame:
-    """``digest, id, sha`` of rows whose bytes differ from the row that stays though the digests agree."""
-    plain = normalised(F.col(text))
-    rows = docs.select(F.col(key).alias("id"), plain.alias("plain")).withColumn("digest", digest(F.col("plain")))
-    hits = rows.join(entries.where("group_size > 1").select("digest", "first_id"), "digest")
-    hits = scratch.store(hits, "hits")
-    stays = hits.where(F.coalesce("id", F.lit(LAST)) == F.col("first_id"))
-    stays = scratch.store(stays.groupBy("digest").agg(F.min("plain").alias("stays")), "stays")
-    other = hits.join(stays, "digest").where("plain != stays")
-    other = scratch.store(other.select("digest", sha256(F.col("plain")).alias("sha"), "id").distinct(), "collisions")
-    scratch.drop("hits", "stays")
-    return other
+def _entry(groups: DataFrame, *by: str) -> DataFrame:
+    keep = [F.col("first.first_id"), F.col("first.file").alias("keep_file"), F.col("first.place").alias("keep_place")]
+    return groups.select(*by, *keep, "group_size")
+
+
+def add_documents(
+    docs: DataFrame,
+    store: str,
+    text: str = "text",
+    key: str = "doc_id",
+    digest: Callable[[Column], Column] = sha256,
+    files_a_batch: int = FILES_A_BATCH,
+    carried: tuple[str, ...] = (),
+    batch: str | None = None,
+) -> None:
+    """Take documents into the store at the path ``store``, after all that came before."""
+    write_arrivals(docs, f"{store}/content", text, key, digest, carried, batch)
+    run_stream(state_session(docs.sparkSession), f"{store}/content", f"{store}/state", files_a_batch)
+
+
+def _torn(spark: SparkSession, store: str, entries: DataFrame, scratch: Scratch, text: str) -> DataFrame:
+    """The ``digest`` of groups in which some row's bytes differ from those of the row that stays."""
+    kind = StructType.fromDDL(f"`{text}` string")
+    rows = read_content(spark, f"{store}/content", kind).select("digest", "file", "place", normalised(F.col(f"row.`{text}`")).alias("plain"))
+    hits = entries.where("group_size > 1")
+    stays = rows.join(hits.select(F.col("keep_file").alias("file"), F.col("keep_place").alias("place")), ["file", "place"])
+    stays = scratch.store(stays.select("digest", F.col("plain").alias("stays")), "stays")
+    torn = scratch.store(rows.join(stays, "digest").where("plain != stays").select("digest").distinct(), "torn")
+    scratch.drop("stays")
+    return torn
+
+
+def groups(spark: SparkSession, store: str, scratch: Scratch, text: str = "text") -> tuple[DataFrame, DataFrame | None]:
+    """Entries of all digests whose rows have equal bytes, and those of the other digests by ``digest, sha``, if any."""
+    entries = scratch.store(read_state(state_session(spark), f"{store}/state"), "entries")
+    torn = _torn(spark, store, entries, scratch, text)
+    if torn.isEmpty():
+        return entries, None
+    rows = read_content(spark, f"{store}/content").join(torn, "digest", "left_semi")
+    split = _entry(rows.groupBy("digest", "sha").agg(*first_row(F.coalesce("id", F.lit(LAST)))), "digest", "sha")
+    return scratch.store(entries.join(torn, "digest", "left_anti"), "whole"), scratch.store(split, "split")
+
+
+def store_verdicts(spark: SparkSession, store: str, scratch: Scratch, text: str = "text") -> DataFrame:
+    """One row per document that ever arrived: ``id, keep_id, group_size, kept, sha, digest, file, place``."""
+    rows = read_content(spark, f"{store}/content")
+    entries, split = groups(spark, store, scratch, text)
+    marked = rows.join(entries, "digest")
+    if split is not None:
+        marked = marked.unionByName(rows.join(split, ["digest", "sha"]))
+    kept = (F.col("file") == F.col("keep_file")) & (F.col("place") == F.col("keep_place"))
+    keep_id = F.when(F.col("first_id") != LAST, F.col("first_id"))
+    return marked.select("id", keep_id.alias("keep_id"), "group_size", kept.alias("kept"), "sha", "digest", "file", "place")
 
 
 def verdicts(
@@ -100,28 +183,9 @@ def verdicts(
     digest: Callable[[Column], Column] = sha256,
     files_a_batch: int = FILES_A_BATCH,
 ) -> DataFrame:
-    """One row per document: ``id, keep_id, group_size, kept, sha, locator``."""
-    spark = docs.sparkSession
-    write_arrivals(docs, scratch.path("arrivals"), text, key, digest)
-    own = state_session(spark)
-    run_stream(own, scratch.path("arrivals"), scratch.path("state"), files_a_batch)
-    arrivals = spark.read.schema("digest binary, id bigint, sha binary, locator bigint").parquet(scratch.path("arrivals"))
-    entries = scratch.store(read_state(own, scratch.path("state")), "entries")
-    collisions = _check_bytes(docs, entries, scratch, text, key, digest)
-    if not collisions.isEmpty():
-        # equal digests, different bytes: the groups of such digests are formed by the bytes' own SHA-256
-        torn = collisions.select("digest").distinct()
-        order = F.coalesce("id", F.lit(LAST))
-        split = arrivals.join(torn, "digest", "left_semi").groupBy("digest", "sha")
-        split = split.agg(F.min(order).alias("first_id"), F.min_by("locator", order).alias("keep_locator"), F.count(F.lit(1)).alias("group_size"))
-        whole = arrivals.join(torn, "digest", "left_anti").join(entries, "digest")
-        marked = whole.unionByName(arrivals.join(scratch.store(split, "split"), ["digest", "sha"]))
-    else:
-        marked = arrivals.join(entries, "digest")
-    keep_id = F.when(F.col("first_id") != LAST, F.col("first_id"))
-    return marked.select(
-        "id", keep_id.alias("keep_id"), "group_size", (F.col("locator") == F.col("keep_locator")).alias("kept"), "sha", "digest", "locator"
-    )
+    """One row per document, in a store that is made for this call."""
+    add_documents(docs, scratch.path("store"), text, key, digest, files_a_batch)
+    return store_verdicts(docs.sparkSession, scratch.path("store"), scratch, text)
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:
@@ -131,20 +195,16 @@ def dedup_report(docs: DataFrame) -> DataFrame:
     return marked.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", sha)
 
 
-def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows that stay, in the columns they came with."""
-    scratch = Scratch(docs.sparkSession, "dedup")
-    marked = verdicts(docs, scratch, text, key).withColumn("first", F.coalesce("keep_id", F.lit(LAST)))
-    same = F.coalesce("id", F.lit(LAST)) == F.col("first")
-    # rows that carry the identifier that stays: one for almost every digest, more where rows are repeated
-    stays = marked.where(same).groupBy(F.col("sha").alias("__sha"), F.col("first").alias("__first")).agg(F.count(F.lit(1)).alias("__n"))
-    stays = scratch.store(stays, "stays_by_id")
-    row = as_row(docs)
-    row = row.withColumn("__sha", sha256(normalised(F.col(f"__row.{text}"))))
-    row = row.withColumn("__first", F.coalesce(f"__row.{key}", F.lit(LAST)))
-    found = row.join(stays, ["__sha", "__first"])
-    once = found.where("__n = 1").select("__row")
-    if not stays.where("__n > 1").isEmpty():
-        more = found.where("__n > 1").groupBy("__sha", "__first").agg(F.any_value("__row").alias("__row"))
-        once = once.unionByName(more.select("__row"))
-    return once.select("__row.*")
+def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", digest: Callable[[Column], Column] = sha256) -> DataFrame:
+    """The rows that stay, in the columns they came with, fetched by their locators."""
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "dedup")
+    store = scratch.path("store")
+    add_documents(docs, store, text, key, digest, carried=tuple(docs.columns))
+    entries, split = groups(spark, store, scratch, text)
+    keep = entries.select("keep_file", "keep_place")
+    if split is not None:
+        keep = keep.unionByName(split.select("keep_file", "keep_place"))
+    row = StructType([docs.schema[c] for c in dict.fromkeys((text, *docs.columns))])
+    rows = read_content(spark, f"{store}/content", row)
+    rows = rows.join(keep, (rows.file == keep.keep_file) & (rows.place == keep.keep_place), "left_semi")
+    return rows.select(*[F.col(f"row.`{c}`") for c in docs.columns])

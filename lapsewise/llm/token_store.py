@@ -2,7 +2,7 @@
 
 Documents are dealt by ranges of their keys and sorted, so shards and the documents in them follow
 ascending keys. A task encodes its range and writes one file: the raw ids of all documents, then the
-tables of records (key, end of its ids) and the index, then a fixed-size tail that says where they are.
+tables of records (key, end of its ids) and the index, then the sizes of its levels and a tail that say where they are.
 Ids take 2 bytes while the vocabulary fits, else 4. Only the tables stay in memory while a shard is
 written, some 30 bytes a document. A manifest lists the file of each task that succeeded, so what lost
 or repeated tasks leave behind is never read.
@@ -10,8 +10,10 @@ or repeated tasks leave behind is never read.
 Index: a minimal perfect hash over the distinct keys of the shard. Level by level, keys that hash to a
 place of their own set its bit and the others go on to the next level; a key's slot is the number of
 bits before its own. A slot holds a fingerprint of the key, by which keys that are not in the shard
-are told with an error of 1 in 2^32, and the first record of the key. So a lookup reads a few bits,
-one slot and the ids, whatever the shard's size.
+are told with an error of 1 in 2^32, and the first record of the key. Beside each word of bits stands the
+number of bits before it. So a lookup reads one word of each level up to the key's own (1.7 on average),
+one slot, the key, two ends and the ids, whatever the shard's size; nothing else is loaded. A whole read
+takes the records of the keys in turn from the index too, loaded once for it.
 
 Words are encoded by the tokenizers library. As no token crosses white space, a text is split at ASCII
 white space and ids of words seen before are kept (``WORDS`` at most, then anew).
@@ -28,7 +30,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -45,8 +47,10 @@ TOKENIZER = "word_bpe_49k.json"
 END = 1
 WORDS = 400_000
 READ = 1 << 22
-MAGIC = b"LWTS0001"
-TAIL = struct.Struct("<QQQQQQ8s")  # ids, records, of them with null keys, index at, bytes an id, length of the index, magic
+MAGIC = b"LWTS0002"
+TAIL = struct.Struct("<QQQQQQQ8s")  # ids, records, of them with null keys, distinct keys, tables at, bytes an id, levels, magic
+SLOT = np.dtype([("print", "<u4"), ("record", "<i8")])
+PLACE = np.dtype([("bits", "<u8"), ("before", "<u8")])  # a word of a level, and the bits set before it in all levels
 MANIFEST = "shard int, file string, records bigint, ids bigint, low bigint, high bigint"
 
 
@@ -92,6 +96,13 @@ class PerfectHash:
             left = left[~hit]
         return found
 
+    def places(self) -> Iterator[np.ndarray]:
+        """The levels as they are stored: each word beside the number of bits before it."""
+        for words, ranks, base in zip(self.levels, self.ranks, self.bases, strict=False):
+            place = np.empty(len(words), PLACE)
+            place["bits"], place["before"] = words, ranks + base
+            yield place
+
     @classmethod
     def fingerprint(cls, keys: np.ndarray) -> np.ndarray:
         return (_mix(keys, cls.FINGERPRINT) >> np.uint64(32)).astype("<u4")
@@ -118,84 +129,111 @@ class ShardWriter:
         distinct = keys[first].view(np.uint64)
         index = PerfectHash.build(distinct)
         slots = index.slots(distinct)
-        prints, records = np.empty(len(distinct), "<u4"), np.empty(len(distinct), "<i8")
-        prints[slots], records[slots] = PerfectHash.fingerprint(distinct), first + nulls
-        table = [struct.pack("<I", len(index.levels))]
-        for words in index.levels:
-            table += [struct.pack("<Q", len(words)), words.tobytes()]
-        parts = [keys.tobytes(), ends.astype("<i8").tobytes(), prints.tobytes(), records.tobytes(), *table]
+        table = np.empty(len(distinct), SLOT)
+        table["print"][slots], table["record"][slots] = PerfectHash.fingerprint(distinct), first + nulls
         total, at = int(ends[-1]) if len(ends) else 0, self.out.tell()
-        for part in parts:
-            self.out.write(part)
-        self.out.write(TAIL.pack(total, len(ends), nulls, at, self.width, sum(map(len, parts)), MAGIC))
+        for part in (keys, ends.astype("<i8"), table, *index.places(), np.array([len(w) for w in index.levels], "<u8")):
+            self.out.write(part.tobytes())
+        self.out.write(TAIL.pack(total, len(ends), nulls, len(distinct), at, self.width, len(index.levels), MAGIC))
         self.out.close()
         return len(ends), total, *((int(keys[0]), int(keys[-1])) if len(keys) else (None, None))
 
 
 class ShardReader:
-    """Reads one shard, in order or by key."""
+    """Reads one shard: by key, a few places of the file for each; or whole, in the order of its keys."""
 
     def __init__(self, uri: str) -> None:
         system, path = fs.FileSystem.from_uri(uri)
         self.file = system.open_input_file(path)
-        tail = self._read(self.file.size() - TAIL.size, TAIL.size)
-        self.ids, self.records, self.nulls, at, self.width, length, magic = TAIL.unpack(tail)
+        end = self.file.size() - TAIL.size
+        self.ids, self.records, self.nulls, self.distinct, at, self.width, levels, magic = TAIL.unpack(self._read(end, TAIL.size))
         if magic != MAGIC:
             raise ValueError(f"{uri} is no shard of token ids")
-        data, place = self._read(at, length), 0
-
-        def take(kind: str, n: int) -> np.ndarray:
-            nonlocal place
-            found = np.frombuffer(data, kind, n, place)
-            place += found.nbytes
-            return found
-
-        self.keys, self.ends = take("<i8", self.records - self.nulls), take("<i8", self.records)
-        n = len(np.unique(self.keys))
-        self.prints, self.first = take("<u4", n), take("<i8", n)
-        levels = int(take("<u4", 1)[0])
-        self.index = PerfectHash([take("<u8", int(take("<u8", 1)[0])) for _ in range(levels)])
+        self.words = np.frombuffer(self._read(end - 8 * levels, 8 * levels), "<u8").astype(np.int64)
+        sizes = [8 * (self.records - self.nulls), 8 * self.records, SLOT.itemsize * self.distinct, *(PLACE.itemsize * self.words).tolist()]
+        self.at_keys, self.at_ends, self.at_slots, *self.at_levels = [at, *(at + np.cumsum(sizes)).tolist()][: len(sizes)]
 
     def _read(self, at: int, length: int) -> bytes:
         self.file.seek(at)
         return self.file.read(length)
 
+    def _table(self, at: int, kind: str | np.dtype, first: int, n: int) -> np.ndarray:
+        kind = np.dtype(kind)
+        return np.frombuffer(self._read(at + first * kind.itemsize, n * kind.itemsize), kind)
+
+    @cached_property
+    def keys(self) -> np.ndarray:
+        return self._table(self.at_keys, "<i8", 0, self.records - self.nulls)
+
+    @cached_property
+    def ends(self) -> np.ndarray:
+        return self._table(self.at_ends, "<i8", 0, self.records)
+
+    @cached_property
+    def slots(self) -> np.ndarray:
+        return self._table(self.at_slots, SLOT, 0, self.distinct)
+
+    @cached_property
+    def index(self) -> PerfectHash:
+        places = [self._table(at, PLACE, 0, int(n)) for at, n in zip(self.at_levels, self.words, strict=True)]
+        return PerfectHash([p["bits"].copy() for p in places])
+
     def key(self, record: int) -> int | None:
         return None if record < self.nulls else int(self.keys[record - self.nulls])
 
     def start(self, record: int) -> int:
         return int(self.ends[record - 1]) if record else 0
 
-    def documents(self) -> Iterator[tuple[int, np.ndarray]]:
-        """All records with their ids, in order; the file is read in large pieces."""
-        record = 0
-        while record < self.records:
-            low = self.start(record)
-            after = max(record + 1, int(np.searchsorted(self.ends, low + READ // self.width, "right")))
-            data = self._read(low * self.width, (int(self.ends[after - 1]) - low) * self.width)
-            ids = np.frombuffer(data, f"<u{self.width}")
-            for r in range(record, after):
-                yield r, ids[self.start(r) - low : int(self.ends[r]) - low]
-            record = after
-
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """First record of each key by the index; -1 for keys that are not here."""
+        """First record of each of many keys, by the whole index; -1 for keys that are not here."""
         keys = keys.astype("<i8").view(np.uint64)
         slots = self.index.slots(keys)
         here = slots >= 0
-        here[here] = self.prints[slots[here]] == PerfectHash.fingerprint(keys[here])
-        return np.where(here, self.first[slots] if len(self.first) else -1, -1)
+        here[here] = self.slots["print"][slots[here]] == PerfectHash.fingerprint(keys[here])
+        return np.where(here, self.slots["record"][slots] if self.distinct else -1, -1)
+
+    def find_one(self, key: int) -> int:
+        """First record of a key, -1 if it is not here: reads one place of each level up to the key's own, and one slot."""
+        keys = np.array([key], "<i8").view(np.uint64)
+        for level, words in enumerate(self.words):
+            word, bit = divmod(int(_mix(keys, level)[0]) % (64 * int(words)), 64)
+            bits, before = self._table(self.at_levels[level], PLACE, word, 1)[0].tolist()
+            if bits >> bit & 1:
+                slot = before + (bits & ((1 << bit) - 1)).bit_count()
+                mark, record = self._table(self.at_slots, SLOT, slot, 1)[0].tolist()
+                return record if mark == int(PerfectHash.fingerprint(keys)[0]) else -1
+        return -1
 
     def get(self, key: int) -> list[np.ndarray]:
         """Ids of all records of a key."""
-        record, found = int(self.find(np.array([key]))[0]), []
-        while 0 <= record < self.records and self.key(record) == key:
-            low = self.start(record)
-            data = self._read(low * self.width, (int(self.ends[record]) - low) * self.width)
-            found.append(np.frombuffer(data, f"<u{self.width}"))
+        record, found = self.find_one(key), []
+        while 0 <= record < self.records and self._table(self.at_keys, "<i8", record - self.nulls, 1)[0] == key:
+            low, high = self._table(self.at_ends, "<i8", record - 1, 2) if record else (0, self._table(self.at_ends, "<i8", 0, 1)[0])
+            found.append(np.frombuffer(self._read(int(low) * self.width, int(high - low) * self.width), f"<u{self.width}"))
             record += 1
         return found
 
+    def in_key_order(self) -> np.ndarray:
+        """Numbers of all records: those without key, then those the index gives for each key in turn."""
+        new = np.flatnonzero(np.concatenate([[True], self.keys[1:] != self.keys[:-1]])) if len(self.keys) else np.empty(0, np.int64)
+        counts = np.diff(np.append(new, len(self.keys)))
+        records = np.repeat(self.find(self.keys[new]) - new, counts) + np.arange(len(self.keys))
+        if (records < self.nulls).any() or not np.array_equal(self.keys[records - self.nulls], self.keys):
+            raise ValueError("the index does not lead to the records of its keys")
+        return np.concatenate([np.arange(self.nulls), records])
+
+    def documents(self) -> Iterator[tuple[int, np.ndarray]]:
+        """All records with their ids, as the index gives them; neighbours in the file are read in large pieces."""
+        order, at = self.in_key_order(), 0
+        while at < len(order):
+            low, after = self.start(int(order[at])), at + 1
+            while after < len(order) and order[after] == order[after - 1] + 1 and (int(self.ends[order[after]]) - low) * self.width <= READ:
+                after += 1
+            ids = np.frombuffer(self._read(low * self.width, (int(self.ends[order[after - 1]]) - low) * self.width), f"<u{self.width}")
+            for record in order[at:after].tolist():
+                yield record, ids[self.start(record) - low : int(self.ends[record]) - low]
+            at = after
+
     def close(self) -> None:
         self.file.close()
 
@@ -348,9 +386,6 @@ def read_store(spark: SparkSession, path: str, columns: str, take: Callable[[np.
         for batch in batches:
             for row in batch.to_pylist():
                 shard, found = ShardReader(row["file"]), []
-                known = np.flatnonzero(np.concatenate([[True], shard.keys[1:] != shard.keys[:-1]])) if len(shard.keys) else []
-                if not np.array_equal(shard.find(shard.keys[known]), np.add(known, shard.nulls)):
-                    raise ValueError(f"the index of {row['file']} does not lead to its records")
                 for record, ids in shard.documents():
                     found.append({"doc_id": shard.key(record), "start": row["base"] + shard.start(record), "n_tokens": len(ids)} | take(ids))
                     if len(found) == 1024:

@@ -79,6 +79,45 @@ def test_keyed_access(spark, rows, reference):
     reader.close()
 
 
+def shard(folder, n):
+    rng = np.random.default_rng(n)
+    keys = np.unique(rng.integers(-(2**62), 2**62, n)).tolist()
+    writer = token_store.ShardWriter(f"{folder}/shard-{n}", 2)
+    for i, key in enumerate([None, *keys, keys[-1]]):  # the last key has two records
+        writer.add(key, np.array([i % 50_000] * (i % 5 + 1), "<u2").tobytes())
+    writer.close()
+    return keys, token_store.ShardReader(f"{folder}/shard-{n}")
+
+
+@pytest.mark.parametrize("n", [1, 100, 100_000])
+def test_a_lookup_reads_a_few_places_whatever_the_size(tmp_path, n, monkeypatch):
+    keys, reader = shard(tmp_path, n)
+    read, taken = token_store.ShardReader._read, []
+    monkeypatch.setattr(token_store.ShardReader, "_read", lambda self, at, length: taken.append(length) or read(self, at, length))
+    some = range(0, len(keys) - 1, max(1, len(keys) // 500))
+    for i in some:
+        assert [x.tolist() for x in reader.get(keys[i])] == [[(i + 1) % 50_000] * ((i + 1) % 5 + 1)]
+    if n > 1:
+        assert len(taken) <= 8 * len(some) and sum(taken) <= 128 * len(some)
+    assert [len(x) for x in reader.get(keys[-1])] == [len(keys) % 5 + 1, (len(keys) + 1) % 5 + 1]
+    taken.clear()
+    assert all(reader.get(k) == [] for k in range(2**62, 2**62 + 300))
+    assert sum(taken) <= 300 * 16 * (len(reader.words) + 1) and max(taken) <= 16
+    assert not {"keys", "ends", "slots", "index"} & set(vars(reader))
+    reader.close()
+
+
+def test_whole_read_goes_by_the_index(tmp_path):
+    keys, reader = shard(tmp_path, 2000)
+    assert [reader.key(r) for r, _ in reader.documents()] == [None, *keys, keys[-1]]
+    assert all((reader.find_one(k) == r) for k, r in zip(keys, reader.find(np.array(keys)).tolist(), strict=True))
+    reader.slots = reader.slots.copy()
+    reader.slots["record"][7] += 1  # an index that is wrong is noticed
+    with pytest.raises(ValueError, match="index"):
+        list(reader.documents())
+    reader.close()
+
+
 def test_files_of_failed_tasks_are_not_read(spark, rows, reference, tmp_path):
     path = Scratch(spark, "tokens").path("store")
     token_store.write_store(spark.createDataFrame(rows[:5], SCHEMA), path)

@@ -8,8 +8,9 @@ matched, so a host with a third of all pages costs as much as its distinct paths
 
 Labelled pages that no given rule fits are mined once more by themselves, as the decided ones would outweigh
 them: every token, every whole host, and every host with one more token are counted by aggregation, and
-go with block from ``MIN_PAGES`` blocked pages, whatever share of the table these are; other combinations
-are mined from ``REST_SUPPORT``. These rules are for pages that no given rule fits.
+go with block from ``MIN_PAGES`` blocked pages, whatever share of the table these are; FP-growth mines other
+combinations from ``REST_SUPPORT`` and as many blocked pages (with so few pages it would bring every host to
+the driver). All are matched by the inverted index; these rules are for pages that no given rule fits.
 
 Everything is DataFrame work in the JVM. What FP-growth brings to the driver are frequent single
 tokens: at most (tokens per url) / ``min_support`` of them. Rules are bounded alike.
@@ -100,6 +101,11 @@ def match_rules(sets: DataFrame, rules: DataFrame) -> DataFrame:
     return found.where(F.size(F.array_except("antecedent", "tokens")) == 0).select("tokens").distinct()
 
 
+def with_host(tokens_: Column, host_: Column) -> Column:
+    """The tokens, and the whole host as one more token ``=host``."""
+    return F.when(host_ == "", tokens_).otherwise(F.array_append(tokens_, F.concat(F.lit("="), host_)))
+
+
 def candidates(tokens_: Column, host_: Column) -> Column:
     """Each token, the whole host, and the host with each token."""
     whole = F.concat(F.lit("="), host_)
@@ -108,21 +114,35 @@ def candidates(tokens_: Column, host_: Column) -> Column:
     return F.when(host_ == "", single).otherwise(F.concat(single, F.array(F.array(whole)), both))
 
 
+def count_rules(labelled: DataFrame, scratch: Scratch, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """``antecedent, token`` of the candidates that go with block from ``MIN_PAGES`` blocked pages, whatever share these are.
+
+    ``token`` is the rarer of the antecedent. Two tokens one of which is a rule of its own are left out.
+    """
+    antecedent = F.explode(candidates(F.col("tokens"), F.col("host"))).alias("antecedent")
+    counts = labelled.select(antecedent, (F.col("label") == BLOCK).alias("block")).groupBy("antecedent")
+    counts = counts.agg(F.count(F.lit(1)).alias("n"), F.count_if("block").alias("blocked")).where(F.col("blocked") >= MIN_PAGES)
+    counts = scratch.store(counts, "counts")
+    rule = F.col("blocked") >= F.col("n") * min_confidence
+    single = counts.where(F.size("antecedent") == 1).select(F.col("antecedent")[0].alias("token"), F.col("n").alias("freq"), rule.alias("alone"))
+    parts = counts.where(rule).select("antecedent", F.explode("antecedent").alias("token")).join(single, "token")
+    # both tokens of a frequent pair are frequent, so none is missing here
+    parts = parts.groupBy("antecedent").agg(F.bool_or("alone").alias("alone"), F.min(F.struct("freq", "token"))["token"].alias("token"))
+    return scratch.store(parts.where((F.size("antecedent") == 1) | ~F.col("alone")).select("antecedent", "token"), "simple")
+
+
 def match_rest(known: DataFrame, scratch: Scratch, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """The distinct ``tokens, host`` that a rule from labelled pages without given rule fits, of pages without one."""
     rest = scratch.store(known.where("says IS NULL").select("tokens", "host", "label"), "rest")
-    labelled, sets = rest.where("label IS NOT NULL"), rest.select("tokens", "host").distinct()
-    of_page = F.explode(candidates(F.col("tokens"), F.col("host"))).alias("antecedent")
-    counts = labelled.select(of_page, (F.col("label") == BLOCK).alias("block")).groupBy("antecedent")
-    counts = counts.agg(F.count(F.lit(1)).alias("n"), F.count_if("block").alias("blocked"))
-    simple = counts.where((F.col("blocked") >= MIN_PAGES) & (F.col("blocked") >= F.col("n") * min_confidence)).select("antecedent")
-    found = sets.select("tokens", "host", of_page).join(scratch.store(simple, "simple"), "antecedent").select("tokens", "host")
-    n = labelled.count()
-    if n >= MIN_PAGES:
-        mined = mine_rules(labelled, scratch, max(REST_SUPPORT, MIN_PAGES / n), min_confidence)
-        more = match_rules(sets.select("tokens").distinct(), mined)
-        found = found.unionByName(sets.join(scratch.store(more, "more"), "tokens", "left_semi"))
-    return scratch.store(found.distinct(), "found")
+    labelled = rest.where("label IS NOT NULL")
+    n = max(labelled.count(), 1)
+    least = max(REST_SUPPORT, (MIN_PAGES - 0.5) / n)  # half a page less: FP-growth rounds the count up
+    mined = mine_rules(labelled, scratch, min(1.0, least), min_confidence).where(F.col("support") * n > MIN_PAGES - 0.5)
+    rules = mined.select("antecedent", "token").unionByName(count_rules(labelled, scratch, min_confidence))
+    sets = rest.select("tokens", "host").distinct().withColumn("all", with_host(F.col("tokens"), F.col("host")))
+    fits = match_rules(sets.select(F.col("all").alias("tokens")), scratch.store(rules.distinct(), "rest_rules"))
+    found = sets.join(fits.withColumnRenamed("tokens", "all"), "all", "left_semi")
+    return scratch.store(found.select("tokens", "host"), "found")
 
 
 def judge(

@@ -225,3 +225,37 @@ def test_bad_host_below_a_hundredth_of_the_pages_is_blocked(spark):
     marks = [(i, "bad" in u or "few" in u) for i, u in enumerate(urls[:104]) if i not in range(6, 10)]
     got = {r.key: r.verdict for r in url_filter.judge(pages, spark.createDataFrame(marks, "key bigint, block boolean")).collect()}
     assert got == {i: "block" if "bad" in u else "allow" for i, u in enumerate(urls)}
+
+
+def plain_rest(urls, toxic, confidence=0.9):
+    """Urls that no given rule fits and a rule of such urls blocks, with every combination of tokens counted."""
+    rest = [(u, mark) for u, mark in zip(urls, toxic, strict=True) if plain_rule(*plain_parts(u)[:2])[1] is None]
+    known, counts = [(u, mark) for u, mark in rest if mark is not None], {}
+    for url, mark in known:
+        tokens, host = plain_tokens(url), plain_parts(url)[0]
+        for some in [c for n in range(1, len(tokens) + 1) for c in itertools.combinations(sorted(tokens), n)] + [("=" + host,)] * bool(host) + [("=" + host, t) for t in tokens if host]:
+            both = counts.setdefault(some, [0, 0])
+            both[0] += 1
+            both[1] += mark
+    least = {True: 5, False: max(5, math.ceil(0.001 * len(known)))}
+    rules = [set(c) for c, (n, b) in counts.items() if b >= least[len(c) == 1 or c[0][0] == "="] and b / n >= confidence]
+    return {u for u, _ in rest if any(r <= plain_tokens(u) | {"=" + plain_parts(u)[0]} for r in rules)}
+
+
+@pytest.mark.parametrize("n", [3, 60, 6000])
+def test_rules_of_undecided_pages_agree_with_counting(spark, n):
+    rng = np.random.default_rng(n)
+    urls, toxic = [], []
+    for i in range(n):
+        host = "hot.org" if i % 3 == 0 else f"{'abc'[rng.integers(3)]}.s{int(rng.zipf(1.3)) % 40}.org"
+        words = rng.choice(["win", "free", "news", "blog", "x"], 2)
+        urls.append(f"http://{host}/{words[0]}/{words[1]}-{i}?k{rng.integers(3)}=1")
+        bad = "a.s1." in host or ("b.s2." in host and "win" in words) or {"win", "free"} <= set(words) or "k2" in urls[-1] and "blog" in words and host == "hot.org"
+        toxic.append(None if rng.random() < 0.2 else bool(bad) != (rng.random() < 0.02))
+    pages = spark.createDataFrame(list(enumerate(urls)), "key bigint, url string")
+    marks = spark.createDataFrame([(i, t) for i, t in enumerate(toxic) if t is not None], "key bigint, block boolean")
+    whole = plain_verdicts(urls, toxic)
+    rest = plain_rest(urls, toxic)
+    got = {r.key: r.verdict for r in url_filter.judge(pages, marks).collect()}
+    assert got == {i: "block" if w[3] == "block" or u in rest else "allow" for i, (u, w) in enumerate(zip(urls, whole, strict=True))}
+    assert n < 1000 or len(rest) > n / 100

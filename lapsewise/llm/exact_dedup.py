@@ -7,7 +7,7 @@ smallest identifier, the locator of its row, and the number of rows. There is no
 stay for good; :func:`add_documents` on the same folder, in a later session too, goes on from them.
 A locator is the content file and the position of the row in it, so it stays right for good and leads to
 the bytes. Every task folds its own arrivals first, so of a group that holds a third of all rows one row
-per task reaches the state. On hits (groups of two rows and more) the row that stays is fetched by its
+per task reaches the state. On hits (groups of two rows and more) the row that stays is told by its
 locator, and the whole normalised bytes of each other row are compared with it; rows that differ in
 spite of equal digests form groups of their own, by their bytes' own SHA-256.
 
@@ -144,11 +144,12 @@ def _torn(spark: SparkSession, store: str, entries: DataFrame, scratch: Scratch,
     """The ``digest`` of groups in which some row's bytes differ from those of the row that stays."""
     kind = StructType.fromDDL(f"`{text}` string")
     rows = read_content(spark, f"{store}/content", kind).select("digest", "file", "place", normalised(F.col(f"row.`{text}`")).alias("plain"))
-    hits = entries.where("group_size > 1")
-    stays = rows.join(hits.select(F.col("keep_file").alias("file"), F.col("keep_place").alias("place")), ["file", "place"])
-    stays = scratch.store(stays.select("digest", F.col("plain").alias("stays")), "stays")
-    torn = scratch.store(rows.join(stays, "digest").where("plain != stays").select("digest").distinct(), "torn")
-    scratch.drop("stays")
+    hits = rows.join(entries.where("group_size > 1").select("digest", "keep_file", "keep_place"), "digest")
+    stay = (F.col("file") == F.col("keep_file")) & (F.col("place") == F.col("keep_place"))
+    hits = scratch.store(hits.select("digest", "plain", stay.alias("stay")), "hits")
+    stays = scratch.store(hits.where("stay").select("digest", F.col("plain").alias("stays")), "stays")
+    torn = scratch.store(hits.where("NOT stay").join(stays, "digest").where("plain != stays").select("digest").distinct(), "torn")
+    scratch.drop("hits", "stays")
     return torn
 
 

@@ -12,6 +12,17 @@ PADDED_COMPANIES = ("07", "59", "01", "81", "76", "57")
 POLICY_WIDTH = 11
 OPEN_END = "9999-12-01"
 
+# --- Fixed values: columns of the portfolio tables -------------------------------------
+CARRIED = (
+    "identifiantrce", "contratactif", "libcsp", "top_mar_part", "top_mar_prope", "top_mar_ent",
+    "precisionsystemeorigine", "libformejuridique", "formejuridique", "rce_lib_produit",
+)
+COLLECTOR_CONTRACT = (
+    "cdcompagnie", "cdappli", "cdproduit", "nucontra", "cdciegen", "idintermagi", "idinterm", "dtsaisie",
+    "idsouscragi", "dtsouscr", "dteffet", "dtterme", "cdtypterme", "cdsituat", "dtsituat", "lbsouscr",
+)
+COLLECTOR_PRODUCT = ("cdcompagnie", "cdappli", "cdproduit", "lbproduit", "lbcommercial", "cdcollindiv")
+
 # --- Fixed values: product scopes -----------------------------------------------------
 LINE_PATTERN_COLLECTOR = "SANTéIS"
 LINE_PATTERN_BASE = "SANTEIS"

@@ -13,16 +13,6 @@ from lapsewise.operators.joins import add_reference, match_distinct
 from lapsewise.operators.snapshots import keep_latest
 from lapsewise.sources.tables import snapshot
 
-CARRIED = (
-    "identifiantrce", "contratactif", "libcsp", "top_mar_part", "top_mar_prope", "top_mar_ent",
-    "precisionsystemeorigine", "libformejuridique", "formejuridique", "rce_lib_produit",
-)
-COLLECTOR_CONTRACT = (
-    "cdcompagnie", "cdappli", "cdproduit", "nucontra", "cdciegen", "idintermagi", "idinterm", "dtsaisie",
-    "idsouscragi", "dtsouscr", "dteffet", "dtterme", "cdtypterme", "cdsituat", "dtsituat", "lbsouscr",
-)
-COLLECTOR_PRODUCT = ("cdcompagnie", "cdappli", "cdproduit", "lbproduit", "lbcommercial", "cdcollindiv")
-
 
 def base_contracts(contracts: DataFrame, partition: str) -> DataFrame:
     """Contracts in scope, with the policy number."""
@@ -66,13 +56,13 @@ def add_validity(contracts: DataFrame, validity: DataFrame, partition: str, carr
 
 
 def collector_products(
-    contracts: DataFrame, products: DataFrame, partition: str, columns: Sequence[str] = COLLECTOR_CONTRACT
+    contracts: DataFrame, products: DataFrame, partition: str, columns: Sequence[str] = fv.COLLECTOR_CONTRACT
 ) -> DataFrame:
     """Latest import of each life-collector contract with its individual product."""
     latest = keep_latest(snapshot(contracts, partition).select(*columns, "cdlotimport"), ["nucontra"], "cdlotimport")
     individual = snapshot(products, partition).where(F.col("cdcollindiv") == fv.INDIVIDUAL_PRODUCT)
     matched = match_distinct(
-        latest.select(*columns), individual.select(*COLLECTOR_PRODUCT), ["cdcompagnie", "cdappli", "cdproduit"]
+        latest.select(*columns), individual.select(*fv.COLLECTOR_PRODUCT), ["cdcompagnie", "cdappli", "cdproduit"]
     )
     return matched.select(
         F.col("nucontra").alias("identifiant"),
@@ -90,8 +80,8 @@ def load_portfolio(
     collector_contracts: DataFrame,
     collector_product_table: DataFrame,
     partition: str,
-    carried: Sequence[str] = CARRIED,
-    collector_columns: Sequence[str] = COLLECTOR_CONTRACT,
+    carried: Sequence[str] = fv.CARRIED,
+    collector_columns: Sequence[str] = fv.COLLECTOR_CONTRACT,
 ) -> DataFrame:
     """Contracts of one snapshot with start, end, product reference and collector product."""
     base = add_validity(base_contracts(contracts, partition), validity, partition, carried)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -60,6 +61,28 @@ def test_language_of_held_out_documents(spark):
     assert len(out) > 150 and np.mean(out) > 0.97
 
 
+def test_language_of_every_document(spark):
+    """The whole result by plain sums: prototypes of the documents not held out, the nearest of them to each text."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.select("doc_id", "text", "lang").collect()
+    plain = {r.doc_id: plain_vector(r.text) for r in rows if any(c.isalpha() for c in r.text or "")}
+    sums = {}
+    for r in rows:
+        if r.lang is not None and r.doc_id in plain and crc(r.doc_id) % 4 != 2:
+            sums[r.lang] = sums.get(r.lang, 0) + plain[r.doc_id]
+    names = sorted(sums)
+    prototypes = np.stack([sums[n] / np.linalg.norm(sums[n]) for n in names])
+    got = language_id.language_report(docs).collect()
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in rows)
+    for r in got:
+        assert r.held_out == (crc(r.doc_id) % 4 == 2)
+        if r.doc_id not in plain:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        cosine = prototypes @ plain[r.doc_id]
+        assert cosine[names.index(r.lang_pred)] >= cosine.max() - 1e-5 and r.score == pytest.approx(max(0.0, cosine.max()), abs=2e-5)
+
+
 def test_language_of_odd_rows(spark):
     schema = "doc_id bigint, text string, lang string, score string"
     rows = [(i, t, g, "x") for i, (t, g) in enumerate([("der die das und", "de"), ("the of and to", "en")] * 8)]
@@ -126,6 +149,44 @@ def test_quality_of_held_out_documents(spark):
     assert kept.columns == docs.columns and kept.count() == report.where("predicted = 1").count()
 
 
+def plain_statistics(text):
+    text = text or ""
+    words, chars = re.findall(r"[^\x20\x09-\x0D]+", text), len(text)
+
+    def share(part, of):
+        return part / of if of else 0.0
+
+    return {
+        "words": len(words),
+        "word_length": share(chars, len(words)),
+        "distinct_words": share(len(set(re.split(r"[\x20\x09-\x0D]+", text.lower()))), len(words)),
+        "upper": share(sum(unicodedata.category(c) == "Lu" for c in text), chars),
+        "digits": share(sum(c in "0123456789" for c in text), chars),
+        "stops": share(sum(c in ".,;:" for c in text), len(words)),
+        "loud": share(sum(c in "!?" for c in text), len(words)),
+        "symbols": share(sum(c in "#$%&*+=<>@^~_\\{}[]" for c in text), len(words)),
+        "bars": share(sum(c in "|/" for c in text), len(words)),
+        "lines": share(text.count("\n"), len(words)),
+    }
+
+
+def test_quality_of_every_document(spark):
+    """The whole result by adding up the learned rules text by text; labels of held-out documents change nothing."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.learn(docs.select("doc_id", "text"), labels)
+    assert model.rules
+    texts = dict(docs.select("doc_id", "text").collect())
+    turned = F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality"))
+    got = quality.quality_report(docs, labels.withColumn("quality", turned)).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        found, total = plain_statistics(texts[r.doc_id]), model.intercept
+        for rule, weight in model.rules:
+            total += weight * all(found[n] <= v if upper else found[n] > v for n, upper, v in rule.bounds)
+        score = 1 / (1 + math.exp(-total))
+        assert r.held_out == (crc(r.doc_id) % 5 == 0) and r.score == pytest.approx(score, abs=1e-9) and r.predicted == (r.score >= 0.3)
+
+
 def test_quality_of_odd_rows(spark):
     schema = "doc_id bigint, text string, words string, score string"
     docs = spark.createDataFrame([(1, None, "x", "y"), (1, "", "x", "y"), (None, "some text", "x", "y"), (2, "w! " * 100_000, "x", "y")], schema)

@@ -141,14 +141,17 @@ def add_documents(
 
 
 def _torn(spark: SparkSession, store: str, entries: DataFrame, scratch: Scratch, text: str) -> DataFrame:
-    """The ``digest`` of groups in which some row's bytes differ from those of the row that stays."""
+    """The ``digest`` of each row whose bytes differ from those of the row that stays; repeats are left to the caller's joins.
+
+    Nothing is counted by digest behind the join, so that Spark splits the hits of a hot digest at run time.
+    """
     kind = StructType.fromDDL(f"`{text}` string")
     rows = read_content(spark, f"{store}/content", kind).select("digest", "file", "place", normalised(F.col(f"row.`{text}`")).alias("plain"))
     hits = rows.join(entries.where("group_size > 1").select("digest", "keep_file", "keep_place"), "digest")
     stay = (F.col("file") == F.col("keep_file")) & (F.col("place") == F.col("keep_place"))
     hits = scratch.store(hits.select("digest", "plain", stay.alias("stay")), "hits")
     stays = scratch.store(hits.where("stay").select("digest", F.col("plain").alias("stays")), "stays")
-    torn = scratch.store(hits.where("NOT stay").join(stays, "digest").where("plain != stays").select("digest").distinct(), "torn")
+    torn = scratch.store(hits.where("NOT stay").join(stays, "digest").where("plain != stays").select("digest"), "torn")
     scratch.drop("hits", "stays")
     return torn
 

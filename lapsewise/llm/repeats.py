@@ -4,7 +4,8 @@
 2. Candidates. Every window of 50 bytes has a key, the smallest hash of its 25-byte strings, so equal windows
    have equal keys. Neighbouring windows mostly share their key and form a chunk of some 13. Each task lists the keys of its documents, once each, in 6 bytes; a key that two documents have
    is sent back to the tasks that listed it, through one of their documents.
-3. Chunks with such a key are written out: their place, and once for each task their bytes.
+3. Chunks with such a key are written out: their place, and once for each task their bytes (again after ``SEEN``
+   different ones, so that what a task remembers is bounded).
 4. Suffix sorting. Chunks with the same key come together. Equal ones are collapsed to the first document that
    has them; the suffixes of different ones are sorted in two stages (:mod:`suffixes`) and the common
    prefixes of neighbours tell which windows are equal. Keys with more than ``CHUNKS`` chunks are not sorted
@@ -39,6 +40,7 @@ BUFFER = 1 << 18
 KEYS = 1 << 21
 SORTED = 1 << 18
 CHUNKS = 1 << 14
+SEEN = 1 << 19
 LAST = 2**63 - 1
 
 
@@ -163,37 +165,42 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from out(homes, lists)
 
 
-def _write_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks of shared keys; their bytes where the task meets them first. Rows that bring keys come first."""
-    shared, lists, seen = None, [], {}
-    for rows, data in _buffers(batches):
-        lists += [_six(b) for blobs in rows.column("keys").to_pylist() if blobs for b in blobs]
-        if shared is None or lists:
-            shared = np.unique(np.concatenate([*lists, *([shared] if shared is not None else []), np.empty(0, np.uint64)]))
-            lists = []
-        text, start, windows, key = chunks(data)
-        short = key & ~np.uint64(0xFFFF)
-        at = np.minimum(np.searchsorted(shared, short), max(0, len(shared) - 1))
-        hit = shared[at] == short if len(shared) else np.zeros(len(key), bool)
-        text, start, windows, key = text[hit], start[hit], windows[hit], key[hit]
-        if not len(key):
-            continue
-        ids, raw = np.empty(len(key), np.uint64), []
-        orders = rows.column("ord").to_numpy()[text].tolist()
-        for i, (t, a, n, k, o) in enumerate(zip(text.tolist(), start.tolist(), windows.tolist(), key.tolist(), orders, strict=True)):
-            content = data[t][a : a + n + DEPTH - 1]
-            ids[i] = number = xxhash.xxh64_intdigest(content)
-            before = seen.get((k, number))
-            if before is None or o < before:  # rows come in order but for those that bring keys
-                seen[k, number] = o
-                raw.append(content)
-            else:
-                raw.append(None)
-        arrays = [
-            pa.array(key.view(np.int64)), pa.array(ids.view(np.int64)), rows.column("ord").take(pa.array(text)), rows.column("uid").take(pa.array(text)),
-            pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(raw, pa.binary()),
-        ]
-        yield pa.RecordBatch.from_arrays(arrays, names=["key", "chunk", "ord", "uid", "start", "windows", "bytes"])
+def _write_chunks(most: int):
+    def write_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Chunks of shared keys; their bytes where the task meets them first, or again after ``most`` others. Rows that bring keys come first."""
+        shared, lists, seen = None, [], {}
+        for rows, data in _buffers(batches):
+            lists += [_six(b) for blobs in rows.column("keys").to_pylist() if blobs for b in blobs]
+            if shared is None or lists:
+                shared = np.unique(np.concatenate([*lists, *([shared] if shared is not None else []), np.empty(0, np.uint64)]))
+                lists = []
+            text, start, windows, key = chunks(data)
+            short = key & ~np.uint64(0xFFFF)
+            at = np.minimum(np.searchsorted(shared, short), max(0, len(shared) - 1))
+            hit = shared[at] == short if len(shared) else np.zeros(len(key), bool)
+            text, start, windows, key = text[hit], start[hit], windows[hit], key[hit]
+            if not len(key):
+                continue
+            ids, raw = np.empty(len(key), np.uint64), []
+            orders = rows.column("ord").to_numpy()[text].tolist()
+            for i, (t, a, n, k, o) in enumerate(zip(text.tolist(), start.tolist(), windows.tolist(), key.tolist(), orders, strict=True)):
+                content = data[t][a : a + n + DEPTH - 1]
+                ids[i] = number = xxhash.xxh64_intdigest(content)
+                before = seen.get((k, number))
+                if before is None or o < before:  # rows come in order but for those that bring keys
+                    if len(seen) >= most:
+                        seen.clear()  # bytes written again meet their equals in the next step
+                    seen[k, number] = o
+                    raw.append(content)
+                else:
+                    raw.append(None)
+            arrays = [
+                pa.array(key.view(np.int64)), pa.array(ids.view(np.int64)), rows.column("ord").take(pa.array(text)), rows.column("uid").take(pa.array(text)),
+                pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(raw, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "chunk", "ord", "uid", "start", "windows", "bytes"])
+
+    return write_chunks
 
 
 def _sort_suffixes(crowded: int):
@@ -327,7 +334,7 @@ def covered_windows(rows: DataFrame, scratch: Scratch, crowded: int = CHUNKS) ->
     told = rows.join(shared, rows["uid"] == shared["home"], "left").sortWithinPartitions(F.col("keys").isNull(), "ord")
     kinds = "key bigint, chunk bigint, ord bigint, uid binary, start int, windows int, bytes binary"
     with _as_dealt(spark):
-        found = scratch.store(told.select("uid", "ord", "packed", "keys").mapInArrow(_write_chunks, kinds), "chunks")
+        found = scratch.store(told.select("uid", "ord", "packed", "keys").mapInArrow(_write_chunks(SEEN), kinds), "chunks")
     listed = found.where("bytes IS NOT NULL").select("key", "chunk", "ord", "bytes").repartition(parts, "key").sortWithinPartitions("key", "chunk")
     kinds = "key bigint, chunk bigint, first bigint, mask bigint, bytes binary"
     firsts = scratch.store(listed.mapInArrow(_sort_suffixes(crowded), kinds), "sorted")

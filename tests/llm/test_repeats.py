@@ -99,7 +99,7 @@ def test_run_time_changes_of_partitions_lose_nothing(spark):
 
 def test_small_buffers_give_the_same(spark, monkeypatch):
     few = rows()[:50]
-    for name, value in (("BUFFER", 300), ("KEYS", 50), ("SORTED", 500)):
+    for name, value in (("BUFFER", 300), ("KEYS", 50), ("SORTED", 500), ("SEEN", 3)):
         monkeypatch.setattr(repeats, name, value)
     assert sorted(map(tuple, repeats.repeat_report(spark.createDataFrame(few, SCHEMA)).collect()), key=str) == plain_report(few)
 

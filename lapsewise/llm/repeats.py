@@ -307,18 +307,14 @@ def _identity(key: Column, sha: Column) -> Column:
 
 
 @contextmanager
-def _as_dealt(spark: SparkSession) -> Iterator[None]:
-    """Jobs run inside keep the partitions they were planned with.
-
-    Keys come back to the partition whose documents listed them; run-time merging or splitting of
-    partitions would part the two.
-    """
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Jobs planned inside have the setting."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def covered_windows(rows: DataFrame, scratch: Scratch, crowded: int = CHUNKS) -> DataFrame:
@@ -333,7 +329,7 @@ def covered_windows(rows: DataFrame, scratch: Scratch, crowded: int = CHUNKS) ->
     shared = listed.mapInArrow(_shared_keys, "home binary, keys binary").groupBy("home").agg(F.collect_list("keys").alias("keys"))
     told = rows.join(shared, rows["uid"] == shared["home"], "left").sortWithinPartitions(F.col("keys").isNull(), "ord")
     kinds = "key bigint, chunk bigint, ord bigint, uid binary, start int, windows int, bytes binary"
-    with _as_dealt(spark):
+    with _setting(spark, "spark.sql.adaptive.enabled", "false"):  # keys come back to the partition that listed them, as it was dealt
         found = scratch.store(told.select("uid", "ord", "packed", "keys").mapInArrow(_write_chunks(SEEN), kinds), "chunks")
     listed = found.where("bytes IS NOT NULL").select("key", "chunk", "ord", "bytes").repartition(parts, "key").sortWithinPartitions("key", "chunk")
     kinds = "key bigint, chunk bigint, first bigint, mask bigint, bytes binary"
@@ -351,8 +347,14 @@ def covered_windows(rows: DataFrame, scratch: Scratch, crowded: int = CHUNKS) ->
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", crowded: int = CHUNKS) -> DataFrame:
     """``doc_id, n_bytes, spans, kept, sha`` of every row: spans are removed byte ranges, ``kept`` the bytes left.
 
-    ``kept`` is null where nothing was removed; ``sha`` is the digest of the whole text, in hex.
+    ``kept`` is null where nothing was removed; ``sha`` is the digest of the whole text, in hex. The shuffle files of
+    each job go when it ends, as all jobs here write tables that are read once more.
     """
+    with _setting(docs.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        return _remove_repeats(docs, text, key, crowded)
+
+
+def _remove_repeats(docs: DataFrame, text: str, key: str, crowded: int) -> DataFrame:
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "repeats")
     plain = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), plain.alias("text")).withColumn("sha", F.sha2("text", 256))

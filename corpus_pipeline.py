@@ -31,7 +31,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: 5-word shingles, similarity 0.8 or more."""
+    """One document of each group of near copies: candidates by SimHash and MinHash, 5-word shingles, similarity 0.8 or more."""
     return similar.near_dedup(docs)
 
 

@@ -1,13 +1,15 @@
-"""Near copies by the Jaccard similarity of word shingles: candidates by MinHash bands, links verified exactly.
+"""Near copies by the Jaccard similarity of word shingles: candidates by SimHash fingerprints, then MinHash bands; links verified exactly.
 
 Documents link when the sets of their 5-word shingles (ASCII letters in lower case) have a similarity of
-0.8 or more. Equal sets are one. Each set has ``BANDS`` keys, each of ``ROWS`` minima of its hashes; two
+0.8 or more. Equal sets are one. The first candidates are those of ``simhash``: texts whose fingerprints are
+equal, or linked through their Golay codeword indices. Fingerprints of sets at 0.8 differ in about 10 of 64 bits, more
+than those links reach, so each set also has ``BANDS`` keys, each of ``ROWS`` minima of its hashes; two
 sets of similarity s share none with probability (1 - s^5)^32, which is 0.000003 at 0.8 and less above.
-That is the only loss: every pair that shares a key is verified on the whole sets or already joined
-by verified links.
+That is the only loss, for pairs the fingerprints miss too: every pair that shares a key is verified on the whole sets or
+already joined by verified links.
 
-Links. A large group of copies shares most keys, so links are found in rounds: first neighbours within the
-buckets of a few bands, then neighbours among the groups found so far within all buckets. What is left are buckets
+Links. A large group of copies shares most keys, so links are found in rounds: first by the fingerprints and by neighbours
+within the buckets of a few bands, then neighbours among the groups found so far within all buckets. What is left are buckets
 in which several groups still meet. Their members go to a task with their whole sets, and each is compared there
 with all not yet reached, so that a bucket gives a spanning set of verified links and no pair is ever written. A bucket of
 more than ``HELD`` hashes is cut into blocks, and done pair of blocks by pair of blocks in tasks of their own.
@@ -133,6 +135,19 @@ def _neighbours(members: DataFrame) -> DataFrame:
     return after.where(F.col("v").isNotNull() & _alike("n", "m")).select("u", "v").distinct()
 
 
+def _fingerprint_pairs(prints: DataFrame, scratch: Scratch) -> DataFrame:
+    """Sets of one fingerprint as a chain, and one set of each of two linked fingerprints, where their sizes allow a link."""
+    marked = scratch.store(prints.where("n > 0").select(F.col("fingerprint").alias("key"), "print", "n").distinct(), "sets")
+    one = marked.groupBy("key").agg(F.min(F.struct("print", "n")).alias("one"))
+    one = scratch.store(one.select("key", "one.print", "one.n"), "one")
+    linked = scratch.store(simhash.links(one.select(F.col("key").alias("print")), scratch), "links")
+    a = one.select(F.col("key").alias("u"), F.col("print").alias("a"), "n")
+    b = one.select(F.col("key").alias("v"), F.col("print").alias("b"), F.col("n").alias("m"))
+    across = linked.join(a, "u").join(b, "v").where((F.col("a") != F.col("b")) & _alike("n", "m"))
+    across = across.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+    return _neighbours(marked).unionByName(across).distinct()
+
+
 def spanning_links(prints: list[str], groups: np.ndarray, sizes: np.ndarray, hashes: np.ndarray) -> list[tuple[str, str]]:
     """Links of similar sets that join what such links join; ``hashes`` holds one set after the other.
 
@@ -199,14 +214,18 @@ def _within(members: DataFrame, sets: DataFrame, scratch: Scratch, held: int) ->
 
 
 def classes(prints: DataFrame, texts: DataFrame, scratch: Scratch, held: int = HELD) -> DataFrame:
-    """``print, root, component_id`` of every set in ``doc_id, mark, print, n, keys``; ``texts`` has ``mark, text``."""
+    """``print, root, component_id`` of every set in ``doc_id, mark, print, n, keys, fingerprint``; ``texts`` has ``mark, text``."""
     spark = prints.sparkSession
+    near = Scratch(spark, "similar-fingerprints")
+    pairs = scratch.store(_fingerprint_pairs(prints, near), "fingerprint-pairs")
+    near.drop("sets", "one", "bucket-links", "links")
     each = scratch.store(prints.groupBy("print").agg(F.min("doc_id").alias("first"), F.min("mark").alias("mark")), "prints")
     members = prints.select("print", "n", F.posexplode("keys").alias("band", "key")).distinct()
     members = scratch.store(members, "members")
     shared = scratch.store(members.groupBy("key").count().where("count > 1").select("key"), "shared")
     members = scratch.store(members.join(shared, "key", "left_semi"), "candidates")
-    marks = scratch.store(each.join(members.select("print").distinct(), "print", "left_semi").select("mark").distinct(), "marks")
+    asked = members.select("print").unionByName(pairs.select(F.explode(F.array("u", "v")).alias("print"))).distinct()
+    marks = scratch.store(each.join(asked, "print", "left_semi").select("mark").distinct(), "marks")
     sets = texts.join(marks, "mark", "left_semi").select("text").mapInArrow(_sets, "print string, hashes binary")
     sets = scratch.store(sets.groupBy("print").agg(F.any_value("hashes").alias("hashes")), "sets")
 
@@ -215,7 +234,7 @@ def classes(prints: DataFrame, texts: DataFrame, scratch: Scratch, held: int = H
         a, b = (sets.select(F.col("print").alias(p), F.col("hashes").alias(h)) for p, h in (("u", "a"), ("v", "b")))
         return scratch.store(pairs.join(b, "v").join(a, "u").select("u", "v", "a", "b").mapInArrow(_verified, LINKS), name)
 
-    links = verified(_neighbours(members.where(F.col("band") < FIRST_BANDS)), "first-links")
+    links = verified(pairs.unionByName(_neighbours(members.where(F.col("band") < FIRST_BANDS))).distinct(), "first-links")
     rest = _grouped(members, links, Scratch(spark, "similar-groups"))
     one = rest.groupBy("key", "group").agg(F.min(F.struct("print", "n")).alias("one")).select("key", "one.print", "one.n")
     links = links.unionByName(verified(_neighbours(one), "group-links"))
@@ -229,7 +248,9 @@ def near_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     """One document of each group, that with the smallest identifier, in the columns they came with."""
     scratch, row = Scratch(docs.sparkSession, "similar"), as_row(docs)
     mark = F.xxhash64(f"__row.{text}")
-    named = row.select(F.col(f"__row.{key}").alias("doc_id"), mark.alias("mark"), sketches(f"__row.{text}").alias("s")).select("doc_id", "mark", "s.*")
-    prints = scratch.store(named, "documents")
+    named = row.select(
+        F.col(f"__row.{key}").alias("doc_id"), mark.alias("mark"), sketches(f"__row.{text}").alias("s"), simhash.fingerprints(f"__row.{text}").alias("fingerprint")
+    )
+    prints = scratch.store(named.select("doc_id", "mark", "s.*", "fingerprint"), "documents")
     texts = row.select(mark.alias("mark"), F.col(f"__row.{text}").alias("text"))
     return simhash.smallest(row, prints.select("doc_id", "print"), classes(prints, texts, scratch), prints_of, scratch, text, key)

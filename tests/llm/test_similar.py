@@ -5,9 +5,11 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lapsewise.llm import similar
+from lapsewise.llm import similar, simhash
+from lapsewise.sources.workspace import Scratch
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, `print` string, n int"
@@ -76,6 +78,23 @@ def test_whole_table(spark):
     assert sorted(r.doc_id for r in similar.near_dedup(docs).collect()) == expected
 
 
+def test_fingerprints_link_without_the_other_keys(spark):
+    rng, rows = random.Random(21), []
+    for group in range(12):
+        words = [f"f{rng.randrange(10**6)}" for _ in range(900)]
+        rows += [(10 * group, " ".join(words)), (10 * group + 1, " ".join(changed(words, 2, rng))), (10 * group + 2, " ".join(words).upper() + " end")]
+    prints = {i: simhash.fingerprint(t) for i, t in rows}
+    near = {i for i in prints if i % 10 and (prints[i] ^ prints[i - i % 10]).bit_count() <= 4}
+    assert len(near) >= 12
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marked = docs.select("doc_id", F.xxhash64("text").alias("mark"), similar.sketches("text").alias("s"), simhash.fingerprints("text").alias("fingerprint"))
+    marked = marked.select("doc_id", "mark", "s.print", "s.n", F.array().cast("array<bigint>").alias("keys"), "fingerprint")
+    classes = similar.classes(marked, docs.select(F.xxhash64("text").alias("mark"), "text"), Scratch(spark, "t"))
+    found = {r.doc_id: r.component_id for r in marked.join(classes, "print").collect()}
+    assert all(found[i] == i - i % 10 for i in near)
+    assert all(found[i] // 10 == i // 10 for i in found)
+
+
 def star(copies, rng):
     """Copies of one text, each like it but hardly like one another."""
     words = [f"s{i}" for i in range(200)]

@@ -3,10 +3,10 @@
 Distinct counts are taken in two combining steps, first per id and then per group.
 Nothing is expanded once per flag and no group's ids meet in one task.
 
-``stock`` and ``terminations`` read a monthly portfolio. ``stock_of_spans`` and
-``terminations_of_spans`` give the same results from the spans themselves: the active
-months of an id are bits of a number, ``bit_or`` merges its versions, and equal bit
-patterns are counted before any month is spelled out.
+The active months of an id are bits of a number, ``bit_or`` merges its rows, and equal
+bit patterns are counted before any month is spelled out. ``stock`` and ``terminations``
+take the bits from contract-months or lists of months; ``stock_of_spans`` and ``terminations_of_spans``
+give the same results from the spans themselves.
 """
 
 from __future__ import annotations
@@ -56,17 +56,61 @@ def _expressions(*texts: str) -> list:
     return [F.expr(t) for t in texts]
 
 
+def _in_bits(monthly: DataFrame, period: str, leaving: bool) -> DataFrame:
+    """Add the periods of a row as ``__bits`` of the word ``__word``, and those of them in which it leaves as ``__left``."""
+    if "months" in monthly.columns:
+        if period != "month":
+            raise ValueError("lists of months are counted by month")
+        rows = monthly.selectExpr("*", f"explode(sequence(months[0] div {WORD}, element_at(months, -1) div {WORD})) as __word")
+        bit = f"shiftleft(1L, cast(m % {WORD} as int))"
+        rows = rows.selectExpr("*", f"aggregate(months, 0L, (b, m) -> if(m div {WORD} = __word, b | {bit}, b)) as __bits")
+        if leaving:
+            rows = rows.selectExpr("*", f"{_number('exit_month', period)} as m").selectExpr("*", f"if(m div {WORD} = __word, __bits & {bit}, 0L) as __left")
+        return rows
+    rows = monthly.selectExpr("*", f"{_number(period, period)} as __number")
+    # a missing period is one of its own
+    rows = rows.selectExpr("*", f"__number div {WORD} as __word", f"coalesce(shiftleft(1L, cast(__number % {WORD} as int)), 1L) as __bits")
+    return rows.selectExpr("*", f"if({period} = exit_{period}, __bits, 0L) as __left") if leaving else rows
+
+
+def _number(text: str, period: str) -> str:
+    year = f"cast(substr({text}, 1, 4) as int)"
+    return f"({year} * 12 + cast(substr({text}, 5, 2) as int) - 1)" if period == "month" else year
+
+
+def _by_period(rows: DataFrame, period: str, by: Sequence[str], marks: dict[str, str], names: Names) -> DataFrame:
+    """Of each period and group the ``kind`` and number ``ids`` of the ids with equal ``marks`` (0 or 1), given as bits.
+
+    The periods of an id travel as bits, so that one row per id and group is shuffled, not one per month.
+    """
+    marks = {"here": "__bits", **marks}
+    rows = rows.selectExpr(*by, "__word", *[f"{bits} as {m}" for m, bits in marks.items()], _ids(names))
+    keys = [*by, "__word", "kind"]
+    per_id = rows.groupBy(*keys, "id").agg(*_expressions(*[f"bit_or({m}) as {m}" for m in marks]))
+    alike = per_id.groupBy(*keys, *marks).agg(F.count("id").alias("ids"))
+    spelled = alike.selectExpr("*", f"explode(sequence(0, {WORD - 1})) as __at").where("shiftright(here, __at) & 1 = 1")
+    at = F.expr(f"__word * {WORD} + __at")
+    text = month_key_of_number(at) if period == "month" else F.lpad(at.cast("string"), 4, "0")
+    bits = [f"cast(shiftright({m}, __at) & 1 as int) as {m}" for m in marks if m != "here"]
+    return spelled.select(text.alias(period), *by, "kind", "ids", *_expressions(*bits))
+
+
+def _counted(kind: str, mark: str) -> str:
+    """Ids of a kind with a mark, from rows of ids with equal marks."""
+    return f"sum(if(kind = '{kind}', ids * {mark}, 0))"
+
+
 def stock(monthly: DataFrame, flags: Sequence[str] | None = None, names: Names = DEFAULT) -> DataFrame:
     """Distinct clients and contracts per month, or per month, network and flag.
 
+    ``monthly`` has contract-months, or spans with the list of their ``months`` (:func:`spans.list_months`).
     A flag without any row in a month and network gives NULL.
     """
-    by = ["month", names.network] if flags else ["month"]
-    marks = _marks(flags)
-    rows = monthly.selectExpr(*by, *[f"if({c}, 1, 0) as {m}" for m, c in marks.items()], _ids(names))
-    per_id = rows.groupBy(*by, "kind", "id").agg(*_expressions(*[f"max({m}) as {m}" for m in marks]))
-    counts = [f"if(max({m}) = 1, {_count(kind, m)}, null) as `{out}`" for (m, kind), out in _measures(flags).items()]
-    return per_id.groupBy(*by).agg(*_expressions(*counts)).orderBy(*by)
+    by = [names.network] if flags else []
+    marks = {m: f"if({c}, __bits, 0L)" for m, c in _marks(flags).items()}
+    alike = _by_period(_in_bits(monthly, "month", leaving=False), "month", by, marks, names)
+    counts = [f"if(max({m}) = 1, {_counted(kind, m)}, null) as `{out}`" for (m, kind), out in _measures(flags).items()]
+    return alike.groupBy("month", *by).agg(*_expressions(*counts)).orderBy("month", *by)
 
 
 def terminations(
@@ -80,23 +124,22 @@ def terminations(
 
     NULL where the flag has no row, 0 where it has rows and no exit. ``sentinel`` adds
     one to the contract count of groups with a contract that stays, as a count does
-    that keeps a placeholder id for such contracts.
+    that keeps a placeholder id for such contracts. By month, ``monthly`` may have lists as in :func:`stock`.
     """
-    by = [period, names.network] if flags else [period]
-    leaves = f"{period} = exit_{period}"
+    by = [names.network] if flags else []
     marks = {}
     for mark, condition in _marks(flags).items():
-        marks |= {mark: condition, f"leaves_{mark}": f"{condition} and {leaves}"}
-        marks[f"stays_{mark}"] = f"{condition} and not {leaves}"
-    rows = monthly.selectExpr(*by, *[f"if({c}, 1, 0) as {m}" for m, c in marks.items()], _ids(names))
-    per_id = rows.groupBy(*by, "kind", "id").agg(*_expressions(*[f"max({m}) as {m}" for m in marks]))
+        marks |= {mark: f"if({condition}, __bits, 0L)", f"leaves_{mark}": f"if({condition}, __left, 0L)"}
+        if sentinel:
+            marks[f"stays_{mark}"] = f"if({condition}, __bits & ~__left, 0L)"
+    alike = _by_period(_in_bits(monthly, period, leaving=True), period, by, marks, names)
     counts = []
     for (mark, kind), out in _measures(flags).items():
-        count = _count(kind, f"leaves_{mark}")
+        count = _counted(kind, f"leaves_{mark}")
         if sentinel and kind == CONTRACTS:
             count = f"{count} + max(stays_{mark})"
         counts.append(f"if(max({mark}) = 1, {count}, null) as `{out}`")
-    return per_id.groupBy(*by).agg(*_expressions(*counts)).orderBy(*by)
+    return alike.groupBy(period, *by).agg(*_expressions(*counts)).orderBy(period, *by)
 
 
 def narrow_spans(df: DataFrame, first: str, last: str, flags: Sequence[str], names: Names = DEFAULT) -> DataFrame:

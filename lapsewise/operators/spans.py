@@ -36,6 +36,13 @@ def within_months(df: DataFrame, first: str, last: str, names: Names = DEFAULT)
     return active_between(df, first, last, names).withColumns({"lo": lo, "hi": hi})
 
 
+def list_months(df: DataFrame, first: str, last: str, names: Names = DEFAULT) -> DataFrame:
+    """The active months of each span as an ascending list ``months`` of month numbers, in its own row; spans without any go."""
+    base = month_number_of(first)
+    listed = within_months(df, first, last, names).withColumn("months", F.sequence(F.col("lo") + base, F.col("hi") + base))
+    return listed.drop("lo", "hi")
+
+
 def expand_months(df: DataFrame, first: str, last: str, names: Names = DEFAULT) -> DataFrame:
     """One row per active month, with ``month`` (yyyyMM) and ``year``."""
     start = F.trunc(F.greatest(F.col(names.start).cast("date"), month_start(first)), "MM")
@@ -44,7 +51,7 @@ def expand_months(df: DataFrame, first: str, last: str, names: Names = DEFAULT)
     months = F.when(start <= end, F.sequence(start, end, F.expr("interval 1 month")))
     return (
         df.select("*", F.explode(months).alias("__month"))
-        .withColumn("month", month_key(F.col("__month")))
+        .withColumn("month", F.lpad((F.year("__month") * 100 + F.month("__month")).cast("string"), 6, "0"))
         .withColumn("year", F.substring("month", 1, 4))
         .drop("__month")
     )
@@ -72,12 +79,23 @@ def monthly_portfolio(df: DataFrame, first: str, last: str, names: Names = DEFAU
     the shuffle carries contracts and not contract-months.
     """
     spans = drop_empty(active_between(df, first, last, names), names)
-    merged = merge_ends(spans.withColumn("__own_end", F.col(names.end)), names)
-    own = Names(names.contract, names.client, names.start, "__own_end", names.network)
+    merged = _with_exit(spans, names)
+    expanded = expand_months(merged, first, last, _own(names))
+    return expanded.select(*df.columns, "month", "year", "exit_month", "exit_year")
+
+
+def listed_portfolio(df: DataFrame, first: str, last: str, names: Names = DEFAULT) -> DataFrame:
+    """:func:`monthly_portfolio` with one row per span and its months as a list."""
+    merged = _with_exit(drop_empty(active_between(df, first, last, names), names), names)
+    return list_months(merged, first, last, _own(names)).drop("__own_end")
+
+
+def _own(names: Names) -> Names:
+    return Names(names.contract, names.client, names.start, "__own_end", names.network)
+
+
+def _with_exit(spans: DataFrame, names: Names) -> DataFrame:
+    """Spans with the merged end and what follows from it, and the end of their own; written once a span, not once a month."""
     end = F.col(names.end)
-    return (
-        expand_months(merged, first, last, own)
-        .drop("__own_end")
-        .withColumn("exit_month", month_key(end))
-        .withColumn("exit_year", F.year(end).cast("string"))
-    )
+    merged = merge_ends(spans.withColumn("__own_end", end), names)
+    return merged.withColumns({"exit_month": month_key(end), "exit_year": F.year(end).cast("string")})

@@ -12,6 +12,7 @@ from lapsewise.queries.stand_ins import (
     CONTRACTS_SQL, FIRST, FLAGS, FLAGS_SQL, FROM_SQL, LAST, MONTHLY_SQL, TO_SQL, contracts, flagged, scope_rules,
     wide_exit_sql, wide_stock_sql,
 )
+from lapsewise.sources.workspace import stored
 
 THETA_SQL = f"""with {CONTRACTS_SQL},
 calendar as (select cast(unnest(generate_series({FROM_SQL}, {TO_SQL}, interval 1 month)) as date) as m)
@@ -79,8 +80,8 @@ select month, count(distinct case when month = exit_month then client_id end) as
        count(distinct case when month = exit_month then contract_id else '0' end) as "nbCtr"
 from monthly group by month""")
 def terminations_sentinel_compat(spark, sf_dir):
-    monthly = spans.monthly_portfolio(contracts(spark, sf_dir), FIRST, LAST)
-    return measures.terminations(monthly, "month", sentinel=True)
+    narrow = stored(measures.narrow_spans(contracts(spark, sf_dir), FIRST, LAST, ()), "spans")
+    return measures.terminations(spans.listed_portfolio(narrow, FIRST, LAST), "month", sentinel=True)
 
 
 @query(f"""with {MONTHLY_SQL}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import defaultdict
 from datetime import date, timedelta
 
@@ -11,6 +12,9 @@ import pytest
 from lapsewise.operators import measures, spans
 from lapsewise.plans.churn import churn_measures
 from lapsewise.operators import kpis, reshape
+from lapsewise.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
 
 SCHEMA = "contract_id string, client_id bigint, start date, end date, network string, f int, g int"
 FLAGS = ["f", "g"]
@@ -93,6 +97,29 @@ def test_counts_match_plain_reading(spark, first, last, period):
     assert counted(measures.terminations_of_spans(df, first, last, period, FLAGS), period) == sizes(exits)
 
 
+@pytest.mark.parametrize("first,last", RANGES)
+def test_lists_of_months_match_plain_reading(spark, first, last):
+    rows = random_rows(len(first + last) + int(last))
+    df = spark.createDataFrame(rows, SCHEMA)
+    stock, exits = by_hand(rows, first, last, "month", FLAGS)
+    listed = spans.listed_portfolio(df, first, last)
+    assert counted(measures.stock(listed, FLAGS), "month") == sizes(stock)
+    assert counted(measures.stock(spans.list_months(spans.drop_empty(df), first, last), FLAGS), "month") == sizes(stock)
+    assert counted(measures.terminations(listed, "month", FLAGS), "month") == sizes(exits)
+    kept = measures.terminations(listed, "month", FLAGS, sentinel=True)
+    expanded = measures.terminations(spans.monthly_portfolio(df, first, last), "month", FLAGS, sentinel=True)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, expanded.collect()))
+    with pytest.raises(ValueError):
+        measures.terminations(listed, "year", FLAGS)
+
+
+@pytest.mark.parametrize("name", ["terminations_sentinel_compat"])
+def test_ids_are_shuffled_without_their_months(spark, name):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    ids = [keys for keys in re.findall(r"hashpartitioning\(([^)]*)\)", plan) if "id#" in keys and "kind#" in keys]
+    assert ids and not any("month#" in keys for keys in ids)
+
+
 def test_hot_contracts_give_the_same_counts(spark, rows_of):
     rows = random_rows(3) + [("hot", i % 50, D(2013, 1, 1), D(2014, 5, 1 + i % 20), "A", 1, 0) for i in range(300)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(6)

@@ -44,7 +44,7 @@ def stock_by_network_product(spark, sf_dir):
 
 @query(STOCK_SQL)
 def stock_by_network_product_expanded(spark, sf_dir):
-    monthly = spans.expand_months(spans.drop_empty(flagged(spark, sf_dir)), FIRST, LAST)
+    monthly = spans.list_months(spans.drop_empty(flagged(spark, sf_dir)), FIRST, LAST)
     return measures.stock(monthly, FLAGS)
 
 

@@ -30,7 +30,7 @@ def stock_monthly(spark, sf_dir):
 
 @query(THETA_SQL)
 def stock_theta(spark, sf_dir):
-    monthly = spans.expand_months(spans.drop_empty(contracts(spark, sf_dir)), FIRST, LAST)
+    monthly = spans.list_months(spans.drop_empty(contracts(spark, sf_dir)), FIRST, LAST)
     return measures.stock(monthly)
 
 

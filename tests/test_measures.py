@@ -113,7 +113,7 @@ def test_lists_of_months_match_plain_reading(spark, first, last):
         measures.terminations(listed, "year", FLAGS)
 
 
-@pytest.mark.parametrize("name", ["terminations_sentinel_compat", "stock_by_network_product_expanded"])
+@pytest.mark.parametrize("name", ["terminations_sentinel_compat", "stock_by_network_product_expanded", "stock_theta"])
 def test_ids_are_shuffled_without_their_months(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     ids = [keys for keys in re.findall(r"hashpartitioning\(([^)]*)\)", plan) if "id#" in keys and "kind#" in keys]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lapsewise.functions.text import upper_or_empty
 from lapsewise.operators.skew import attach_row
@@ -25,10 +25,15 @@ def match_distinct(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> Data
     """Inner join on shared column names without repeated rows.
 
     Rows without a partner go first, so that only the others are compared for copies;
-    copies go before the join, where they would multiply.
+    copies go before the join, where they would multiply. Copies are found in sorted rows: a
+    hash aggregate holds every different row of a task two times, a sort spills, and its order serves the join.
     """
     keys, other = list(keys), other.distinct()
-    return df.join(other.select(*keys).distinct(), keys, "left_semi").distinct().join(other, keys, "inner")
+    matched = df.join(other.select(*keys).distinct(), keys, "left_semi")
+    columns = [F.col(f"`{c}`") for c in [*keys, *(c for c in matched.columns if c not in keys)]]
+    copy = F.row_number().over(Window.partitionBy(*columns).orderBy(columns[0]))
+    once = matched.withColumn("__copy", copy).where("__copy = 1").drop("__copy")
+    return once.join(other, keys, "inner")
 
 
 def _marked(df: DataFrame, key: str, members: DataFrame, member: str) -> DataFrame:

@@ -117,3 +117,12 @@ def test_spark_splits_a_hot_reference_join_at_run_time(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_match_distinct_finds_copies_in_sorted_rows(spark, rows_of):
+    left = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (1, None), (2, "b"), (3, "c"), (None, "d")], "k int, v string")
+    right = spark.createDataFrame([(1, "x"), (1, "x"), (1, "y"), (2, "z"), (None, "n"), (4, "u")], "k int, w string")
+    matched = joins.match_distinct(left, right, ["k"])
+    assert rows_of(matched) == sorted([(1, "a", "x"), (1, "a", "y"), (1, None, "x"), (1, None, "y"), (2, "b", "z")], key=lambda r: tuple((v is None, str(v)) for v in r))
+    plan = matched._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "HashAggregate" in line and "v#" in line]

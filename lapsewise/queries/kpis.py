@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lapsewise import fixed_values as fv
 from lapsewise.operators import kpis, reshape
-from lapsewise.operators.measures import stock_of_spans, terminations_of_spans
+from lapsewise.operators.measures import narrow_spans, stock_of_spans, terminations_of_spans
 from lapsewise.plans.churn import read_measures, write_measures
 from lapsewise.queries.base import query
 from lapsewise.queries.portfolio import STOCK_SQL
@@ -58,9 +58,10 @@ def measures_round_trip(spark, sf_dir):
 @query(f"""with {MEASURES_SQL}
 select month, network, name, kind, product, stock, terminated, round(rate, 6) as rate from measures""")
 def churn_rate_monthly(spark, sf_dir):
-    spans = flagged(spark, sf_dir)
-    stock = reshape.to_long(stock_of_spans(spans, FIRST, LAST, FLAGS), "stock")
-    terminated = reshape.to_long(terminations_of_spans(spans, FIRST, LAST, "month", FLAGS), "terminated")
+    spans = workspace.stored(narrow_spans(flagged(spark, sf_dir), FIRST, LAST, FLAGS), "spans")
+    wide = workspace.stored(stock_of_spans(spans, FIRST, LAST, FLAGS), "stock")
+    stock = reshape.to_long(wide, "stock")
+    terminated = reshape.to_long(terminations_of_spans(spans, FIRST, LAST, "month", FLAGS, stock=wide, store=False), "terminated")
     return _rounded(kpis.monthly_rates(stock, terminated), "rate").drop("year", "month_name")
 
 

@@ -120,6 +120,11 @@ def test_ids_are_shuffled_without_their_months(spark, name):
     assert ids and not any("month#" in keys for keys in ids)
 
 
+def test_churn_rates_read_stored_spans(spark):
+    files = QUERIES["churn_rate_monthly"](spark, SF).inputFiles()
+    assert any("/stock/" in f for f in files) and not any(".parquet" in f and f.startswith(f"file://{SF}") for f in files)
+
+
 def test_hot_contracts_give_the_same_counts(spark, rows_of):
     rows = random_rows(3) + [("hot", i % 50, D(2013, 1, 1), D(2014, 5, 1 + i % 20), "A", 1, 0) for i in range(300)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(6)

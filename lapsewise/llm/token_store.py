@@ -15,8 +15,9 @@ number of bits before it. So a lookup reads one word of each level up to the key
 one slot, the key, two ends and the ids, whatever the shard's size; nothing else is loaded. A whole read
 takes the records of the keys in turn from the index too, loaded once for it.
 
-Words are encoded by the tokenizers library. As no token crosses white space, a text is split at ASCII
-white space and ids of words seen before are kept (``WORDS`` at most, then anew).
+Words are encoded by the tokenizers library. As no token crosses white space, texts are split at ASCII
+white space, ``TEXT`` bytes or one text at a time, and each distinct word is looked up once for them; ids
+of words seen before are kept (once there are more than ``WORDS``, they are gathered anew).
 
 Defined cases: a null text counts as empty, and an empty one has the end id alone; rows with null keys
 come first and have no index entry; rows with equal keys follow each other, and a lookup gives all of
@@ -26,6 +27,7 @@ them; an empty table gives an empty store; other columns are left out.
 from __future__ import annotations
 
 import os
+import string
 import struct
 import uuid
 import zlib
@@ -35,6 +37,7 @@ from functools import cached_property, lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -46,6 +49,7 @@ from lapsewise.sources.workspace import Scratch
 TOKENIZER = "word_bpe_49k.json"
 END = 1
 WORDS = 400_000
+TEXT = 1 << 23
 READ = 1 << 22
 MAGIC = b"LWTS0002"
 TAIL = struct.Struct("<QQQQQQQ8s")  # ids, records, of them with null keys, distinct keys, tables at, bytes an id, levels, magic
@@ -241,82 +245,113 @@ class ShardReader:
 class WordEncoder:
     """Ids of texts through the tokenizers library, as raw bytes of ``width`` bytes an id.
 
-    New words of letters alone are encoded together, as one text. Where the tokenizer marks the ends
-    of words, that text's ids are cut there; the words are encoded one by one should the counts differ.
-    Words of ASCII letters go to the same model without normalizer and pattern, in lower case, if
-    that gives the same ids for ``PROBE`` words of the vocabulary.
+    Texts are split and their distinct words looked up by Arrow; Python sees each distinct word of a
+    call once. A word of letters with marks behind it is two: its letters in lower case, and the marks.
+    Such letters go to the same model without normalizer and pattern, many in a text whose ids are cut
+    at the tokens that end a word. Only letters are taken for that with which a word gives the same ids
+    either way, and none unless ``PROBE`` words of the vocabulary do too and marks get their ids apart.
+    Other words go through the whole tokenizer: letters together as well, the rest one by one.
     """
 
-    MARKS = ".,;:!?"  # after letters always a piece of their own
+    MARKS = string.punctuation  # after letters always one piece of their own
+    LETTERS = "".join(c for c in map(chr, range(0x700)) if c.isalpha())  # Latin to Arabic, none joins the letter before it
     PROBE = 2000
+    TOGETHER = 128
 
     def __init__(self, model: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = self.plain = Tokenizer.from_str(model)
+        self.tokenizer = Tokenizer.from_str(model)
         vocabulary = self.tokenizer.get_vocab()
         self.width = 2 if max(vocabulary.values()) < 1 << 16 else 4
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
             self.last[i] = bool(suffix) and token.endswith(suffix)
-        self.words: dict[bytes, bytes] = {}
-        letters = sorted(t.removesuffix(suffix or "") for t in vocabulary)
-        letters = [t for t in letters if t.isascii() and t.isalpha()]
-        probe = [w for t in letters[:: len(letters) // self.PROBE + 1] for w in (t.lower(), t.upper(), t)]
-        plain = Tokenizer(self.tokenizer.model)
-        plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        if self._together(probe, plain) == self._one_by_one(probe):
-            self.plain = plain
+        self.ascii, self.plain = Tokenizer(self.tokenizer.model), Tokenizer(self.tokenizer.model)
+        self.ascii.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), to_bytes])
+        self.words: dict[str, bytes] = {}
+        self.letters = "".join(c for c, same in zip(self.LETTERS, self._same([f"a{c}a" for c in self.LETTERS]), strict=True) if same)
+        stems = sorted(t.removesuffix(suffix or "") for t in vocabulary)
+        stems = [t for t in stems if t.isascii() and t.isalpha()]
+        probe = [w for t in stems[:: len(stems) // self.PROBE + 1] for w in (t.lower(), t.upper(), t)]
+        if not all(self._same(probe)) or not self._apart():
+            self.letters = ""
 
     def _raw(self, ids: Sequence[int]) -> bytes:
         return np.array(ids, f"<u{self.width}").tobytes()
 
-    def _one_by_one(self, words: Sequence[str]) -> list[bytes]:
-        return [self._raw(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _together(self, words: Sequence[str], tokenizer) -> list[bytes]:
-        text = " ".join(words)
-        if tokenizer is not self.tokenizer:
-            text = text.lower()
-        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, f"<u{self.width}")
-        ends = np.flatnonzero(self.last[ids]) + 1
-        if len(ends) != len(words) or (len(ends) and ends[-1] != len(ids)):
-            return self._one_by_one(words)
-        raw, at = ids.tobytes(), (np.concatenate([[0], ends]) * self.width).tolist()
-        return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
-
-    def _learn(self, new: set[bytes]) -> None:
-        ascii_, letters, other, known = {}, {}, [], self.words
-        for word in new:
-            text = word.decode()
-            stem = text.rstrip(self.MARKS)
-            tail = word[len(word) - len(text) + len(stem) :]  # the marks take a byte each
-            if stem.isascii() and stem.isalpha():
-                ascii_.setdefault(stem, []).append((word, tail))
-            elif stem.isalpha() and stem[-1].lower().isalpha():
-                letters.setdefault(stem, []).append((word, tail))
-            else:
-                other.append(word)
-        tails = {tail for stems in (ascii_, letters) for words in stems.values() for _, tail in words}
-        other += [t for t in tails - set(other) if t and t not in known]
-        known.update(zip(other, self._one_by_one([w.decode() for w in other]), strict=True))
-        for stems, tokenizer in ((ascii_, self.plain), (letters, self.tokenizer)):
-            for words, ids in zip(stems.values(), self._together(list(stems), tokenizer), strict=True):
-                for word, tail in words:
-                    known[word] = ids + known[tail] if tail else ids
-
-    def encode(self, texts: Sequence[str | None]) -> Iterator[bytes]:
-        split = [(t or "").encode().split() for t in texts]
+    def _one_by_one(self, words: Sequence[str], tokenizer=None) -> list[bytes]:
+        return [self._raw(e.ids) for e in (tokenizer or self.tokenizer).encode_batch_fast(words, add_special_tokens=False)]
+
+    def _same(self, words: Sequence[str]) -> list[bool]:
+        """Whether each word gets its ids without normalizer and pattern too, and ends where it should."""
+        lower = pc.utf8_lower(pa.array(words, pa.string())).to_pylist()
+        whole, plain, short = (self._one_by_one(*x) for x in ((words,), (lower, self.plain), (lower, self.ascii)))
+        ends = [np.flatnonzero(self.last[np.frombuffer(ids, f"<u{self.width}")]).tolist() == [len(ids) // self.width - 1] for ids in plain]
+        return [w == p and e and (w == s or not t.isascii()) for w, p, s, e, t in zip(whole, plain, short, ends, words, strict=True)]
+
+    def _apart(self) -> bool:
+        """Whether one mark or two behind a letter get the ids that they get alone."""
+        marks = [a + b for a in self.MARKS for b in ("", *self.MARKS)]
+        letter = self._one_by_one(["a"])[0]
+        return self._one_by_one([f"a{m}" for m in marks]) == [letter + ids for ids in self._one_by_one(marks)]
+
+    def _together(self, words: Sequence[str], tokenizer) -> Iterator[bytes]:
+        parts = [words[i : i + self.TOGETHER] for i in range(0, len(words), self.TOGETHER)]
+        for part, encoding in zip(parts, tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
+            ids = np.array(encoding.ids, f"<u{self.width}")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):
+                yield from self._one_by_one(part)
+                continue
+            raw, at = ids.tobytes(), [0, *(ends * self.width).tolist()]
+            yield from (raw[a:b] for a, b in zip(at, at[1:], strict=False))
+
+    def _known(self, words: pa.Array, plain: bool = False) -> pa.Array:
+        """Ids of distinct words, as they stand; ``plain`` if all are of plain letters in lower case."""
+        keys, known, single = words.to_pylist(), self.words, []
+        new = [w for w in keys if w not in known]
+        if plain:
+            groups = [([w for w in new if w.isascii()], self.ascii), ([w for w in new if not w.isascii()], self.plain)]
+        else:
+            letters = [w.isalpha() and w[-1].lower().isalpha() for w in new]
+            groups = [([w for w, x in zip(new, letters, strict=True) if x], self.tokenizer)]
+            single = [w for w, x in zip(new, letters, strict=True) if not x]
+        for together, tokenizer in groups:
+            known.update(zip(together, self._together(together, tokenizer), strict=True))
+        known.update(zip(single, self._one_by_one(single), strict=True))
+        return pa.array([known[w] for w in keys], pa.large_binary())
+
+    def _ids(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words."""
+        if not self.letters:
+            return self._known(words)
+        stems = pc.ascii_rtrim(words, self.MARKS)
+        plain = pc.match_substring_regex(stems, rf"\A[{self.letters}]+\z")
+        tails = pc.utf8_ltrim(words.filter(plain), self.letters).dictionary_encode()
+        stems = pc.utf8_lower(stems.filter(plain)).dictionary_encode()
+        both = [self._known(x.dictionary, p).take(x.indices) for x, p in ((stems, True), (tails, False))]
+        rest = self._known(words.filter(pc.invert(plain)))
+        mask = plain.to_numpy(zero_copy_only=False)
+        place = np.where(mask, np.cumsum(mask) - 1, mask.sum() + np.cumsum(~mask) - 1)
+        return pa.concat_arrays([pc.binary_join_element_wise(*both, pa.scalar(b"", pa.large_binary())), rest]).take(pa.array(place))
+
+    def encode(self, texts: pa.Array | Sequence[str | None]) -> Iterator[bytes]:
         if len(self.words) > WORDS:
             self.words.clear()
-        known = self.words
-        if new := {w for words in split for w in words if w not in known}:
-            self._learn(new)
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))  # with empty words at blank ends, which have no ids
+        words = split.flatten().dictionary_encode()
+        ids = self._ids(words.dictionary).take(words.indices)
+        ends = np.frombuffer(ids.buffers()[1], "<i8", len(ids) + 1, 8 * ids.offset) if len(ids) else np.zeros(1, np.int64)
+        raw, at = memoryview(ids.buffers()[2] or b""), ends[np.cumsum([0, *pc.list_value_length(split).to_pylist()])].tolist()
         end = END.to_bytes(self.width, "little")
-        for words in split:
-            yield b"".join(map(known.__getitem__, words)) + end
+        for a, b in zip(at, at[1:], strict=False):
+            yield bytes(raw[a:b]) + end
 
 
 @lru_cache(maxsize=4)
@@ -324,17 +359,13 @@ def _encoder(model: str) -> WordEncoder:
     return WordEncoder(model)
 
 
-def _batches(column: pa.Array, most: int = 1 << 18) -> Iterator[tuple[int, list[str | None]]]:
-    """Texts a few at a time, by their length."""
-    start, texts, chars = 0, [], 0
-    for i, text in enumerate(column):
-        texts.append(text.as_py())
-        chars += len(texts[-1] or "")
-        if chars >= most:
-            yield start, texts
-            start, texts, chars = i + 1, [], 0
-    if texts:
-        yield start, texts
+def _batches(column: pa.Array, most: int = TEXT) -> Iterator[tuple[int, pa.Array]]:
+    """Texts a few at a time, by their length: ``most`` bytes and one text at the most."""
+    ends, start = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy()), 0
+    while start < len(column):
+        after = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most)) + 1
+        yield start, column.slice(start, after - start)
+        start = after
 
 
 def write_store(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", model: str | None = None) -> DataFrame:

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import json
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -42,6 +44,60 @@ def test_words_are_encoded_as_whole_texts_are(model, reference, most, monkeypatc
         assert [np.frombuffer(raw, f"<u{encoder.width}").tolist() for raw in encoder.encode(part)] == [reference(t) for t in part]
 
 
+class Counted:
+    """A tokenizer that counts the words it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.words = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.words += sum(len(t.split()) for t in texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_a_word_is_encoded_once_whatever_its_case_and_marks(model, reference):
+    random.seed(9)
+    stems = sorted({"".join(random.choices("abeinorstüéñжλ", k=8)) for _ in range(400)})
+    encoder = token_store.WordEncoder(model)
+    counted = [Counted(t) for t in vars(encoder).values() if hasattr(t, "encode_batch_fast")]
+    for name, t in list(vars(encoder).items()):
+        if hasattr(t, "encode_batch_fast"):
+            setattr(encoder, name, next(c for c in counted if c.tokenizer is t))
+    for form in ("{}", "{}.", "{},", "{}***", "{}?!", "{}'"):
+        for case in (str.lower, str.upper, str.title):
+            text = " ".join(form.format(case(w)) for w in stems)
+            assert [np.frombuffer(raw, f"<u{encoder.width}").tolist() for raw in encoder.encode([text])] == [reference(text)]
+    assert sum(c.words for c in counted) <= len(stems) + 5  # before: 18 times the words
+
+
+def test_words_of_any_letters_and_marks(model, reference):
+    random.seed(10)
+    encoder = token_store.WordEncoder(model)
+    letters = [c for c in map(chr, range(0x3200)) if c.isalpha()] + list("漢字한글각ﬁﷺ𝐀𐐀İΣς")
+    near = [*letters[:150], "\u0301", "\u0338", "\u1161", "\u11a8", "1", "'", "’"]
+    every = [f"{c} a{c}a {c}. {c.upper()}{c}-, A{c}'s" for c in letters]
+    every += [" ".join("".join(random.choices(near, k=random.randint(1, 4))) + random.choice(["", ".", "'", "<=>", "...", "|>"]) for _ in range(8)) for _ in range(4000)]
+    assert [np.frombuffer(raw, f"<u{encoder.width}").tolist() for raw in encoder.encode(every)] == [reference(t) for t in every]
+
+
+def test_a_tokenizer_of_other_habits_takes_words_whole(model):
+    kept = json.loads(model)
+    kept["normalizer"]["normalizers"] = kept["normalizer"]["normalizers"][:2]  # upper case stays
+    cased = Tokenizer.from_str(json.dumps(kept))
+    encoder = token_store.WordEncoder(json.dumps(kept))
+    every = ["Word, WORD word. Ébène", None, "", "Ünder THE tree"]
+    assert [np.frombuffer(raw, f"<u{encoder.width}").tolist() for raw in encoder.encode(every)] == [[*cased.encode(t or "", add_special_tokens=False).ids, 1] for t in every]
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_texts_go_by_their_length(kind):
+    column = pa.array(["skipped", "", None, "éé" * 9, "a", "b" * 10, None, "c"], kind).slice(1)
+    parts = [(start, part.to_pylist()) for start, part in token_store._batches(column, 12)]
+    assert [t for _, part in parts for t in part] == column.to_pylist()
+    assert [start for start, _ in parts] == np.cumsum([0, *(len(part) for _, part in parts)])[:-1].tolist()
+    assert all(sum(len((t or "").encode()) for t in part[:-1]) < 12 for _, part in parts) and len(parts) > 1
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 5000])
 def test_perfect_hash_is_minimal(n):
     rng = np.random.default_rng(n)

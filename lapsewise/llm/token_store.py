@@ -4,8 +4,8 @@ Documents are dealt by ranges of their keys and sorted, so shards and the docume
 ascending keys. A task encodes its range and writes one file: the raw ids of all documents, then the
 tables of records (key, end of its ids) and the index, then the sizes of its levels and a tail that say where they are.
 Ids take 2 bytes while the vocabulary fits, else 4. Only the tables stay in memory while a shard is
-written, some 30 bytes a document. A manifest lists the file of each task that succeeded, so what lost
-or repeated tasks leave behind is never read.
+written, some 30 bytes a document. A manifest lists the file of each task that succeeded, some ``LISTED``
+shards in a file, so what lost or repeated tasks leave behind is never read.
 
 Index: a minimal perfect hash over the distinct keys of the shard. Level by level, keys that hash to a
 place of their own set its bit and the others go on to the next level; a key's slot is the number of
@@ -51,6 +51,7 @@ END = 1
 WORDS = 400_000
 TEXT = 1 << 23
 READ = 1 << 22
+LISTED = 64  # shards in a file of the manifest
 MAGIC = b"LWTS0002"
 TAIL = struct.Struct("<QQQQQQQ8s")  # ids, records, of them with null keys, distinct keys, tables at, bytes an id, levels, magic
 SLOT = np.dtype([("print", "<u4"), ("record", "<i8")])
@@ -393,7 +394,8 @@ def write_store(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
     dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # made first, wherever it is
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
-    dealt.mapInArrow(write, MANIFEST).write.parquet(f"{path}/manifest")
+    written = dealt.mapInArrow(write, MANIFEST).repartition(parts, "shard")  # by number, so that a task run again is listed in the same place
+    written.coalesce(parts // LISTED + 1).write.parquet(f"{path}/manifest")
     return read_manifest(spark, path)
 
 

@@ -184,6 +184,14 @@ def test_files_of_failed_tasks_are_not_read(spark, rows, reference, tmp_path):
     assert sorted((r.doc_id, r.ids) for r in read.collect()) == sorted((k, reference(t)) for k, t, *_ in rows[:5])
 
 
+def test_a_file_of_the_manifest_lists_many_shards(spark, rows):
+    path = Scratch(spark, "tokens").path("store")
+    manifest = token_store.write_store(spark.createDataFrame(rows, SCHEMA), path)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(r.shard for r in manifest.collect()) == sorted({r.shard for r in manifest.collect()})
+    assert 1 < manifest.count() <= parts and len(manifest.inputFiles()) <= parts // token_store.LISTED + 1
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert token_store.store_report(docs).count() == 0
